@@ -67,8 +67,8 @@ def count_sql(col: str, mode: str = "digits") -> str:
     if mode == "digits":
         value = f"TRY_CAST(regexp_replace({col}, '[^0-9]+', '', 'g') AS BIGINT) * {mult}"
     else:
-        value = (f"TRY_CAST(TRY_CAST(regexp_replace({col}, '[^0-9.]+', '', 'g') AS DECIMAL(38,6))"
-                 f" * {mult} AS BIGINT)")
+        value = (f"TRY_CAST(trunc(TRY_CAST(regexp_replace({col}, '[^0-9.]+', '', 'g') AS DECIMAL(38,6))"
+                 f" * {mult}) AS BIGINT)")
     return f"CASE WHEN {col} = 'User Info Error' THEN NULL ELSE {value} END"
 
 
@@ -167,3 +167,89 @@ FROM geo JOIN pin ON geo.ind = pin.ind GROUP BY 1, 2""",
     "clean_locations": f"WITH {entities_sql('order')} SELECT * FROM geo",
     "clean_users": f"WITH {entities_sql('order')} SELECT * FROM usr",
 }
+
+
+_RAW_POST_COLS = ["category", "description", "downloaded", "follower_count", "image_src", "index",
+                  "is_image_or_video", "poster_name", "save_location", "tag_list", "title", "unique_id"]
+
+
+def _raw(body: str, family: str = "order") -> str:
+    return f"""WITH raw_pin AS ({raw_posts_sql(family)}),
+raw_geo AS ({raw_locations_sql(family)}),
+raw_usr AS ({RAW_USERS})
+{body}"""
+
+
+def _distinct(source: str, col: str, threshold: int) -> str:
+    return f"""WITH {source},
+v AS (SELECT DISTINCT {col} AS value FROM src)
+SELECT value, (SELECT count(*) FROM v) AS n_distinct FROM v
+ORDER BY value ASC NULLS LAST LIMIT {threshold}"""
+
+
+ORACLE.update({
+    "parse_count_digits": _raw(
+        f"SELECT unique_id, follower_count AS follower_count_text, "
+        f"{count_sql('follower_count', 'digits')} AS follower_count FROM raw_pin"),
+    "parse_count_decimal": _raw(
+        f"SELECT unique_id, follower_count AS follower_count_text, "
+        f"{count_sql('follower_count', 'decimal')} AS follower_count FROM raw_pin"),
+    "null_placeholders": _raw("SELECT " + ", ".join(
+        f"""CASE WHEN "{c}" IN ('', 'User Info Error') THEN NULL ELSE "{c}" END AS "{c}\""""
+        for c in _RAW_POST_COLS) + " FROM raw_pin"),
+    "pattern_profile_runs": _raw(
+        "SELECT regexp_replace(follower_count, '[0-9]+', '9', 'g') AS follower_count_pattern, "
+        "count(*) AS \"count\" FROM raw_pin GROUP BY 1"),
+    "pattern_profile_digits": _raw(
+        "SELECT regexp_replace(\"timestamp\", '[0-9]', '9', 'g') AS timestamp_pattern, "
+        "count(*) AS \"count\" FROM raw_geo GROUP BY 1"),
+    "pattern_profile_urls":
+        "SELECT regexp_replace(url, '[0-9]+', '9', 'g') AS url_pattern, count(*) AS \"count\" "
+        "FROM pages GROUP BY 1",
+    "crosstab_counts": _raw(
+        "SELECT regexp_replace(follower_count, '[0-9]+', '9', 'g') AS follower_count_pattern, "
+        "CAST(CASE WHEN follower_count LIKE '%k' THEN 1000 WHEN follower_count LIKE '%M' THEN 1000000 "
+        "ELSE 1 END AS BIGINT) AS follower_count_multiplier, count(*) AS \"count\" "
+        "FROM raw_pin GROUP BY 1, 2"),
+    "sample_per_group": _raw(
+        "SELECT regexp_replace(follower_count, '[0-9]+', '9', 'g') AS follower_count_pattern, "
+        "least(count(*), 5) AS sampled FROM raw_pin GROUP BY 1"),
+    "strip_prefix": _raw(
+        "SELECT unique_id, regexp_replace(save_location, '^Local save in ', '') AS save_location "
+        "FROM raw_pin"),
+    "pack_coordinates": _raw("SELECT ind, [latitude, longitude] AS coordinates FROM raw_geo"),
+    "parse_timestamp": _raw(
+        "SELECT ind, \"timestamp\" AS timestamp_text, "
+        "try_strptime(\"timestamp\", '%Y-%m-%d %H:%M:%S') AS \"timestamp\" FROM raw_geo"),
+    "combine_names": _raw(
+        r"SELECT ind, regexp_replace(trim(concat_ws(' ', first_name, last_name)), '\s+', ' ', 'g') "
+        "AS user_name FROM raw_usr"),
+    "age_groups": _raw(
+        f"SELECT ind, age, {AGE_GROUP} AS age_group FROM "
+        "(SELECT ind, TRY_CAST(age AS INTEGER) AS age FROM raw_usr)"),
+    "distinct_profile": _distinct(
+        f"{entities_sql('order')},\nsrc AS (SELECT save_location FROM pin)", "save_location", 50),
+    "distinct_profile_limited": _distinct("src AS (SELECT p_brand FROM part)", "p_brand", 10),
+    "load_profile": _raw(
+        "SELECT 'pin' AS entity, count(*) AS \"rows\", 12 AS \"columns\" FROM raw_pin UNION ALL "
+        "SELECT 'geo', count(*), 5 FROM raw_geo UNION ALL SELECT 'user', count(*), 5 FROM raw_usr"),
+    "median_sketch_by_flag":
+        "SELECT l_returnflag, quantile_disc(l_quantity, 0.5) AS median_quantity "
+        "FROM lineitem GROUP BY 1",
+    "median_exact_by_flag":
+        "SELECT l_returnflag, quantile_disc(l_extendedprice, 0.5) AS median_price "
+        "FROM lineitem GROUP BY 1",
+    "latest_event_per_user":
+        "SELECT user_id, event_id, ts, event_type, value FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn FROM events) "
+        "WHERE rn = 1",
+    "top_events_per_user":
+        "SELECT user_id, event_id, value, CAST(rn AS INTEGER) AS event_rank FROM (SELECT *, "
+        "row_number() OVER (PARTITION BY user_id ORDER BY value DESC NULLS LAST, event_id ASC) "
+        "AS rn FROM events) WHERE rn <= 3",
+    "rows_at_offset":
+        "SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 5 OFFSET 100",
+    "decode_event_props":
+        "SELECT event_id, TRY_CAST(props->>'$.k' AS INTEGER) AS k FROM events",
+    "encode_decode_roundtrip": f"WITH {entities_sql('order')} SELECT * FROM usr",
+})

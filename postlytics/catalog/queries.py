@@ -101,3 +101,11 @@ QUERIES: dict[str, Query] = {
     "clean_locations": _clean("geo"),
     "clean_users": _clean("user"),
 }
+
+
+def _register_more():
+    from .operator_queries import OPERATOR_QUERIES
+    QUERIES.update(OPERATOR_QUERIES)
+
+
+_register_more()

@@ -1,0 +1,5 @@
+"""Structured Streaming: message sources, cleaning on streams, append sinks."""
+
+from .sinks import append_stream, clean_stream, read_messages_stream, run_entity_streams
+
+__all__ = ["append_stream", "clean_stream", "read_messages_stream", "run_entity_streams"]
