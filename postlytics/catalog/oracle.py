@@ -253,3 +253,14 @@ ORACLE.update({
         "SELECT event_id, TRY_CAST(props->>'$.k' AS INTEGER) AS k FROM events",
     "encode_decode_roundtrip": f"WITH {entities_sql('order')} SELECT * FROM usr",
 })
+
+ORACLE.update({
+    "stream_clean_posts": ORACLE["clean_posts"],
+    "stream_clean_locations": ORACLE["clean_locations"],
+    "stream_clean_users": ORACLE["clean_users"],
+    "read_topic_posts": ORACLE["clean_posts"],
+    "read_delimited_roundtrip": ORACLE["clean_users"],
+    "landed_topics": _raw(
+        "SELECT 'pin' AS topic, count(*) AS messages FROM raw_pin UNION ALL "
+        "SELECT 'geo', count(*) FROM raw_geo UNION ALL SELECT 'user', count(*) FROM raw_usr"),
+})

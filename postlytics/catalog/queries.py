@@ -105,7 +105,9 @@ QUERIES: dict[str, Query] = {
 
 def _register_more():
     from .operator_queries import OPERATOR_QUERIES
+    from .stream_queries import STREAM_QUERIES
     QUERIES.update(OPERATOR_QUERIES)
+    QUERIES.update(STREAM_QUERIES)
 
 
 _register_more()
