@@ -79,6 +79,14 @@ def _q9(spark, root):
                                                   method="exact")
 
 
+def _sketch(question):
+    def run(spark, root):
+        if question is plans.median_followers_by_age_group:
+            return question(*entities(spark, root, "customer"), method="approx")
+        return question(*entities(spark, root, "customer"), *JOIN_YEARS, method="approx")
+    return run
+
+
 def _clean(kind):
     def run(spark, root):
         pins, geo, users = entities(spark, root, "order")
@@ -97,6 +105,9 @@ QUERIES: dict[str, Query] = {
     "users_joined_by_year": _q7,
     "median_followers_by_year_joined": _q8,
     "median_followers_by_year_and_age": _q9,
+    "median_followers_by_age_group_sketch": _sketch(plans.median_followers_by_age_group),
+    "median_followers_by_year_joined_sketch": _sketch(plans.median_followers_by_year_joined),
+    "median_followers_by_year_and_age_sketch": _sketch(plans.median_followers_by_year_and_age),
     "clean_posts": _clean("pin"),
     "clean_locations": _clean("geo"),
     "clean_users": _clean("user"),
