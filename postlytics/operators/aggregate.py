@@ -11,34 +11,72 @@ DEFAULT_ACCURACY = 10000
 
 
 def median_by_group(df: DataFrame, by: Sequence[str], col: str, method: str = "approx",
-                    accuracy: int = DEFAULT_ACCURACY, out: str = "median") -> DataFrame:
+                    accuracy: int = DEFAULT_ACCURACY, out: str = "median",
+                    pieces: int | None = None) -> DataFrame:
     """Lower median of ``col`` per group, NULLs ignored.
 
     ``approx`` is the reference's sketch (``percentile_approx``): bounded
-    memory per group and merged map-side, rank error at most n / accuracy.
-    ``exact`` equals ``percentile_disc(0.5)``: values are first counted per
-    ``(group, value)`` (map-side combine, so a hot group shrinks to its
-    distinct values), then a running count per group finds the smallest value
-    whose cumulative share reaches one half. Groups whose values are all NULL
-    keep a row with a NULL median.
+    memory per group, merged map-side, rank error at most n / accuracy.
+    ``exact`` equals ``percentile_disc(0.5)`` (see :func:`exact_lower_median`).
+    Groups whose values are all NULL keep a row with a NULL median.
     """
     keys = list(by)
     if method == "approx":
         return df.groupBy(*keys).agg(F.percentile_approx(col, 0.5, accuracy).alias(out))
     if method != "exact":
         raise ValueError(f"unknown method {method!r}; expected 'approx' or 'exact'")
+    return exact_lower_median(df, keys, col, out, pieces)
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equal keys where NULL equals NULL; keeps the left side's key columns."""
+    renamed = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                           *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(renamed[f"__r_{k}"]) for k in keys]
+    joined = left.join(renamed, cond, how) if cond else left.join(renamed, how=how)
+    return joined.drop(*[f"__r_{k}" for k in keys])
+
+
+def exact_lower_median(df: DataFrame, by: Sequence[str], col: str, out: str = "median",
+                       pieces: int | None = None) -> DataFrame:
+    """Smallest value whose cumulative share in its group reaches one half.
+
+    No group is ever handled whole by one task:
+
+    1. rows are counted per ``(group, value)`` with a map-side combine, so a
+       group shrinks to its distinct values;
+    2. the counts are range-partitioned on ``(group, value)`` into ``pieces``
+       slices, which cuts a large group into many slices of similar size;
+    3. each slice gets running counts (a window over that slice only), and a
+       small table of slice totals (at most pieces + groups rows) gives every
+       slice the count of the same group's values in earlier slices;
+    4. the first value whose running count reaches half the group total is
+       the median.
+    """
+    keys = list(by)
+    spark = df.sparkSession
+    n_pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
     value = F.col(col)
-    counted = df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
-    valid_n = F.when(value.isNotNull(), F.col("__n")).otherwise(F.lit(0))
-    running = Window.partitionBy(*keys).orderBy(value.asc_nulls_last()) \
+    counts = df.filter(value.isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
+    sliced = counts.repartitionByRange(n_pieces, *keys, col).withColumn("__piece", F.spark_partition_id())
+
+    totals = sliced.groupBy("__piece", *keys).agg(F.sum("__n").alias("__piece_n"))
+    by_piece = Window.partitionBy(*keys).orderBy("__piece")
+    offsets = totals.select(
+        "__piece", *keys,
+        F.coalesce(F.sum("__piece_n").over(by_piece.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("__before"),
+        F.sum("__piece_n").over(Window.partitionBy(*keys)).alias("__total"))
+
+    in_piece = Window.partitionBy("__piece", *keys).orderBy(value) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    ranked = counted.select(
-        *keys, col,
-        F.sum(valid_n).over(running).alias("__cum"),
-        F.sum(valid_n).over(whole).alias("__total"))
-    reached = value.isNotNull() & (F.col("__cum") * 2 >= F.col("__total"))
-    return ranked.groupBy(*keys).agg(F.min(F.when(reached, value)).alias(out))
+    running = sliced.withColumn("__cum", F.sum("__n").over(in_piece))
+    placed = _null_safe_join(running, offsets, ["__piece", *keys], "inner")
+    reached = (F.col("__before") + F.col("__cum")) * 2 >= F.col("__total")
+    medians = placed.filter(reached).groupBy(*keys).agg(F.min(value).alias(out))
+
+    groups = df.select(*keys).distinct()
+    return _null_safe_join(groups, medians, keys, "left")
 
 
 def distinct_count_by_group(df: DataFrame, by: Sequence[str], col: str, out: str,

@@ -96,3 +96,18 @@ def test_top_n_and_median_exact(spark):
     assert rows(top_n_per_group(df, "g", [F.col("v").desc_nulls_last()], n=2).orderBy("g", "v")) == [
         ("a", 4), ("a", 5), ("b", None)]
     assert sorted(rows(median_by_group(df, ["g"], "v", method="exact")), key=str) == [("a", 2), ("b", None)]
+
+
+def test_exact_median_hot_group_split_over_pieces(spark):
+    from postlytics.operators.aggregate import exact_lower_median
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.lit("cold")).alias("g"),
+        ((F.col("id") * 7919) % 10007).alias("v"))
+    got = dict(rows(exact_lower_median(df, ["g"], "v", "m", pieces=16)))
+    data = [(r.g, r.v) for r in df.collect()]
+    for g in ("hot", "cold"):
+        vals = sorted(v for k, v in data if k == g)
+        assert got[g] == vals[(len(vals) + 1) // 2 - 1]
+    plan = exact_lower_median(df, ["g"], "v", "m", pieces=16)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in text
