@@ -21,26 +21,37 @@ from ..functions import (DEFAULT_AGE_BANDS, DEFAULT_ERROR_VALUES, DEFAULT_SUFFIX
 SAVE_LOCATION_PREFIX = "Local save in "
 
 
+def sql_ident(name: str) -> str:
+    """A column name quoted for Spark SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    """A string literal for Spark SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def null_placeholders(df: DataFrame, values: Iterable[str] = ("",), nan: bool = True,
                       cols: Sequence[str] | None = None) -> DataFrame:
     """Turn placeholder text (default: empty text) and NaN into NULL.
 
     Only text columns are compared with ``values`` and only floating columns
     with NaN, like ``DataFrame.replace``; the text ``'NaN'`` stays unless it
-    is listed in ``values``.
+    is listed in ``values``. One projection, written as SQL text.
     """
     targets = set(df.columns if cols is None else cols)
-    texts = list(values)
+    texts = ", ".join(sql_text(v) for v in values)
     exprs = []
     for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
+        c = sql_ident(field.name)
+        expr = c
         if field.name in targets:
             if texts and isinstance(field.dataType, StringType):
-                c = F.when(c.isin(texts), F.lit(None).cast("string")).otherwise(c)
+                expr = f"CASE WHEN {c} IN ({texts}) THEN NULL ELSE {c} END"
             elif nan and isinstance(field.dataType, (DoubleType, FloatType)):
-                c = F.when(F.isnan(c), F.lit(None).cast(field.dataType)).otherwise(c)
-        exprs.append(c.alias(field.name))
-    return df.select(*exprs)
+                expr = f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END"
+        exprs.append(f"{expr} AS {c}")
+    return df.selectExpr(*exprs)
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

@@ -16,7 +16,7 @@ Two families:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the binding (shared with the oracle SQL).
@@ -26,9 +26,30 @@ MILLIONS_MOD = 9973       # <n>M counts use o_orderkey % 9973
 SECONDS_PER_DAY = 86400   # post time = order date + o_orderkey % 86400 seconds
 
 
+# Column types of the driver tables we read. With a schema given
+# up front the reader skips the footer-inference job it would otherwise run.
+TABLE_SCHEMAS: dict[str, str] = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One driver table: ``<root>/<name>.parquet``."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    """One driver table: ``<root>/<name>.parquet`` (declared schema when known)."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
 def _orders(spark: SparkSession, root: str, key: str) -> DataFrame:
@@ -40,47 +61,43 @@ def _orders(spark: SparkSession, root: str, key: str) -> DataFrame:
     return orders
 
 
-def _ind(key: str) -> Column:
-    return F.col("o_orderkey" if key == "order" else "o_custkey").cast("string")
-
+def _ind(key: str) -> str:
+    return f"CAST({'o_orderkey' if key == 'order' else 'o_custkey'} AS STRING)"
 
-def _post_time_text() -> Column:
-    shifted = F.expr(f"timestampadd(SECOND, o_orderkey % {SECONDS_PER_DAY}, o_orderdate)")
-    return F.date_format(shifted, "yyyy-MM-dd HH:mm:ss")
 
+# Expressions are SQL text: one parse per column instead of one driver call
+# per expression node.
+_POST_TIME = ("date_format(timestampadd(SECOND, o_orderkey % {sec}, o_orderdate), "
+              "'yyyy-MM-dd HH:mm:ss')").format(sec=SECONDS_PER_DAY)
 
-def _follower_text() -> Column:
-    k = F.col("o_orderkey")
-    price = F.col("o_totalprice")
-    style = k % COUNT_STYLES
-    whole = F.floor(price).cast("bigint").cast("string")
-    thousands = F.concat(F.floor(price / 1000).cast("bigint").cast("string"), F.lit("."),
-                         (F.floor(price / 100).cast("bigint") % 10).cast("string"), F.lit("k"))
-    millions = F.concat((k % MILLIONS_MOD).cast("string"), F.lit("M"))
-    return (F.when(style == 0, whole).when(style == 1, thousands).when(style == 2, millions)
-            .when(style == 3, F.lit("User Info Error")).otherwise(F.lit("")))
+_FOLLOWERS = f"""CASE o_orderkey % {COUNT_STYLES}
+    WHEN 0 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING)
+    WHEN 1 THEN concat(CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS STRING), '.',
+                       CAST(CAST(floor(o_totalprice / 100) AS BIGINT) % 10 AS STRING), 'k')
+    WHEN 2 THEN concat(CAST(o_orderkey % {MILLIONS_MOD} AS STRING), 'M')
+    WHEN 3 THEN 'User Info Error'
+    ELSE '' END"""
 
 
 def raw_posts(spark: SparkSession, root: str, key: str = "order") -> DataFrame:
     """Post records: one per order (or per fulfilled order, ``key='customer'``)."""
     orders = _orders(spark, root, key).select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     customers = read_table(spark, root, "customer").select("c_custkey", "c_name")
-    k = F.col("o_orderkey")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    return joined.select(
-        F.col("o_orderpriority").alias("category"),
-        F.concat(F.col("o_orderpriority"), F.lit(" order for "), F.col("c_name")).alias("description"),
-        (k % 2).cast("string").alias("downloaded"),
-        _follower_text().alias("follower_count"),
-        F.concat(F.lit("img/"), k.cast("string"), F.lit(".jpg")).alias("image_src"),
-        _ind(key).alias("index"),
-        F.when(k % 3 == 0, F.lit("video")).otherwise(F.lit("image")).alias("is_image_or_video"),
-        F.col("c_name").alias("poster_name"),
-        F.concat(F.lit("Local save in /data/"), F.col("o_orderpriority")).alias("save_location"),
-        F.concat(F.col("o_orderstatus"), F.lit(","), F.col("o_orderpriority")).alias("tag_list"),
-        F.when(k % 11 == 0, F.lit("")).otherwise(F.concat(F.lit("Order "), k.cast("string"))).alias("title"),
-        F.concat(F.lit("pin-"), k.cast("string")).alias("unique_id"),
+    return joined.selectExpr(
+        "o_orderpriority AS category",
+        "concat(o_orderpriority, ' order for ', c_name) AS description",
+        "CAST(o_orderkey % 2 AS STRING) AS downloaded",
+        f"{_FOLLOWERS} AS follower_count",
+        "concat('img/', CAST(o_orderkey AS STRING), '.jpg') AS image_src",
+        f"{_ind(key)} AS index",
+        "CASE WHEN o_orderkey % 3 = 0 THEN 'video' ELSE 'image' END AS is_image_or_video",
+        "c_name AS poster_name",
+        "concat('Local save in /data/', o_orderpriority) AS save_location",
+        "concat(o_orderstatus, ',', o_orderpriority) AS tag_list",
+        "CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE concat('Order ', CAST(o_orderkey AS STRING)) END AS title",
+        "concat('pin-', CAST(o_orderkey AS STRING)) AS unique_id",
     )
 
 
@@ -89,33 +106,29 @@ def raw_locations(spark: SparkSession, root: str, key: str = "order") -> DataFra
     orders = _orders(spark, root, key).select("o_orderkey", "o_custkey", "o_orderdate")
     customers = read_table(spark, root, "customer").select("c_custkey", "c_nationkey")
     nations = read_table(spark, root, "nation").select("n_nationkey", "n_name")
-    c = F.col("o_custkey")
     joined = (orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
               .join(nations, F.col("c_nationkey") == F.col("n_nationkey")))
-    return joined.select(
-        F.col("n_name").alias("country"),
-        _ind(key).alias("ind"),
-        (c % 180 - 90).cast("double").alias("latitude"),
-        (c % 360 - 180).cast("double").alias("longitude"),
-        _post_time_text().alias("timestamp"),
+    return joined.selectExpr(
+        "n_name AS country",
+        f"{_ind(key)} AS ind",
+        "CAST(o_custkey % 180 - 90 AS DOUBLE) AS latitude",
+        "CAST(o_custkey % 360 - 180 AS DOUBLE) AS longitude",
+        f"{_POST_TIME} AS timestamp",
     )
 
 
 def raw_users(spark: SparkSession, root: str) -> DataFrame:
     """User records, one per customer: split names with extra blanks, some
     missing first names and ages, a few malformed join dates."""
-    k = F.col("c_custkey")
-    name = F.col("c_name")
-    joined_text = F.format_string(
-        "%04d-%02d-%02d %02d:%02d:%02d",
-        2014 + k % 8, 1 + k % 12, 1 + k % 28, k % 24, k % 60, (k * 7) % 60)
-    return read_table(spark, root, "customer").select(
-        F.when(k % 17 == 0, F.lit(None).cast("string")).otherwise((15 + k % 50).cast("string")).alias("age"),
-        F.when(k % 101 == 0, F.lit("n/a")).otherwise(joined_text).alias("date_joined"),
-        F.when(k % 13 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit(" "), F.split_part(name, F.lit("#"), F.lit(1)), F.lit("  "))).alias("first_name"),
-        k.cast("string").alias("ind"),
-        F.concat(F.lit("No.   "), F.split_part(name, F.lit("#"), F.lit(2))).alias("last_name"),
+    return read_table(spark, root, "customer").selectExpr(
+        "CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(15 + c_custkey % 50 AS STRING) END AS age",
+        "CASE WHEN c_custkey % 101 = 0 THEN 'n/a' ELSE format_string('%04d-%02d-%02d %02d:%02d:%02d', "
+        "2014 + c_custkey % 8, 1 + c_custkey % 12, 1 + c_custkey % 28, c_custkey % 24, c_custkey % 60, "
+        "(c_custkey * 7) % 60) END AS date_joined",
+        "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE concat(' ', split_part(c_name, '#', 1), '  ') END "
+        "AS first_name",
+        "CAST(c_custkey AS STRING) AS ind",
+        "concat('No.   ', split_part(c_name, '#', 2)) AS last_name",
     )
 
 
