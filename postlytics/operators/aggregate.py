@@ -44,20 +44,22 @@ def exact_lower_median(df: DataFrame, by: Sequence[str], col: str, out: str = "m
     No group is ever handled whole by one task:
 
     1. rows are counted per ``(group, value)`` with a map-side combine, so a
-       group shrinks to its distinct values;
+       group shrinks to its distinct values (NULL values stay as one row per
+       group with weight 0, which keeps all-NULL groups in the result);
     2. the counts are range-partitioned on ``(group, value)`` into ``pieces``
        slices, which cuts a large group into many slices of similar size;
     3. each slice gets running counts (a window over that slice only), and a
        small table of slice totals (at most pieces + groups rows) gives every
        slice the count of the same group's values in earlier slices;
-    4. the first value whose running count reaches half the group total is
-       the median.
+    4. per slice the first value whose running count reaches half the group
+       total is kept, and the smallest of those per group is the median.
     """
     keys = list(by)
     spark = df.sparkSession
     n_pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
     value = F.col(col)
-    counts = df.filter(value.isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__n"))
+    counts = df.groupBy(*keys, col).agg(
+        F.sum(F.when(value.isNotNull(), F.lit(1)).otherwise(F.lit(0))).alias("__n"))
     sliced = counts.repartitionByRange(n_pieces, *keys, col).withColumn("__piece", F.spark_partition_id())
 
     totals = sliced.groupBy("__piece", *keys).agg(F.sum("__n").alias("__piece_n"))
@@ -68,15 +70,13 @@ def exact_lower_median(df: DataFrame, by: Sequence[str], col: str, out: str = "m
                    F.lit(0)).alias("__before"),
         F.sum("__piece_n").over(Window.partitionBy(*keys)).alias("__total"))
 
-    in_piece = Window.partitionBy("__piece", *keys).orderBy(value) \
+    in_piece = Window.partitionBy("__piece", *keys).orderBy(value.asc_nulls_first()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = sliced.withColumn("__cum", F.sum("__n").over(in_piece))
     placed = _null_safe_join(running, offsets, ["__piece", *keys], "inner")
-    reached = (F.col("__before") + F.col("__cum")) * 2 >= F.col("__total")
-    medians = placed.filter(reached).groupBy(*keys).agg(F.min(value).alias(out))
-
-    groups = df.select(*keys).distinct()
-    return _null_safe_join(groups, medians, keys, "left")
+    reached = value.isNotNull() & ((F.col("__before") + F.col("__cum")) * 2 >= F.col("__total"))
+    per_piece = placed.groupBy("__piece", *keys).agg(F.min(F.when(reached, value)).alias("__first"))
+    return per_piece.groupBy(*keys).agg(F.min("__first").alias(out))
 
 
 def distinct_count_by_group(df: DataFrame, by: Sequence[str], col: str, out: str,
