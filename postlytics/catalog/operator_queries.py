@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..functions import age_band, count_multiplier, digit_pattern, join_names, parse_count
+from ..functions import age_band, count_multiplier, digit_pattern, join_names, parse_count, to_ts
 from ..operators.aggregate import median_by_group
-from ..operators.clean import (clean_posts, clean_users, null_placeholders, pack_coordinates, parse_timestamp,
+from ..operators.clean import (cast_columns, clean_posts, clean_users, null_placeholders, pack_coordinates, parse_timestamp,
                                strip_prefix)
 from ..operators.profile import (crosstab_counts, distinct_profile, load_profile, pattern_profile,
-                                 sample_per_group)
+                                 reject_counts, sample_per_group)
 from ..operators.rank import latest_per_key, rows_at_offset, top_n_per_group
 from ..schemas import USER_CLEAN
 from ..sources.bindings import raw_entities, raw_locations, raw_posts, raw_users, read_table
 from ..sources.messages import assign_shard, decode_messages, encode_messages
 from ..sources.sampling import sample_aligned
+from ..sources.views import sql_over
 from .. import plans
 from .queries import entities
 
@@ -151,7 +152,51 @@ def aligned_sample(spark, root):
     return plans.top_category_by_age_group(clean_posts(kept["pin"]), clean_users(kept["user"]))
 
 
+def sql_top_category_by_country(spark, root):
+    pins, geo, _ = entities(spark, root, "order")
+    return sql_over(spark, {"pin": pins, "geo": geo}, """
+        WITH g AS (SELECT ind, country, count(*) AS n FROM {geo} GROUP BY ind, country),
+             p AS (SELECT ind, category, count(*) AS n FROM {pin} GROUP BY ind, category),
+             counts AS (SELECT g.country, p.category, sum(g.n * p.n) AS category_count
+                        FROM g JOIN p ON g.ind = p.ind GROUP BY g.country, p.category)
+        SELECT country, category, category_count FROM (
+          SELECT *, row_number() OVER (PARTITION BY country
+                                       ORDER BY category_count DESC, category ASC NULLS LAST) AS rn
+          FROM counts)
+        WHERE rn = 1
+        ORDER BY country""")
+
+
+def sql_sample_per_pattern(spark, root):
+    posts = raw_posts(spark, root).select(
+        "follower_count", parse_count("follower_count").alias("follower_count_numeric"),
+        digit_pattern("follower_count").alias("follower_count_pattern"))
+    sampled = sql_over(spark, {"posts": posts}, """
+        SELECT follower_count_pattern, follower_count, follower_count_numeric FROM (
+          SELECT *, row_number() OVER (PARTITION BY follower_count_pattern ORDER BY rand(5)) AS rn
+          FROM {posts})
+        WHERE rn <= 5""")
+    return sampled.groupBy("follower_count_pattern").agg(F.count(F.lit(1)).alias("sampled"))
+
+
+def cast_post_columns(spark, root):
+    posts = raw_posts(spark, root).select("unique_id", "index", "downloaded")
+    return cast_columns(posts, {"index": "bigint", "downloaded": "int"})
+
+
+def join_date_rejects(spark, root):
+    users = raw_users(spark, root)
+    return reject_counts(users, {
+        "date_joined_rejects": F.col("date_joined").isNotNull() & to_ts("date_joined").isNull(),
+        "age_rejects": F.col("age").isNotNull() & F.col("age").try_cast("int").isNull(),
+    })
+
+
 OPERATOR_QUERIES = {
+    "sql_top_category_by_country": sql_top_category_by_country,
+    "sql_sample_per_group": sql_sample_per_pattern,
+    "cast_columns": cast_post_columns,
+    "reject_counts": join_date_rejects,
     "parse_count_digits": parse_count_digits,
     "parse_count_decimal": parse_count_decimal,
     "null_placeholders": null_placeholders_posts,

@@ -270,3 +270,16 @@ ORACLE.update({
 for _name in ("median_followers_by_age_group", "median_followers_by_year_joined",
               "median_followers_by_year_and_age"):
     ORACLE[_name + "_sketch"] = ORACLE[_name]
+
+ORACLE.update({
+    "sql_top_category_by_country": ORACLE["top_category_by_country"],
+    "sql_sample_per_group": ORACLE["sample_per_group"],
+    "cast_columns": _raw(
+        'SELECT unique_id, TRY_CAST("index" AS BIGINT) AS "index", '
+        "TRY_CAST(downloaded AS INTEGER) AS downloaded FROM raw_pin"),
+    "reject_counts": _raw(
+        "SELECT count(*) FILTER (WHERE date_joined IS NOT NULL AND "
+        "try_strptime(date_joined, '%Y-%m-%d %H:%M:%S') IS NULL) AS date_joined_rejects, "
+        "count(*) FILTER (WHERE age IS NOT NULL AND TRY_CAST(age AS INTEGER) IS NULL) AS age_rejects "
+        "FROM raw_usr"),
+})
