@@ -283,3 +283,9 @@ ORACLE.update({
         "count(*) FILTER (WHERE age IS NOT NULL AND TRY_CAST(age AS INTEGER) IS NULL) AS age_rejects "
         "FROM raw_usr"),
 })
+
+_REPORTED = ["top_category_by_country", "top_category_by_year", "top_user_by_country",
+             "top_country_by_followers", "top_category_by_age_group", "median_followers_by_age_group",
+             "users_joined_by_year", "median_followers_by_year_joined", "median_followers_by_year_and_age"]
+ORACLE["batch_report"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS question, count(*) AS \"rows\" FROM ({ORACLE[name]})" for name in _REPORTED)

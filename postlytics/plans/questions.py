@@ -105,9 +105,18 @@ def users_with_latest_post(pins: DataFrame, locations: DataFrame, users: DataFra
 def median_followers_by_age_group(pins: DataFrame, locations: DataFrame, users: DataFrame,
                                   method: str = "approx", bands=DEFAULT_AGE_BANDS) -> DataFrame:
     """Q6: median follower count per age group (latest post per user)."""
-    base = users_with_latest_post(pins, locations, users, bands)
-    return (median_by_group(base, ["age_group"], "follower_count", method, out="median_follower_count")
-            .orderBy("age_group"))
+    return medians_from_base(users_with_latest_post(pins, locations, users, bands),
+                             ["age_group"], method)
+
+
+def medians_from_base(base: DataFrame, by: list[str], method: str = "approx",
+                      years: tuple[int, int] | None = None) -> DataFrame:
+    """Q6, Q8, Q9 from a J3 result (:func:`users_with_latest_post`), optionally
+    restricted to join years (both bounds included)."""
+    if years is not None:
+        base = base.filter(F.col("year_joined").between(*years))
+    return (median_by_group(base, by, "follower_count", method, out="median_follower_count")
+            .orderBy(*by))
 
 
 def users_joined_by_year(users: DataFrame, first_year: int = 2015, last_year: int = 2020) -> DataFrame:
@@ -122,25 +131,17 @@ def users_joined_by_year(users: DataFrame, first_year: int = 2015, last_year: in
             .orderBy("year_joined"))
 
 
-def _joined_in(pins, locations, users, first_year, last_year, bands):
-    base = users_with_latest_post(pins, locations, users, bands)
-    return base.filter(F.col("year_joined").between(first_year, last_year))
-
-
 def median_followers_by_year_joined(pins: DataFrame, locations: DataFrame, users: DataFrame,
                                     first_year: int = 2015, last_year: int = 2020,
                                     method: str = "approx") -> DataFrame:
     """Q8: median follower count per join year."""
-    base = _joined_in(pins, locations, users, first_year, last_year, DEFAULT_AGE_BANDS)
-    return (median_by_group(base, ["year_joined"], "follower_count", method, out="median_follower_count")
-            .orderBy("year_joined"))
+    base = users_with_latest_post(pins, locations, users)
+    return medians_from_base(base, ["year_joined"], method, (first_year, last_year))
 
 
 def median_followers_by_year_and_age(pins: DataFrame, locations: DataFrame, users: DataFrame,
                                      first_year: int = 2015, last_year: int = 2020,
                                      method: str = "approx", bands=DEFAULT_AGE_BANDS) -> DataFrame:
     """Q9: median follower count per join year and age group."""
-    base = _joined_in(pins, locations, users, first_year, last_year, bands)
-    return (median_by_group(base, ["year_joined", "age_group"], "follower_count", method,
-                            out="median_follower_count")
-            .orderBy("year_joined", "age_group"))
+    base = users_with_latest_post(pins, locations, users, bands)
+    return medians_from_base(base, ["year_joined", "age_group"], method, (first_year, last_year))

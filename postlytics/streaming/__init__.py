@@ -1,5 +1,7 @@
 """Structured Streaming: message sources, cleaning on streams, append sinks."""
 
-from .sinks import append_stream, clean_stream, read_messages_stream, run_entity_streams
+from .sinks import (append_stream, clean_stream, read_messages_stream, reject_stream,
+                    run_entity_streams)
 
-__all__ = ["append_stream", "clean_stream", "read_messages_stream", "run_entity_streams"]
+__all__ = ["append_stream", "clean_stream", "read_messages_stream", "reject_stream",
+           "run_entity_streams"]

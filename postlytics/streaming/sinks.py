@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.clean import CLEANERS
 from ..schemas import SCHEMAS
-from ..sources.messages import decode_messages
+from ..sources.messages import BAD_COL, decode_messages
 
 
 def read_messages_stream(spark: SparkSession, source_format: str = "text", path: str | None = None,
@@ -87,20 +88,36 @@ def clean_stream(messages: DataFrame, entity: str, payload: str = "value",
     return CLEANERS[entity](records, **clean_options)
 
 
+def reject_stream(messages: DataFrame, entity: str, payload: str = "value") -> DataFrame:
+    """Messages of one entity that do not decode (D15), as their raw payload text."""
+    flagged = decode_messages(messages.withColumn("__payload", F.col(payload).cast("string")),
+                              SCHEMAS[entity], payload="__payload", on_bad="flag", keep=["__payload"])
+    return flagged.filter(F.col(BAD_COL)).select(
+        F.lit(entity).alias("entity"), F.col("__payload").alias("payload"))
+
+
 def run_entity_streams(spark: SparkSession, sources: Mapping[str, DataFrame], target_root: str,
                        sink_format: str = "parquet", trigger: Mapping[str, object] | None = None,
-                       payload: str = "value") -> dict[str, StreamingQuery]:
+                       payload: str = "value", rejects: bool = False) -> dict[str, StreamingQuery]:
     """One append query per entity (K2): ``sources`` maps entity -> message stream.
 
     Tables go to ``<target_root>/<entity>``, checkpoints to
-    ``<target_root>/_checkpoints/<entity>``. Queries run concurrently; the
-    caller waits with ``awaitTermination`` or ``spark.streams.awaitAnyTermination``.
+    ``<target_root>/_checkpoints/<entity>``. With ``rejects`` a second query
+    per entity appends undecodable messages to ``<target_root>/_rejects/<entity>``
+    (the reference appends them as empty rows instead). Queries run
+    concurrently; the caller waits with ``awaitTermination`` or
+    ``spark.streams.awaitAnyTermination``.
     """
     root = target_root.rstrip("/")
-    return {
-        entity: append_stream(clean_stream(stream, entity, payload=payload),
-                              path=f"{root}/{entity}", checkpoint=f"{root}/_checkpoints/{entity}",
-                              sink_format=sink_format, trigger=trigger,
-                              query_name=f"clean_{entity}")
-        for entity, stream in sources.items()
-    }
+    queries = {}
+    for entity, stream in sources.items():
+        queries[entity] = append_stream(
+            clean_stream(stream, entity, payload=payload), path=f"{root}/{entity}",
+            checkpoint=f"{root}/_checkpoints/{entity}", sink_format=sink_format, trigger=trigger,
+            query_name=f"clean_{entity}")
+        if rejects:
+            queries[f"{entity}_rejects"] = append_stream(
+                reject_stream(stream, entity, payload), path=f"{root}/_rejects/{entity}",
+                checkpoint=f"{root}/_checkpoints/{entity}_rejects", sink_format=sink_format,
+                trigger=trigger, query_name=f"rejects_{entity}")
+    return queries

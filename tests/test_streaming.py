@@ -46,3 +46,32 @@ def test_append_stream_requires_checkpoint(spark):
     stream = read_messages_stream(spark, "rate")
     with pytest.raises(ValueError):
         append_stream(clean_stream(stream, "pin"), path="/tmp/x", checkpoint=None)
+
+
+def test_rejects_are_routed(spark):
+    from postlytics.streaming import run_entity_streams
+    base = fresh_dir(spark, "test-rejects")
+    inbox = f"{base}/in"
+    lines = ['{"country":"Peru","ind":"1","latitude":1.5,"longitude":2.0,"timestamp":"2020-01-01 00:00:00"}',
+             "{bad", '{"country":"Chile","ind":"2","latitude":"x"}']
+    spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(inbox)
+    stream = read_messages_stream(spark, "text", inbox)
+    queries = run_entity_streams(spark, {"geo": stream}, f"{base}/tables", trigger=NOW, rejects=True)
+    for q in queries.values():
+        q.awaitTermination()
+    good = spark.read.parquet(f"{base}/tables/geo").collect()
+    bad = spark.read.parquet(f"{base}/tables/_rejects/geo").collect()
+    assert [r.country for r in good] == ["Peru"]
+    assert sorted(r.payload for r in bad) == sorted(lines[1:])
+
+
+def test_report_matches_single_questions(spark):
+    from postlytics import plans
+    from postlytics.catalog import QUERIES, entities
+    from postlytics.catalog.queries import JOIN_YEARS, POST_YEARS
+    pins, geo, users = entities(spark, SMALL, "customer")
+    answers = plans.answer_questions(pins, geo, users, POST_YEARS, JOIN_YEARS, method="exact")
+    for name in ["top_user_by_country", "top_country_by_followers", "top_category_by_age_group",
+                 "median_followers_by_age_group", "users_joined_by_year",
+                 "median_followers_by_year_joined", "median_followers_by_year_and_age"]:
+        assert sorted(rows(answers[name]), key=str) == sorted(rows(QUERIES[name](spark, SMALL)), key=str), name
