@@ -141,14 +141,14 @@ def encode_decode_roundtrip(spark, root):
 
 
 def shard_counts(spark, root):
-    posts = assign_shard(raw_posts(spark, root), "index", 4)
+    posts = assign_shard(raw_posts(spark, root), "index", 4, hash="md5")
     return posts.groupBy("shard").agg(F.count(F.lit(1)).alias("messages"))
 
 
 def aligned_sample(spark, root):
     raw = raw_entities(spark, root, "customer")
     kept = sample_aligned({"pin": raw["pin"], "user": raw["user"]}, {"pin": "index", "user": "ind"},
-                          fraction=0.25, seed=7)
+                          fraction=0.25, seed=7, hash="md5")
     return plans.top_category_by_age_group(clean_posts(kept["pin"]), clean_users(kept["user"]))
 
 

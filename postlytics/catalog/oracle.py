@@ -289,3 +289,25 @@ _REPORTED = ["top_category_by_country", "top_category_by_year", "top_user_by_cou
              "users_joined_by_year", "median_followers_by_year_joined", "median_followers_by_year_and_age"]
 ORACLE["batch_report"] = " UNION ALL ".join(
     f"SELECT '{name}' AS question, count(*) AS \"rows\" FROM ({ORACLE[name]})" for name in _REPORTED)
+
+
+def _md5_hash(key: str, seed: int) -> str:
+    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT)"
+
+
+_KEPT = f"{_md5_hash('ind', 7)} % 1000000 < 250000"
+ORACLE.update({
+    "shard_counts": _raw(
+        f'SELECT CAST({_md5_hash(chr(34) + "index" + chr(34), 0)} % 4 AS INTEGER) AS shard, '
+        "count(*) AS messages FROM raw_pin GROUP BY 1"),
+    "aligned_sample": f"""WITH {entities_sql('customer')},
+kept_pin AS (SELECT * FROM pin WHERE {_KEPT}),
+kept_usr AS (SELECT * FROM usr WHERE {_KEPT}),
+counts AS (
+  SELECT {AGE_GROUP} AS age_group, category, count(*) AS category_count
+  FROM kept_usr u JOIN kept_pin p ON u.ind = p.ind GROUP BY 1, 2),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY age_group
+    ORDER BY category_count DESC, category ASC NULLS LAST) AS rn FROM counts)
+SELECT age_group, category, category_count FROM ranked WHERE rn = 1""",
+})

@@ -71,12 +71,14 @@ def decode_messages(df: DataFrame, schema: StructType, payload: str = "value",
     return parsed.select(*keep, *fields)
 
 
-def assign_shard(df: DataFrame, key: str | Column, n: int, out: str = "shard") -> DataFrame:
-    """Deterministic shard number in ``[0, n)`` from a key hash (K6): one key, one shard."""
+def assign_shard(df: DataFrame, key: str | Column, n: int, out: str = "shard",
+                 hash: str = "xxhash64") -> DataFrame:
+    """Deterministic shard number in ``[0, n)`` from a key hash (K6): one key, one shard.
+    ``hash`` as in :func:`postlytics.sources.sampling.key_hash`."""
+    from .sampling import key_hash
     if n < 1:
         raise ValueError("n must be at least 1")
-    k = F.col(key) if isinstance(key, str) else key
-    return df.withColumn(out, F.pmod(F.xxhash64(k.cast("string")), F.lit(n)).cast("int"))
+    return df.withColumn(out, F.pmod(key_hash(key, 0, hash), F.lit(n)).cast("int"))
 
 
 def land_topics(messages: DataFrame, root: str, partitions: int = 1, mode: str = "append") -> None:

@@ -10,14 +10,28 @@ from pyspark.sql import functions as F
 BUCKETS = 1_000_000
 
 
-def key_bucket(key: Column | str, seed: int = 0) -> Column:
+def key_hash(key: Column | str, seed: int = 0, hash: str = "xxhash64") -> Column:
+    """Non-negative 64-bit hash of a key's text and a seed.
+
+    ``xxhash64`` is the fast default; ``md5`` (first 32 bits of the digest of
+    ``<key>:<seed>``) is slower but portable, so another engine can repeat it.
+    """
+    k = (F.col(key) if isinstance(key, str) else key).cast("string")
+    if hash == "xxhash64":
+        return F.xxhash64(k, F.lit(seed))
+    if hash == "md5":
+        digest = F.md5(F.concat(k, F.lit(f":{seed}")))
+        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    raise ValueError("hash must be 'xxhash64' or 'md5'")
+
+
+def key_bucket(key: Column | str, seed: int = 0, hash: str = "xxhash64") -> Column:
     """Stable bucket in ``[0, 1_000_000)`` of a key's text and a seed."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(k.cast("string"), F.lit(seed)), F.lit(BUCKETS))
+    return F.pmod(key_hash(key, seed, hash), F.lit(BUCKETS))
 
 
 def sample_aligned(frames: Mapping[str, DataFrame], keys: Mapping[str, str] | str,
-                   fraction: float, seed: int = 0) -> dict[str, DataFrame]:
+                   fraction: float, seed: int = 0, hash: str = "xxhash64") -> dict[str, DataFrame]:
     """Keep about ``fraction`` of the keys, and for a kept key all its rows,
     in every frame. ``keys`` is one column name or a column per frame.
 
@@ -30,5 +44,5 @@ def sample_aligned(frames: Mapping[str, DataFrame], keys: Mapping[str, str] | st
     out = {}
     for name, df in frames.items():
         key = keys if isinstance(keys, str) else keys[name]
-        out[name] = df.filter(key_bucket(key, seed) < limit)
+        out[name] = df.filter(key_bucket(key, seed, hash) < limit)
     return out
