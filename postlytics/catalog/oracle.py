@@ -311,3 +311,5 @@ ranked AS (
     ORDER BY category_count DESC, category ASC NULLS LAST) AS rn FROM counts)
 SELECT age_group, category, category_count FROM ranked WHERE rn = 1""",
 })
+
+ORACLE["streamed_top_user_by_country"] = ORACLE["top_user_by_country"]

@@ -40,6 +40,24 @@ def _stream_clean(entity):
     return run
 
 
+def streamed_top_user_by_country(spark, root):
+    """The three entity streams run concurrently (K2) into tables; Q3 is then
+    answered over the streamed tables."""
+    from .. import plans
+    base = fresh_dir(spark, "streamed-questions")
+    raw = raw_entities(spark, root, "customer")
+    for entity in ("pin", "geo"):
+        _land(raw[entity], base, entity)
+    sources = {entity: read_messages_stream(spark, "text", topic_path(base, entity))
+               for entity in ("pin", "geo")}
+    queries = run_entity_streams(spark, sources, f"{base}/tables", trigger={"availableNow": True})
+    for q in queries.values():
+        q.awaitTermination()
+    pins = spark.read.parquet(f"{base}/tables/pin")
+    geo = spark.read.parquet(f"{base}/tables/geo")
+    return plans.top_user_by_country(pins, geo)
+
+
 def landed_topics(spark, root):
     base = fresh_dir(spark, "landed")
     for entity, raw in raw_entities(spark, root, "order").items():
@@ -83,6 +101,7 @@ def batch_report(spark, root):
 
 
 STREAM_QUERIES = {
+    "streamed_top_user_by_country": streamed_top_user_by_country,
     "batch_report": batch_report,
     "stream_clean_posts": _stream_clean("pin"),
     "stream_clean_locations": _stream_clean("geo"),

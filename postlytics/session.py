@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Call-site capture for error messages costs three driver round trips per
+    # API call; jobs built from hundreds of expressions pay for it in planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
