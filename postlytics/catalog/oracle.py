@@ -313,3 +313,4 @@ SELECT age_group, category, category_count FROM ranked WHERE rn = 1""",
 })
 
 ORACLE["streamed_top_user_by_country"] = ORACLE["top_user_by_country"]
+ORACLE["compacted_topic_posts"] = ORACLE["clean_posts"]

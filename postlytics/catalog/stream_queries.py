@@ -14,7 +14,7 @@ from ..schemas import POST_RAW, USER_RAW
 from ..session import fresh_dir
 from ..sources.bindings import raw_entities, raw_posts, raw_users
 from ..sources.messages import encode_messages, land_topics
-from ..sources.topics import (read_delimited, read_landed, read_topic, select_topics, topic_path,
+from ..sources.topics import (compact_topic, read_delimited, read_landed, read_topic, select_topics, topic_path,
                               write_delimited)
 from ..streaming.sinks import read_messages_stream, run_entity_streams
 
@@ -66,6 +66,15 @@ def landed_topics(spark, root):
     return messages.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 
 
+def compacted_topic_posts(spark, root):
+    """Posts landed as many small files, compacted, then read and cleaned."""
+    base = fresh_dir(spark, "compaction")
+    messages = encode_messages(raw_posts(spark, root), topic="pin", key="index")
+    land_topics(messages.repartition(64), base, partitions=SHARDS)
+    compact_topic(spark, base, "pin", f"{base}/compacted", files=2)
+    return clean_posts(read_topic(spark, f"{base}/compacted", "pin", POST_RAW))
+
+
 def read_topic_posts(spark, root):
     base = fresh_dir(spark, "topic-read")
     _land(raw_posts(spark, root), base, "pin")
@@ -108,5 +117,6 @@ STREAM_QUERIES = {
     "stream_clean_users": _stream_clean("user"),
     "landed_topics": landed_topics,
     "read_topic_posts": read_topic_posts,
+    "compacted_topic_posts": compacted_topic_posts,
     "read_delimited_roundtrip": read_delimited_roundtrip,
 }

@@ -57,3 +57,19 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Tru
                     mode: str = "overwrite") -> None:
     """Delimited text with a header row (the counterpart of :func:`read_delimited`)."""
     df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+
+
+def compact_topic(spark: SparkSession, root: str, topic: str, out_root: str, files: int,
+                  layout: str = "hive", mode: str = "overwrite") -> str:
+    """Rewrite one topic's many small files as about ``files`` balanced files per
+    partition folder under ``<out_root>/topics/topic=<t>/`` (the landing writes
+    one file per record in the reference). Returns the new topic folder.
+
+    A round-robin repartition spreads the records evenly whatever the folder
+    sizes, so no task receives a whole large partition folder.
+    """
+    out = topic_path(out_root, topic, "hive")
+    (spark.read.text(topic_path(root, topic, layout))
+     .repartition(files)
+     .write.mode(mode).partitionBy("partition").text(out))
+    return out

@@ -61,3 +61,27 @@ def test_sample_aligned_keeps_same_keys(spark):
     kb = {r.key for r in out["b"].collect()}
     assert 450 < len(ka) < 750
     assert kb == {k for k in ka if k % 2 == 0}
+
+
+def test_connector_layout_and_compaction(spark):
+    import json
+    import os
+    from postlytics.sources import compact_topic
+    base = fresh_dir(spark, "test-connector")
+    # the reference's sink layout: topics/<topic>/partition=<p>/<one record>.json
+    if base.startswith("file:"):
+        base = base[5:]
+    for p in range(2):
+        folder = f"{base}/topics/app.geo/partition={p}"
+        os.makedirs(folder, exist_ok=True)
+        for i in range(3):
+            rec = {"country": "Peru", "ind": str(p * 10 + i), "latitude": 1.0, "longitude": 2.0,
+                   "timestamp": "2020-01-01 00:00:00"}
+            with open(f"{folder}/{i}.json", "w") as fh:
+                fh.write(json.dumps(rec))
+    back = read_topic(spark, base, "app.geo", LOCATION_RAW, layout="connector")
+    assert sorted(int(r.ind) for r in back.collect()) == [0, 1, 2, 10, 11, 12]
+    out = compact_topic(spark, base, "app.geo", f"{base}/compacted", files=1, layout="connector")
+    again = read_topic(spark, f"{base}/compacted", "app.geo", LOCATION_RAW)
+    assert sorted(rows(again)) == sorted(rows(back))
+    assert out.endswith("topics/topic=app.geo")
