@@ -53,9 +53,15 @@ def exact_lower_median(df: DataFrame, by: Sequence[str], col: str, out: str = "m
        slice the count of the same group's values in earlier slices;
     4. per slice the first value whose running count reaches half the group
        total is kept, and the smallest of those per group is the median.
+
+    Both branches (slice totals and running counts) read one range exchange,
+    which Spark reuses, so they agree on slice ids; the function therefore
+    refuses to run with exchange reuse switched off.
     """
     keys = list(by)
     spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        raise ValueError("exact medians need spark.sql.exchange.reuse=true")
     n_pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
     value = F.col(col)
     counts = df.groupBy(*keys, col).agg(

@@ -24,6 +24,21 @@ BASE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (pass to get_session or set in the
+# deployment). Shuffle partitions are set high and AQE coalesces them to the
+# advisory size at run time, so small stages stay small and big ones get
+# enough tasks; skewed join partitions are split; scans pack small files.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.files.openCostInBytes": "8m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_session(master: str | None = None, app: str = "postlytics",
                 shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """Build (or reuse) a session with :data:`BASE_CONF` applied.

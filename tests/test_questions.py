@@ -111,3 +111,15 @@ def test_exact_median_hot_group_split_over_pieces(spark):
     plan = exact_lower_median(df, ["g"], "v", "m", pieces=16)
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in text
+
+
+def test_exact_median_requires_exchange_reuse(spark):
+    import pytest
+    from postlytics.operators.aggregate import exact_lower_median
+    df = spark.createDataFrame([("a", 1)], "g string, v long")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        with pytest.raises(ValueError):
+            exact_lower_median(df, ["g"], "v")
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
