@@ -39,3 +39,64 @@ def test_parse_count_matches_model(spark, values):
     for v, r in zip(values, got):
         assert r.d == model(v, "digits"), v
         assert r.m == model(v, "decimal"), v
+
+
+rows_st = st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(-50, 50))),
+                   min_size=1, max_size=60)
+
+
+@settings(max_examples=3, deadline=None)
+@given(rows_st)
+def test_top1_is_group_max(spark, data):
+    from pyspark.sql import functions as F
+    from postlytics.operators import top_n_per_group
+    df = spark.createDataFrame(data, "g int, v int")
+    got = top_n_per_group(df, "g", [F.col("v").desc_nulls_last()]).collect()
+    groups = {g for g, _ in data}
+    assert sorted(r.g for r in got) == sorted(groups)
+    for r in got:
+        vals = [v for g, v in data if g == r.g and v is not None]
+        assert r.v == (max(vals) if vals else None)
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.sampled_from("ab")), min_size=1, max_size=40),
+       st.lists(st.tuples(st.integers(0, 4), st.sampled_from("xyz")), min_size=1, max_size=40))
+def test_pair_counts_matches_brute_force(spark, left, right):
+    from collections import Counter
+    from postlytics.operators import pair_counts
+    ldf = spark.createDataFrame(left, "ind int, a string")
+    rdf = spark.createDataFrame(right, "ind int, b string")
+    expect = Counter((a, b) for k1, a in left for k2, b in right if k1 == k2)
+    got = {(r.a, r.b): r["count"] for r in pair_counts(ldf, rdf, "ind", ["a"], ["b"]).collect()}
+    assert got == dict(expect)
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.text(max_size=8)),
+                          st.one_of(st.none(), st.integers(-2**40, 2**40)),
+                          st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False, width=32))),
+                min_size=1, max_size=30))
+def test_encode_decode_identity(spark, data):
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+    from postlytics.sources import decode_messages, encode_messages
+    schema = StructType([StructField("s", StringType()), StructField("n", LongType()),
+                         StructField("x", DoubleType())])
+    df = spark.createDataFrame(data, schema)
+    back = decode_messages(encode_messages(df, topic="t"), schema)
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
+@settings(max_examples=2, deadline=None)
+@given(st.lists(st.integers(0, 10**6), min_size=1, max_size=3000), st.sampled_from([50, 200, 10000]))
+def test_sketch_median_rank_error(spark, values, accuracy):
+    from postlytics.operators import median_by_group
+    df = spark.createDataFrame([("g", v) for v in values], "g string, v long")
+    got = median_by_group(df, ["g"], "v", method="approx", accuracy=accuracy).first()["median"]
+    ordered = sorted(values)
+    assert got in set(values)
+    target = (len(ordered) + 1) // 2 - 1
+    lo = sum(1 for v in ordered if v < got)
+    hi = sum(1 for v in ordered if v <= got) - 1
+    allowed = len(ordered) / accuracy + 1
+    assert lo - allowed <= target <= hi + allowed
