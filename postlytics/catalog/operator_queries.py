@@ -11,7 +11,7 @@ from ..operators.clean import (cast_columns, clean_posts, clean_users, null_plac
                                strip_prefix)
 from ..operators.profile import (crosstab_counts, distinct_profile, load_profile, pattern_profile,
                                  reject_counts, sample_per_group)
-from ..operators.rank import latest_per_key, rows_at_offset, top_n_per_group
+from ..operators.rank import dedupe_records, latest_per_key, rows_at_offset, top_n_per_group
 from ..schemas import USER_CLEAN
 from ..sources.bindings import raw_entities, raw_locations, raw_posts, raw_users, read_table
 from ..sources.messages import assign_shard, decode_messages, encode_messages
@@ -192,7 +192,26 @@ def join_date_rejects(spark, root):
     })
 
 
+def category_counts_latest_only(spark, root):
+    """D4 with de-duplication: each user's latest location and highest-count
+    post only, then the country x category counts."""
+    pins, geo, _ = entities(spark, root, "customer")
+    latest_geo = dedupe_records(geo, "latest", key="ind", ts="timestamp",
+                                tie=[F.col("country").asc_nulls_last()])
+    best_pin = top_n_per_group(pins, "ind", [F.col("follower_count").desc_nulls_last(),
+                                             F.col("unique_id").asc_nulls_last()])
+    return plans.category_counts(best_pin, latest_geo)
+
+
+def distinct_posts(spark, root):
+    """Exact de-duplication of post records (the same order posted twice counts once)."""
+    posts = raw_posts(spark, root, "customer").select("index", "category", "poster_name")
+    return dedupe_records(posts, "exact")
+
+
 OPERATOR_QUERIES = {
+    "category_counts_latest_only": category_counts_latest_only,
+    "distinct_posts": distinct_posts,
     "sql_top_category_by_country": sql_top_category_by_country,
     "sql_sample_per_group": sql_sample_per_pattern,
     "cast_columns": cast_post_columns,

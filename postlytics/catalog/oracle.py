@@ -314,3 +314,12 @@ SELECT age_group, category, category_count FROM ranked WHERE rn = 1""",
 
 ORACLE["streamed_top_user_by_country"] = ORACLE["top_user_by_country"]
 ORACLE["compacted_topic_posts"] = ORACLE["clean_posts"]
+
+ORACLE["category_counts_latest_only"] = f"""WITH {entities_sql('customer')},
+g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ind
+        ORDER BY "timestamp" DESC NULLS LAST, country ASC NULLS LAST) AS rn FROM geo) WHERE rn = 1),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ind
+        ORDER BY follower_count DESC NULLS LAST, unique_id ASC NULLS LAST) AS rn FROM pin) WHERE rn = 1)
+SELECT country, category, count(*) AS category_count FROM g JOIN p ON g.ind = p.ind GROUP BY 1, 2"""
+ORACLE["distinct_posts"] = _raw(
+    'SELECT DISTINCT "index", category, poster_name FROM raw_pin', family="customer")

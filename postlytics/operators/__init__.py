@@ -7,11 +7,11 @@ from .clean import (CLEANERS, SAVE_LOCATION_PREFIX, cast_columns, clean_location
 from .joins import pair_counts
 from .profile import (crosstab_counts, distinct_profile, load_profile, pattern_profile,
                       reject_counts, sample_per_group)
-from .rank import latest_per_key, rows_at_offset, top_joined_per_key, top_n_per_group
+from .rank import dedupe_records, latest_per_key, rows_at_offset, top_joined_per_key, top_n_per_group
 
 __all__ = [
     "CLEANERS", "DEFAULT_ACCURACY", "SAVE_LOCATION_PREFIX", "cast_columns", "clean_locations",
-    "clean_posts", "clean_users", "combine_names", "crosstab_counts", "distinct_count_by_group",
+    "clean_posts", "clean_users", "combine_names", "crosstab_counts", "dedupe_records", "distinct_count_by_group",
     "distinct_profile", "latest_per_key", "load_profile", "median_by_group", "null_placeholders",
     "pack_coordinates", "pair_counts", "parse_timestamp", "pattern_profile", "reject_counts",
     "rows_at_offset", "sample_per_group", "strip_prefix", "top_joined_per_key", "top_n_per_group",

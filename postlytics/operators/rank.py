@@ -59,3 +59,21 @@ def rows_at_offset(df: DataFrame, order: Sequence[Column | str] | Column | str,
                    offset: int, n: int = 1) -> DataFrame:
     """``n`` rows after skipping ``offset`` rows of a total order."""
     return df.orderBy(*_cols(order)).offset(offset).limit(n)
+
+
+def dedupe_records(df: DataFrame, mode: str = "exact", key: str | None = None,
+                   ts: str | None = None, tie: Sequence[Column | str] = ()) -> DataFrame:
+    """Remove repeated records ahead of a join (the option of D4).
+
+    ``exact`` drops rows identical in every column (an aggregate with a
+    map-side combine, so a record repeated a million times costs one row per
+    task); ``latest`` keeps the newest row per ``key`` by ``ts`` (ties by
+    ``tie``) with the same per-task limit as :func:`top_n_per_group`.
+    """
+    if mode == "exact":
+        return df.dropDuplicates()
+    if mode == "latest":
+        if key is None or ts is None:
+            raise ValueError("mode='latest' needs key and ts")
+        return latest_per_key(df, key, ts, tie)
+    raise ValueError("mode must be 'exact' or 'latest'")
