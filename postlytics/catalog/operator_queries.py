@@ -7,8 +7,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions import age_band, count_multiplier, digit_pattern, join_names, parse_count, to_ts
 from ..operators.aggregate import median_by_group
-from ..operators.clean import (cast_columns, clean_posts, clean_users, null_placeholders, pack_coordinates, parse_timestamp,
-                               strip_prefix)
+from ..operators.clean import (cast_columns, clean_posts, clean_users, null_placeholders,
+                               pack_coordinates, parse_timestamp, strip_prefix)
 from ..operators.profile import (crosstab_counts, distinct_profile, load_profile, pattern_profile,
                                  reject_counts, sample_per_group)
 from ..operators.rank import dedupe_records, latest_per_key, rows_at_offset, top_n_per_group

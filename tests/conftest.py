@@ -15,8 +15,9 @@ def spark():
     from postlytics.session import get_session
     session = get_session("local[*]", app="postlytics-tests", shuffle_partitions=8)
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="postlytics-tests-"))
+    if not session.conf.get("spark.checkpoint.dir", None) and not session.sparkContext.getCheckpointDir():
+        # tests only: pick a scratch folder when the deployment names none
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="postlytics-tests-"))
     yield session
     session.stop()
 
