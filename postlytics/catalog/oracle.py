@@ -323,3 +323,4 @@ p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ind
 SELECT country, category, count(*) AS category_count FROM g JOIN p ON g.ind = p.ind GROUP BY 1, 2"""
 ORACLE["distinct_posts"] = _raw(
     'SELECT DISTINCT "index", category, poster_name FROM raw_pin', family="customer")
+ORACLE["batch_from_topics"] = ORACLE["median_followers_by_year_and_age"]

@@ -109,7 +109,22 @@ def batch_report(spark, root):
     return result
 
 
+def batch_from_topics(spark, root):
+    """The daily run end to end: the customer family landed as topics, then
+    read, cleaned, answered and written by ``run_batch``; returns the rows of
+    one answer table (median follower count per join year and age group)."""
+    from .. import plans
+    from .queries import JOIN_YEARS, POST_YEARS
+    base = fresh_dir(spark, "daily")
+    for entity, raw in raw_entities(spark, root, "customer").items():
+        _land(raw, base, entity)
+    paths = plans.run_batch(spark, base, f"{base}/answers", layout="hive", post_years=POST_YEARS,
+                            join_years=JOIN_YEARS, method="exact")
+    return spark.read.parquet(paths["median_followers_by_year_and_age"])
+
+
 STREAM_QUERIES = {
+    "batch_from_topics": batch_from_topics,
     "streamed_top_user_by_country": streamed_top_user_by_country,
     "batch_report": batch_report,
     "stream_clean_posts": _stream_clean("pin"),

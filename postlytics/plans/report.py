@@ -39,11 +39,82 @@ def answer_questions(pins: DataFrame, locations: DataFrame, users: DataFrame,
 
 
 def write_answers(answers: dict[str, DataFrame], root: str, fmt: str = "parquet",
-                  mode: str = "overwrite") -> dict[str, str]:
-    """Write every answer as a table folder ``<root>/<name>``; returns name -> path."""
-    paths = {}
-    for name, df in answers.items():
-        path = f"{root.rstrip('/')}/{name}"
-        df.write.mode(mode).format(fmt).save(path)
-        paths[name] = path
+                  mode: str = "overwrite", parallel: int = 4) -> dict[str, str]:
+    """Write every answer as a table folder ``<root>/<name>``; returns name -> path.
+
+    Up to ``parallel`` writes are submitted at once from driver threads, so
+    the many small stages of one answer overlap with those of the others.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in answers}
+
+    def write(name: str) -> None:
+        answers[name].write.mode(mode).format(fmt).save(paths[name])
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for future in [pool.submit(write, name) for name in answers]:
+            future.result()
     return paths
+
+
+def run_batch(spark, topics_root: str, out_root: str, topics: dict[str, str] | None = None,
+              layout: str = "connector", post_years: tuple[int, int] = (2018, 2022),
+              join_years: tuple[int, int] = (2015, 2020), method: str = "approx") -> dict[str, str]:
+    """The daily batch run: read the three landed topics with their schemas
+    (S1), clean them (C13-C15), answer Q1-Q9 and write one table per answer.
+
+    JSON is parsed once: each cleaned entity is written as a parquet table
+    under ``<out_root>/_clean/`` and the questions read those, so nine answers
+    cost one pass over the raw messages and a lost executor re-reads a table
+    instead of re-parsing the topics.
+
+    ``topics`` maps entity (``pin``, ``geo``, ``user``) to topic name; by
+    default the topic is the entity name. Returns answer name -> table path.
+    """
+    from ..operators.clean import clean_locations, clean_posts, clean_users
+    from ..schemas import SCHEMAS
+    from ..sources.topics import read_topic
+    names = {"pin": "pin", "geo": "geo", "user": "user", **(topics or {})}
+    cleaners = {"pin": clean_posts, "geo": clean_locations, "user": clean_users}
+    cleaned = {}
+    for entity, clean in cleaners.items():
+        path = f"{out_root.rstrip('/')}/_clean/{entity}"
+        clean(read_topic(spark, topics_root, names[entity], SCHEMAS[entity], layout)) \
+            .write.mode("overwrite").parquet(path)
+        cleaned[entity] = spark.read.parquet(path)
+    answers = answer_questions(cleaned["pin"], cleaned["geo"], cleaned["user"],
+                               post_years, join_years, method)
+    return write_answers(answers, out_root)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line for schedulers: ``python -m postlytics.plans.report --topics R --out O``."""
+    import argparse
+    from ..session import get_session
+    parser = argparse.ArgumentParser(description="Answer the batch questions from landed topics.")
+    parser.add_argument("--topics", required=True, help="folder holding topics/<topic>/...")
+    parser.add_argument("--out", required=True, help="folder for the answer tables")
+    parser.add_argument("--layout", default="connector", choices=["connector", "hive"])
+    parser.add_argument("--pin-topic", default="pin")
+    parser.add_argument("--geo-topic", default="geo")
+    parser.add_argument("--user-topic", default="user")
+    parser.add_argument("--post-years", default="2018-2022")
+    parser.add_argument("--join-years", default="2015-2020")
+    parser.add_argument("--median", default="approx", choices=["approx", "exact"])
+    args = parser.parse_args(argv)
+
+    def years(text):
+        first, last = text.split("-")
+        return int(first), int(last)
+
+    spark = get_session(app="postlytics-batch")
+    paths = run_batch(spark, args.topics, args.out,
+                      {"pin": args.pin_topic, "geo": args.geo_topic, "user": args.user_topic},
+                      args.layout, years(args.post_years), years(args.join_years), args.median)
+    for name, path in paths.items():
+        print(f"{name}\t{path}")
+
+
+if __name__ == "__main__":
+    main()
