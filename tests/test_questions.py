@@ -123,3 +123,31 @@ def test_exact_median_requires_exchange_reuse(spark):
             exact_lower_median(df, ["g"], "v")
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_hot_key_without_pairs(spark):
+    """One key holds a third of each side: 10 000 x 10 000 = 1e8 joined rows if
+    the pairs were built. pair_counts and the latest-post join must not build them."""
+    import time
+    n = 30000
+    left = spark.range(n).select(
+        F.when(F.col("id") < n // 3, F.lit(0)).otherwise(F.col("id")).alias("ind"),
+        F.when(F.col("id") % 2 == 0, F.lit("Peru")).otherwise(F.lit("Chile")).alias("country"),
+        F.timestamp_seconds(F.col("id")).alias("timestamp"))
+    right = spark.range(n).select(
+        F.when(F.col("id") < n // 3, F.lit(0)).otherwise(F.col("id")).alias("ind"),
+        F.when(F.col("id") % 3 == 0, F.lit("art")).otherwise(F.lit("diy")).alias("category"),
+        F.col("id").alias("follower_count"), F.concat(F.lit("u"), F.col("id").cast("string")).alias("poster_name"))
+    t0 = time.perf_counter()
+    got = {(r.country, r.category): r.n for r in pair_counts(left, right, "ind", ["country"], ["category"], "n").collect()}
+    # hot key 0: 5000 Peru + 5000 Chile rows on the left, 3334 art + 6666 diy on the right
+    hot_left = {"Peru": 5000, "Chile": 5000}
+    hot_right = {"art": 3334, "diy": 6666}
+    expect = {(c, k): hot_left[c] * hot_right[k] for c in hot_left for k in hot_right}
+    for i in range(n // 3, n):  # the other keys are unique and meet themselves once
+        key = ("Peru" if i % 2 == 0 else "Chile", "art" if i % 3 == 0 else "diy")
+        expect[key] += 1
+    assert got == expect
+    latest = plans.latest_post_per_user(right, left).filter("ind = 0").collect()
+    assert [(r.country, r.follower_count) for r in latest] == [("Chile", 9999)]  # newest row: id 9999
+    assert time.perf_counter() - t0 < 60
