@@ -102,3 +102,10 @@ def test_clean_chains_bad_text_does_not_fail(spark):
     user = spark.createDataFrame([("abc", "n/a", None, "x1", None)], USER_RAW)
     row = clean_users(user).first()
     assert (row.ind, row.age, row.date_joined, row.user_name) == (None, None, None, "")
+
+
+def test_null_placeholders_quotes_and_backslashes(spark):
+    odd = ["it's", "a\\b", "we`ird"]
+    df = spark.createDataFrame([(v, v) for v in odd] + [("keep", "keep")], "`we``ird col` string, s string")
+    out = null_placeholders(df, values=odd).collect()
+    assert [tuple(r) for r in out] == [(None, None)] * 3 + [("keep", "keep")]

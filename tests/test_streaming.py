@@ -75,3 +75,22 @@ def test_report_matches_single_questions(spark):
                  "median_followers_by_age_group", "users_joined_by_year",
                  "median_followers_by_year_joined", "median_followers_by_year_and_age"]:
         assert sorted(rows(answers[name]), key=str) == sorted(rows(QUERIES[name](spark, SMALL)), key=str), name
+
+
+def test_continuous_trigger(spark):
+    """T5: a processing-time trigger keeps running; new files are picked up until stopped."""
+    base = fresh_dir(spark, "test-continuous")
+    raw = raw_posts(spark, SMALL)
+    land_topics(encode_messages(raw.limit(10), topic="pin", key="index"), base)
+    stream = read_messages_stream(spark, "text", topic_path(base, "pin"))
+    q = append_stream(clean_stream(stream, "pin"), path=f"{base}/table", checkpoint=f"{base}/ckpt",
+                      trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        land_topics(encode_messages(raw.limit(10).withColumn("index", raw["index"] + 100000),
+                                    topic="pin", key="index"), base)
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{base}/table").count() == 20
