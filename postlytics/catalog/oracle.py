@@ -324,3 +324,4 @@ SELECT country, category, count(*) AS category_count FROM g JOIN p ON g.ind = p.
 ORACLE["distinct_posts"] = _raw(
     'SELECT DISTINCT "index", category, poster_name FROM raw_pin', family="customer")
 ORACLE["batch_from_topics"] = ORACLE["median_followers_by_year_and_age"]
+ORACLE["stream_binary_envelope"] = ORACLE["clean_users"]

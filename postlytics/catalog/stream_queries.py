@@ -58,6 +58,23 @@ def streamed_top_user_by_country(spark, root):
     return plans.top_user_by_country(pins, geo)
 
 
+def stream_binary_envelope(spark, root):
+    """Messages in the stream envelope (a binary ``data`` field holding JSON,
+    plus stream name and partition key) read as a stream, decoded and cleaned."""
+    base = fresh_dir(spark, "envelope")
+    messages = encode_messages(raw_users(spark, root), topic="user", key="ind")
+    (messages.select(F.col("topic").alias("stream_name"), F.col("key").alias("partition_key"),
+                     F.col("value").cast("binary").alias("data"))
+     .write.parquet(f"{base}/in"))
+    envelopes = read_messages_stream(spark, "parquet", f"{base}/in",
+                                     schema=spark.read.parquet(f"{base}/in").schema)
+    queries = run_entity_streams(spark, {"user": envelopes}, f"{base}/tables",
+                                 trigger={"availableNow": True}, payload="data")
+    for q in queries.values():
+        q.awaitTermination()
+    return spark.read.parquet(f"{base}/tables/user")
+
+
 def landed_topics(spark, root):
     base = fresh_dir(spark, "landed")
     for entity, raw in raw_entities(spark, root, "order").items():
@@ -124,6 +141,7 @@ def batch_from_topics(spark, root):
 
 
 STREAM_QUERIES = {
+    "stream_binary_envelope": stream_binary_envelope,
     "batch_from_topics": batch_from_topics,
     "streamed_top_user_by_country": streamed_top_user_by_country,
     "batch_report": batch_report,
