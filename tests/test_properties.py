@@ -100,3 +100,24 @@ def test_sketch_median_rank_error(spark, values, accuracy):
     hi = sum(1 for v in ordered if v <= got) - 1
     allowed = len(ordered) / accuracy + 1
     assert lo - allowed <= target <= hi + allowed
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 3)), st.sampled_from("ab")),
+                min_size=1, max_size=25),
+       st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 3)), st.sampled_from("xyz")),
+                min_size=1, max_size=25))
+def test_top_joined_per_key_equals_brute_force(spark, left, right):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from postlytics.operators import top_joined_per_key
+    ldf = spark.createDataFrame(left, "ind int, ts int, c string")
+    rdf = spark.createDataFrame(right, "ind int, f int, n string")
+    lo = [F.col("ts").desc_nulls_last(), F.col("c").asc_nulls_last()]
+    ro = [F.col("f").desc_nulls_last(), F.col("n").asc_nulls_last()]
+    got = sorted(map(tuple, top_joined_per_key(ldf, rdf, "ind", lo, ro).select("ind", "ts", "c", "f", "n").collect()),
+                 key=repr)
+    w = Window.partitionBy("ind").orderBy(*lo, *ro)
+    brute = (ldf.join(rdf, "ind").withColumn("rn", F.row_number().over(w)).filter("rn = 1")
+             .select("ind", "ts", "c", "f", "n"))
+    assert got == sorted(map(tuple, brute.collect()), key=repr)
