@@ -76,16 +76,29 @@ def run_batch(spark, topics_root: str, out_root: str, topics: dict[str, str] | N
     from ..schemas import SCHEMAS
     from ..sources.topics import read_topic
     names = {"pin": "pin", "geo": "geo", "user": "user", **(topics or {})}
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     cleaners = {"pin": clean_posts, "geo": clean_locations, "user": clean_users}
-    cleaned = {}
+    cleaned, observed = {}, {}
     for entity, clean in cleaners.items():
         path = f"{out_root.rstrip('/')}/_clean/{entity}"
-        clean(read_topic(spark, topics_root, names[entity], SCHEMAS[entity], layout)) \
+        # load counts ride along with the write (S2): no extra pass over the topic
+        observed[entity] = Observation(f"load_{entity}")
+        rows = clean(read_topic(spark, topics_root, names[entity], SCHEMAS[entity], layout))
+        rows.observe(observed[entity], F.count(F.lit(1)).alias("rows"),
+                     F.count_if(F.col("ind").isNull()).alias("rows_without_key")) \
             .write.mode("overwrite").parquet(path)
         cleaned[entity] = spark.read.parquet(path)
+    profile_path = f"{out_root.rstrip('/')}/_load_profile"
+    spark.createDataFrame(
+        [(e, int(o.get["rows"]), int(o.get["rows_without_key"])) for e, o in observed.items()],
+        "entity string, rows bigint, rows_without_key bigint").write.mode("overwrite").parquet(profile_path)
     answers = answer_questions(cleaned["pin"], cleaned["geo"], cleaned["user"],
                                post_years, join_years, method)
-    return write_answers(answers, out_root)
+    paths = write_answers(answers, out_root)
+    paths["_load_profile"] = profile_path
+    return paths
 
 
 def main(argv: list[str] | None = None) -> None:

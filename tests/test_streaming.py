@@ -94,3 +94,16 @@ def test_continuous_trigger(spark):
     finally:
         q.stop()
     assert spark.read.parquet(f"{base}/table").count() == 20
+
+
+def test_run_batch_load_profile(spark):
+    from postlytics import plans
+    from postlytics.sources import raw_entities
+    base = fresh_dir(spark, "test-daily")
+    for entity, raw in raw_entities(spark, SMALL, "customer").items():
+        land_topics(encode_messages(raw, topic=entity, key="ind" if entity != "pin" else "index"), base)
+    paths = plans.run_batch(spark, base, f"{base}/answers", layout="hive", method="exact")
+    profile = {r.entity: (r.rows, r.rows_without_key) for r in spark.read.parquet(paths["_load_profile"]).collect()}
+    expect = {e: (df.count(), 0) for e, df in raw_entities(spark, SMALL, "customer").items()}
+    assert profile == expect
+    assert set(paths) >= {"top_category_by_country", "median_followers_by_year_and_age"}
