@@ -31,3 +31,18 @@ def test_scans_are_pruned(spark):
 def test_repeated_key_join_is_preaggregated(spark):
     plan = _plan(QUERIES["category_counts_repeated_keys"](spark, MEDIUM))
     assert plan.count("partial_count") >= 2
+
+
+def test_exact_median_reuses_its_range_exchange(spark):
+    df = QUERIES["median_exact_by_flag"](spark, MEDIUM)
+    df.collect()  # the DataFrame's own execution: its plan is now final
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan
+    assert "Reused" in plan
+
+
+def test_no_python_in_question_plans(spark):
+    for name in ["top_category_by_country", "top_user_by_country", "median_followers_by_age_group",
+                 "users_joined_by_year", "clean_posts"]:
+        plan = _plan(QUERIES[name](spark, MEDIUM))
+        assert "EvalPython" not in plan and "MapInPandas" not in plan and "FlatMapGroupsInPandas" not in plan, name
