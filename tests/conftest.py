@@ -13,7 +13,8 @@ MEDIUM = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from postlytics.session import get_session
-    session = get_session("local[*]", app="postlytics-tests", shuffle_partitions=8)
+    session = get_session("local[*]", app="postlytics-tests", shuffle_partitions=8,
+                          **{"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="postlytics-warehouse-")})
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None) and not session.sparkContext.getCheckpointDir():
         # tests only: pick a scratch folder when the deployment names none

@@ -107,3 +107,16 @@ def test_run_batch_load_profile(spark):
     expect = {e: (df.count(), 0) for e, df in raw_entities(spark, SMALL, "customer").items()}
     assert profile == expect
     assert set(paths) >= {"top_category_by_country", "median_followers_by_year_and_age"}
+
+
+def test_append_to_catalog_table(spark):
+    """The stream appends to a catalog table (toTable)."""
+    import uuid
+    base = fresh_dir(spark, "test-table")
+    raw = raw_posts(spark, SMALL)
+    land_topics(encode_messages(raw, topic="pin", key="index"), base)
+    name = f"pins_{uuid.uuid4().hex[:10]}"
+    stream = read_messages_stream(spark, "text", topic_path(base, "pin"))
+    q = append_stream(clean_stream(stream, "pin"), table=name, checkpoint=f"{base}/ckpt", trigger=NOW)
+    q.awaitTermination()
+    assert sorted(rows(spark.table(name)), key=str) == sorted(rows(clean_posts(raw)), key=str)
