@@ -85,3 +85,26 @@ def test_connector_layout_and_compaction(spark):
     again = read_topic(spark, f"{base}/compacted", "app.geo", LOCATION_RAW)
     assert sorted(rows(again)) == sorted(rows(back))
     assert out.endswith("topics/topic=app.geo")
+
+
+def test_inferred_schema_topics_clean_to_contract(spark):
+    """S1 without a schema (the reference's batch read): JSON numbers come in as
+    bigint, yet the cleaning chains give the same typed contract."""
+    import json
+    from postlytics.operators import clean_posts, clean_users
+    from postlytics.schemas import CLEAN_SCHEMAS
+    base = fresh_dir(spark, "test-inferred")
+    pins = [{"index": 7, "unique_id": "u", "title": "", "description": "d", "follower_count": "12k",
+             "poster_name": "Ana", "tag_list": "t", "is_image_or_video": "image", "image_src": "s",
+             "save_location": "Local save in /x", "category": "art", "downloaded": 1}]
+    users = [{"ind": 7, "first_name": "Ana", "last_name": "Ruiz", "age": 33,
+              "date_joined": "2016-05-06 07:08:09"}]
+    for topic, recs in (("pin", pins), ("user", users)):
+        msgs = spark.createDataFrame([(topic, None, json.dumps(r)) for r in recs], "topic string, key string, value string")
+        land_topics(msgs, base)
+    p = clean_posts(read_topic(spark, base, "pin"))
+    u = clean_users(read_topic(spark, base, "user"))
+    assert [(f.name, f.dataType) for f in p.schema.fields] == [(f.name, f.dataType) for f in CLEAN_SCHEMAS["pin"].fields]
+    assert [(f.name, f.dataType) for f in u.schema.fields] == [(f.name, f.dataType) for f in CLEAN_SCHEMAS["user"].fields]
+    assert (p.first().ind, p.first().follower_count, p.first().title) == (7, 12000, None)
+    assert (u.first().ind, u.first().age, u.first().user_name) == (7, 33, "Ana Ruiz")
