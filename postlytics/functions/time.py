@@ -11,8 +11,14 @@ from ._cols import as_col
 MESSAGE_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def to_ts(c: Column | str, fmt: str | None = MESSAGE_TS_FORMAT) -> Column:
-    """Text to timestamp; malformed text gives NULL instead of failing (D3)."""
+def to_ts(c: Column | str, fmt: str | None = None) -> Column:
+    """Text to timestamp; malformed text gives NULL instead of failing (D3).
+
+    Without ``fmt`` the text is parsed like a cast, as ``to_timestamp`` without a
+    pattern does (``yyyy-MM-dd HH:mm:ss``, date only, ISO ``T`` forms); it is
+    also the faster path. With ``fmt`` (e.g. :data:`MESSAGE_TS_FORMAT`) only
+    that exact pattern is accepted.
+    """
     col = as_col(c)
     if fmt is None:
         return col.try_cast("timestamp")

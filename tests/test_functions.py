@@ -109,3 +109,11 @@ def test_null_placeholders_quotes_and_backslashes(spark):
     df = spark.createDataFrame([(v, v) for v in odd] + [("keep", "keep")], "`we``ird col` string, s string")
     out = null_placeholders(df, values=odd).collect()
     assert [tuple(r) for r in out] == [(None, None)] * 3 + [("keep", "keep")]
+
+
+def test_timestamp_parsing_default_and_strict(spark):
+    from postlytics.functions import MESSAGE_TS_FORMAT, to_ts
+    df = spark.createDataFrame([("2019-03-04 05:06:07",), ("2019-03-04",), ("n/a",)], "s string")
+    got = df.select(to_ts("s").alias("cast"), to_ts("s", MESSAGE_TS_FORMAT).alias("strict")).collect()
+    assert [r.cast for r in got] == [dt.datetime(2019, 3, 4, 5, 6, 7), dt.datetime(2019, 3, 4), None]
+    assert [r.strict for r in got] == [dt.datetime(2019, 3, 4, 5, 6, 7), None, None]
