@@ -104,9 +104,11 @@ def run_entity_streams(spark: SparkSession, sources: Mapping[str, DataFrame], ta
     Tables go to ``<target_root>/<entity>``, checkpoints to
     ``<target_root>/_checkpoints/<entity>``. With ``rejects`` a second query
     per entity appends undecodable messages to ``<target_root>/_rejects/<entity>``
-    (the reference appends them as empty rows instead). Queries run
-    concurrently; the caller waits with ``awaitTermination`` or
-    ``spark.streams.awaitAnyTermination``.
+    (the reference appends them as empty rows instead). The reject query reads
+    and parses the source a second time; in exchange each output keeps the file
+    sink's exactly-once log (a single ``foreachBatch`` split would parse once but
+    lose it). Queries run concurrently; the caller waits with
+    ``awaitTermination`` or ``spark.streams.awaitAnyTermination``.
     """
     root = target_root.rstrip("/")
     queries = {}
