@@ -121,3 +121,18 @@ def test_top_joined_per_key_equals_brute_force(spark, left, right):
     brute = (ldf.join(rdf, "ind").withColumn("rn", F.row_number().over(w)).filter("rn = 1")
              .select("ind", "ts", "c", "f", "n"))
     assert got == sorted(map(tuple, brute.collect()), key=repr)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from("abc")),
+                          st.one_of(st.none(), st.integers(-20, 20))), min_size=1, max_size=80),
+       st.integers(1, 12))
+def test_exact_median_matches_model(spark, data, pieces):
+    from postlytics.operators.aggregate import exact_lower_median
+    df = spark.createDataFrame(data, "g string, v int")
+    got = {r.g: r.m for r in exact_lower_median(df, ["g"], "v", "m", pieces=pieces).collect()}
+    expect = {}
+    for g in {g for g, _ in data}:
+        vals = sorted(v for k, v in data if k == g and v is not None)
+        expect[g] = vals[(len(vals) + 1) // 2 - 1] if vals else None
+    assert got == expect
