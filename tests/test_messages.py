@@ -108,3 +108,24 @@ def test_inferred_schema_topics_clean_to_contract(spark):
     assert [(f.name, f.dataType) for f in u.schema.fields] == [(f.name, f.dataType) for f in CLEAN_SCHEMAS["user"].fields]
     assert (p.first().ind, p.first().follower_count, p.first().title) == (7, 12000, None)
     assert (u.first().ind, u.first().age, u.first().user_name) == (7, 33, "Ana Ruiz")
+
+
+def test_readme_quick_start_calls(spark):
+    """The README's batch quick start, run on topics landed in the connector layout."""
+    from postlytics import plans
+    from postlytics.operators import clean_locations, clean_posts, clean_users
+    from postlytics.schemas import SCHEMAS
+    from postlytics.sources import raw_entities
+    from .conftest import SMALL
+    base = fresh_dir(spark, "test-quickstart")
+    keys = {"pin": "index", "geo": "ind", "user": "ind"}
+    # the reference's layout: topics/<topic>/partition=<n>/ with JSON records
+    for e, df in raw_entities(spark, SMALL, "customer").items():
+        (encode_messages(df, topic=f"app.{e}", key=keys[e])
+         .select("value", (F.pmod(F.xxhash64("key"), F.lit(2))).alias("partition"))
+         .write.partitionBy("partition").text(f"{base}/conn/topics/app.{e}"))
+    raw = {e: read_topic(spark, f"{base}/conn", f"app.{e}", SCHEMAS[e], layout="connector") for e in keys}
+    pins, geo, users = clean_posts(raw["pin"]), clean_locations(raw["geo"]), clean_users(raw["user"])
+    assert plans.top_category_by_country(pins, geo).count() == 25
+    assert plans.top_country_by_followers(pins, geo).count() >= 1
+    assert plans.median_followers_by_age_group(pins, geo, users, method="approx").count() == 5
