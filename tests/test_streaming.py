@@ -120,3 +120,19 @@ def test_append_to_catalog_table(spark):
     q = append_stream(clean_stream(stream, "pin"), table=name, checkpoint=f"{base}/ckpt", trigger=NOW)
     q.awaitTermination()
     assert sorted(rows(spark.table(name)), key=str) == sorted(rows(clean_posts(raw)), key=str)
+
+
+def test_batch_command_line(spark, capsys):
+    from postlytics.plans.report import main
+    from postlytics.sources import raw_entities
+    base = fresh_dir(spark, "test-cli")
+    keys = {"pin": "index", "geo": "ind", "user": "ind"}
+    for entity, raw in raw_entities(spark, SMALL, "customer").items():
+        land_topics(encode_messages(raw, topic=f"app.{entity}", key=keys[entity]), base)
+    main(["--topics", base, "--out", f"{base}/answers", "--layout", "hive",
+          "--pin-topic", "app.pin", "--geo-topic", "app.geo", "--user-topic", "app.user",
+          "--post-years", "1996-2000", "--median", "exact"])
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert len(printed) == 10  # nine answers and the load profile
+    assert spark.read.parquet(printed["top_category_by_year"]).count() == 5
+    assert spark.read.parquet(printed["users_joined_by_year"]).count() == 6
