@@ -49,6 +49,7 @@ def test_pair_counts_equals_join_count(spark):
     right = spark.createDataFrame([(k % 4, f"h{k % 3}") for k in range(40)], "ind long, h string")
     expect = sorted(rows(left.join(right, "ind").groupBy("g", "h").count()))
     assert sorted(rows(pair_counts(left, right, "ind", ["g"], ["h"]))) == expect
+    assert sorted(rows(pair_counts(left, right, "ind", ["g"], ["h"], pre_aggregate=False))) == expect
 
 
 def test_latest_post_and_top_user(spark):
