@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -66,14 +66,18 @@ def get_session(master: str | None = None, app: str = "postlytics",
 def shared_root(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
-    The cluster names this folder; we only pick one when it is unset (local
-    tests), and then register it so ``DataFrame.checkpoint`` uses it too.
+    The cluster names this folder. Only a local master may go without: there
+    a scratch folder is picked and registered for ``DataFrame.checkpoint`` too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "postlytics-checkpoints")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share "
+                             f"(master {master})")
+        root = tempfile.mkdtemp(prefix="postlytics-checkpoints-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
