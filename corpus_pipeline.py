@@ -8,12 +8,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlytics.llm import mixing, packing
-from postlytics.llm.common import staged
+from postlytics.llm import minhash, mixing, packing, secret_scan, toxicity
+from postlytics.llm.common import read_table, staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    docs = docs.select(*COLUMNS)
+    return toxicity.keep_clean(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five words, similarity 0.8."""
+    docs = docs.select(*COLUMNS)
+    return minhash.drop_near_duplicates(docs, words=5, percent=80)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
+    docs = docs.select(*COLUMNS)
+    return secret_scan.redact(docs, secret_scan.train(staged(secret_scan.scan(docs), "scanned")))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's target asks for."""
     return mixing.mixed_rows(docs.select(*COLUMNS))
@@ -25,6 +43,9 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near-duplicates", near_duplicate_stage),
+    ("secrets", secrets_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]
