@@ -54,8 +54,8 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.runs = WordCache(self._ids)
-        self.words = WordCache(self._word)
+        self.runs = WordCache(self._ids, 1_200_000)
+        self.words = WordCache(self._word, 1_000_000)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -169,7 +169,7 @@ def pack_group(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return window
 
 
-def pack(docs: DataFrame, capacity: int = 4096, largest_piece: int = 1024, group_size: int = 8192,
+def pack(docs: DataFrame, capacity: int = 4096, largest_piece: int = 1024, group_size: int = 4096,
          end_id: int = 2, tokenizer_file: str | None = None) -> DataFrame:
     """Pack every document: one row per piece with its sequence_id and offset there."""
     pieces = staged(document_pieces(docs, capacity, largest_piece, end_id, tokenizer_file), "pieces")
