@@ -9,10 +9,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, packing, secret_scan, token_counts, toxicity
+from . import embedding_dedup, minhash, mixing, packing, secret_scan, token_counts, topk, toxicity
 from .common import read_table
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -39,9 +47,34 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mix_sources, op4_minhash, op6_token_counts, op7_toxicity, op9_pack, op10_secrets)}
+    f.__name__: f for f in (op2_top_k, op3_mix_sources, op4_minhash, op6_token_counts, op7_toxicity,
+                            op8_embedding_dedup, op9_pack, op10_secrets)}
 
 ORACLE: dict[str, str] = {
+    "op2_top_k": """
+WITH fine AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM fine q JOIN fine c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op8_embedding_dedup": """
+WITH RECURSIVE fine AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT vec_id AS v, vec_id AS w FROM embeddings UNION SELECT r.v, l.b FROM reach r JOIN links l ON r.w = l.a),
+comps AS (SELECT v, min(w) AS component_id FROM reach GROUP BY v),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(counted.n, 0) AS n_links, comps.component_id, e.vec_id = comps.component_id AS kept
+FROM embeddings e JOIN comps ON e.vec_id = comps.v LEFT JOIN counted ON counted.a = e.vec_id""",
     "op3_mix_sources": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
