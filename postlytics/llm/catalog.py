@@ -9,10 +9,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, minhash, mixing, packing, secret_scan, token_counts, topk, toxicity
+from . import embedding_dedup, kneser_ney, minhash, mixing, packing, secret_scan, suffix_dedup, token_counts, topk, toxicity
 from .common import read_table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
@@ -25,6 +29,10 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.train_and_score(read_table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.prefix_counts(read_table(spark, sf_dir, "documents"))
 
@@ -47,7 +55,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_top_k, op3_mix_sources, op4_minhash, op6_token_counts, op7_toxicity,
+    f.__name__: f for f in (op1_suffix_dedup, op2_top_k, op3_mix_sources, op4_minhash, op5_language_model, op6_token_counts, op7_toxicity,
                             op8_embedding_dedup, op9_pack, op10_secrets)}
 
 ORACLE: dict[str, str] = {

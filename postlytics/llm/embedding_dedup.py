@@ -146,7 +146,7 @@ def near_duplicates(vectors: DataFrame, t: float = 0.93, sample: int = 20_000, c
              .select("label", "dim", "cell", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                      "own", "v", "n", "vec", "home"))
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         v, n, home, own = (rows[c].to_numpy() for c in ("v", "n", "home", "own"))
         links, root = compare_blocks(v, n, _matrix(rows["vec"], int(key[1])), home, own, int(key[3]), int(key[4]), t)
         out = pd.DataFrame({"v": v, "links": links, "root": v[root]})

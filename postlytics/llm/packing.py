@@ -175,7 +175,7 @@ def pack(docs: DataFrame, capacity: int = 4096, largest_piece: int = 1024, group
     pieces = staged(document_pieces(docs, capacity, largest_piece, end_id, tokenizer_file), "pieces")
     groups = max(1, math.ceil(pieces.count() / group_size))
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True],
                                 kind="stable", ignore_index=True)
         rows["sequence_id"] = pack_group(rows["length"].to_numpy(np.int64), capacity)

@@ -127,7 +127,7 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, scale: int = 25
     blocks = max(1, math.ceil(n / query_every / query_rows))
     blocked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
 
-    def first_thresholds(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def first_thresholds(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         left["theta"] = -np.inf
         if len(left) and len(right):
             right = right.sort_values(["norm", "vec_id"], ascending=[False, True])
@@ -149,7 +149,7 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, scale: int = 25
               .where((F.col("theta") <= F.col("norm") * F.col("longest") * (1 + 1e-12))))
     pairs = wanted.select(F.col("dim").alias("d"), F.col("bucket").alias("c"), F.col("block").alias("b")).distinct()
 
-    def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def search(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
             right = right.sort_values(["norm", "vec_id"], ascending=[False, True])
