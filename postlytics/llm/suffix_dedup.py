@@ -205,7 +205,7 @@ def _anchor_blocks(texts: DataFrame, length: int, lead: int, ranges: int) -> Dat
                 h, at, first, last = anchors(raw, length, lead)
                 held.append(tuple(x.astype(k) for x, k in zip((h, np.full(len(h), tid), at, at - first, at - last), kinds)))
                 n += len(h)
-                if n >= 1_000_000:
+                if n >= 250_000:
                     yield flush(held)
                     held, n = [], 0
             if len(seen) > 500_000:
@@ -316,7 +316,7 @@ def _sorted_buckets(suffixes: DataFrame, buckets: int, length: int, lead: int) -
     return suffixes.repartitionByRange(buckets, "lead").mapInArrow(run, "key binary, flags binary")
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, lead: int = 64, range_bytes: int = 64 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, lead: int = 64, range_bytes: int = 16 << 20) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
     info = staged(rows.select("doc_id", _text_id(), F.octet_length("text").cast("bigint").alias("n_bytes"),
@@ -332,7 +332,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, lead: int = 64, range_byt
     wanted = texts.join(by_text, "tid").select(F.col("tid").alias("t"), F.col("doc_id").alias("d"), "n_bytes", "anchors")
     repeats = staged(rows.select("doc_id", _text_id(), "text").join(
         wanted, F.expr("tid = t AND doc_id <=> d AND octet_length(text) = n_bytes")).select("tid", "text", "anchors"), "repeats")
-    buckets = max(1, math.ceil(n_anchors * (length + length // 3) / range_bytes * 2))
+    buckets = max(1, math.ceil(n_anchors * (length + length // 3) / range_bytes))
     flagged = staged(_sorted_buckets(_suffixes(repeats, length, lead), buckets, length, lead), "flagged")
     covered = (_places(repeats, length).join(flagged, "key").groupBy("tid", "n_bytes")
                .agg(F.collect_set(F.struct("first", "flags")).alias("windows")))
