@@ -89,11 +89,11 @@ def age_groups_users(spark, root):
 
 def distinct_save_locations(spark, root):
     pins, _, _ = entities(spark, root, "order")
-    return distinct_profile(pins, "save_location", threshold=50)
+    return distinct_profile(pins, "save_location")
 
 
 def distinct_brands(spark, root):
-    return distinct_profile(read_table(spark, root, "part"), "p_brand", threshold=10)
+    return distinct_profile(read_table(spark, root, "part"), "p_brand")
 
 
 def load_profile_raw(spark, root):
@@ -230,7 +230,7 @@ OPERATOR_QUERIES = {
     "combine_names": combine_names_users,
     "age_groups": age_groups_users,
     "distinct_profile": distinct_save_locations,
-    "distinct_profile_limited": distinct_brands,
+    "distinct_profile_brands": distinct_brands,
     "load_profile": load_profile_raw,
     "median_sketch_by_flag": median_sketch_by_flag,
     "median_exact_by_flag": median_exact_by_flag,

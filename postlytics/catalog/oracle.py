@@ -16,14 +16,12 @@ _FOLLOWERS = """CASE o_orderkey % 5
       ELSE '' END"""
 
 
-def _key(family: str) -> tuple[str, str]:
-    if family == "order":
-        return "o_orderkey", ""
-    return "o_custkey", "WHERE o_orderstatus = 'F'"
+def _key(family: str) -> str:
+    return "o_orderkey" if family == "order" else "o_custkey"
 
 
 def raw_posts_sql(family: str) -> str:
-    key, where = _key(family)
+    key = _key(family)
     return f"""SELECT o_orderpriority AS category,
     o_orderpriority || ' order for ' || c_name AS description,
     CAST(o_orderkey % 2 AS VARCHAR) AS downloaded,
@@ -36,29 +34,30 @@ def raw_posts_sql(family: str) -> str:
     o_orderstatus || ',' || o_orderpriority AS tag_list,
     CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE 'Order ' || CAST(o_orderkey AS VARCHAR) END AS title,
     'pin-' || CAST(o_orderkey AS VARCHAR) AS unique_id
-  FROM orders JOIN customer ON o_custkey = c_custkey {where}"""
+  FROM orders JOIN customer ON o_custkey = c_custkey"""
 
 
 def raw_locations_sql(family: str) -> str:
-    key, where = _key(family)
+    key = _key(family)
     return f"""SELECT n_name AS country,
     CAST({key} AS VARCHAR) AS ind,
     CAST(o_custkey % 180 - 90 AS DOUBLE) AS latitude,
     CAST(o_custkey % 360 - 180 AS DOUBLE) AS longitude,
     strftime(o_orderdate + to_seconds(o_orderkey % 86400), '%Y-%m-%d %H:%M:%S') AS "timestamp"
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey {where}"""
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
 
 RAW_USERS = """SELECT
-    CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(15 + c_custkey % 50 AS VARCHAR) END AS age,
-    CASE WHEN c_custkey % 101 = 0 THEN 'n/a'
-         ELSE printf('%04d-%02d-%02d %02d:%02d:%02d', 2014 + c_custkey % 8, 1 + c_custkey % 12,
-                     1 + c_custkey % 28, c_custkey % 24, c_custkey % 60, (c_custkey * 7) % 60) END
+    CASE WHEN n % 17 = 0 THEN NULL ELSE CAST(15 + n % 50 AS VARCHAR) END AS age,
+    CASE WHEN n % 101 = 0 THEN 'n/a'
+         ELSE printf('%04d-%02d-%02d %02d:%02d:%02d', 2014 + n % 8, 1 + n % 12,
+                     1 + n % 28, n % 24, n % 60, (n * 7) % 60) END
       AS date_joined,
-    CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE ' ' || split_part(c_name, '#', 1) || '  ' END AS first_name,
-    CAST(c_custkey AS VARCHAR) AS ind,
-    'No.   ' || split_part(c_name, '#', 2) AS last_name
-  FROM customer"""
+    CASE WHEN n % 13 = 0 THEN NULL ELSE ' ' || split_part(name, '#', 1) || '  ' END AS first_name,
+    CAST(k AS VARCHAR) AS ind,
+    'No.   ' || split_part(name, '#', 2) AS last_name
+  FROM (SELECT c_custkey AS k, c_custkey AS n, c_name AS name FROM customer
+        UNION ALL SELECT -1 - s_suppkey, s_suppkey, s_name FROM supplier)"""
 
 
 def count_sql(col: str, mode: str = "digits") -> str:
@@ -180,11 +179,11 @@ raw_usr AS ({RAW_USERS})
 {body}"""
 
 
-def _distinct(source: str, col: str, threshold: int) -> str:
+def _distinct(source: str, col: str) -> str:
     return f"""WITH {source},
 v AS (SELECT DISTINCT {col} AS value FROM src)
 SELECT value, (SELECT count(*) FROM v) AS n_distinct FROM v
-ORDER BY value ASC NULLS LAST LIMIT {threshold}"""
+ORDER BY value ASC NULLS LAST"""
 
 
 ORACLE.update({
@@ -228,8 +227,8 @@ ORACLE.update({
         f"SELECT ind, age, {AGE_GROUP} AS age_group FROM "
         "(SELECT ind, TRY_CAST(age AS INTEGER) AS age FROM raw_usr)"),
     "distinct_profile": _distinct(
-        f"{entities_sql('order')},\nsrc AS (SELECT save_location FROM pin)", "save_location", 50),
-    "distinct_profile_limited": _distinct("src AS (SELECT p_brand FROM part)", "p_brand", 10),
+        f"{entities_sql('order')},\nsrc AS (SELECT save_location FROM pin)", "save_location"),
+    "distinct_profile_brands": _distinct("src AS (SELECT p_brand FROM part)", "p_brand"),
     "load_profile": _raw(
         "SELECT 'pin' AS entity, count(*) AS \"rows\", 12 AS \"columns\" FROM raw_pin UNION ALL "
         "SELECT 'geo', count(*), 5 FROM raw_geo UNION ALL SELECT 'user', count(*), 5 FROM raw_usr"),

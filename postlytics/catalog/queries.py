@@ -23,22 +23,10 @@ POST_YEARS = (1996, 2000)
 JOIN_YEARS = (2015, 2020)
 
 
-_PLANS: dict[tuple, tuple[DataFrame, DataFrame, DataFrame]] = {}
-
-
 def entities(spark: SparkSession, root: str, key: str):
-    """Cleaned (posts, locations, users) of one binding family.
-
-    The driver's tables are read-only, so the (lazy, immutable) plans are
-    built once per session, folder and family and shared by every query;
-    nothing is cached in memory, each query still reads the files.
-    """
-    cache_key = (id(spark._jsparkSession), root.rstrip("/"), key)
-    if cache_key not in _PLANS:
-        _PLANS[cache_key] = (clean_posts(raw_posts(spark, root, key)),
-                             clean_locations(raw_locations(spark, root, key)),
-                             clean_users(raw_users(spark, root)))
-    return _PLANS[cache_key]
+    """Cleaned (posts, locations, users) of one binding family, as lazy plans."""
+    return (clean_posts(raw_posts(spark, root, key)), clean_locations(raw_locations(spark, root, key)),
+            clean_users(raw_users(spark, root)))
 
 
 def _q1(spark, root):

@@ -46,16 +46,15 @@ def sample_per_group(df: DataFrame, by: Sequence[str] | str, n: int = 5,
     return picked.distinct() if distinct else picked
 
 
-def distinct_profile(df: DataFrame, col: str, threshold: int = 50) -> DataFrame:
-    """Distinct values of ``col`` (first ``threshold`` in value order) with their total count.
+def distinct_profile(df: DataFrame, col: str) -> DataFrame:
+    """Every distinct value of ``col``, in value order, with their total count.
 
     Columns: ``value``, ``n_distinct``. The total is a scalar subquery, so
     no number travels through the driver.
     """
     values = df.select(F.col(col).alias("value")).distinct()
     total = values.agg(F.count(F.lit(1))).scalar()
-    shown = values.orderBy(F.col("value").asc_nulls_last()).limit(threshold)
-    return shown.select("value", total.alias("n_distinct"))
+    return values.select("value", total.alias("n_distinct")).orderBy(F.col("value").asc_nulls_last())
 
 
 def load_profile(frames: Mapping[str, DataFrame]) -> DataFrame:

@@ -82,6 +82,21 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_scratch: dict[str, str] = {}
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new, unique folder under :func:`shared_root` for one run's tables."""
-    return f"{shared_root(spark)}/postlytics/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unique folder under :func:`shared_root` for one run's tables.
+
+    All of one application lie in one folder, which the file system deletes when the
+    driver's JVM ends; results that are read back lazily stay readable until then.
+    """
+    app = spark.sparkContext.applicationId
+    root = shared_root(spark)
+    if _scratch.get(app) is None or not _scratch[app].startswith(root):
+        _scratch[app] = f"{root}/postlytics-{app}-{uuid.uuid4().hex[:8]}"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch[app])
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{_scratch[app]}/{label}-{uuid.uuid4().hex[:12]}"

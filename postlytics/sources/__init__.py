@@ -3,12 +3,12 @@
 from .bindings import raw_entities, raw_locations, raw_posts, raw_users, read_table
 from .messages import BAD_COL, assign_shard, decode_messages, encode_messages, land_topics
 from .sampling import key_bucket, sample_aligned
-from .views import register_views, sql_over
+from .views import sql_over
 from .topics import (compact_topic, read_delimited, read_landed, read_topic, select_topics, topic_path,
                      write_delimited)
 
 __all__ = [
     "BAD_COL", "compact_topic", "assign_shard", "decode_messages", "encode_messages", "key_bucket", "land_topics",
     "raw_entities", "raw_locations", "raw_posts", "raw_users", "read_delimited", "read_landed",
-    "read_table", "read_topic", "register_views", "sample_aligned", "select_topics", "sql_over", "topic_path", "write_delimited",
+    "read_table", "read_topic", "sample_aligned", "select_topics", "sql_over", "topic_path", "write_delimited",
 ]

@@ -10,8 +10,8 @@ Two families:
 * ``key='order'``: one post and one location per order (``ind`` = order key),
   a one-to-one join, used by the country and year rankings.
 * ``key='customer'``: ``ind`` = customer key, posts are the customer's
-  fulfilled orders (status ``F``), so users post repeatedly and some users
-  have no post at all (left join of users, Q6-Q9).
+  orders, so users post repeatedly. Users are the customers and, under negative
+  keys, the suppliers, who never post (left join of users, Q6-Q9).
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the binding (shared with the oracle SQL).
-POSTED_STATUS = "F"
 COUNT_STYLES = 5          # follower_count text style by o_orderkey % 5
 MILLIONS_MOD = 9973       # <n>M counts use o_orderkey % 9973
 SECONDS_PER_DAY = 86400   # post time = order date + o_orderkey % 86400 seconds
@@ -32,6 +31,7 @@ TABLE_SCHEMAS: dict[str, str] = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
               "o_orderdate timestamp_ntz, o_orderpriority string",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
                 "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
@@ -55,10 +55,7 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def _orders(spark: SparkSession, root: str, key: str) -> DataFrame:
     if key not in ("order", "customer"):
         raise ValueError("key must be 'order' or 'customer'")
-    orders = read_table(spark, root, "orders")
-    if key == "customer":
-        orders = orders.filter(F.col("o_orderstatus") == POSTED_STATUS)
-    return orders
+    return read_table(spark, root, "orders")
 
 
 def _ind(key: str) -> str:
@@ -80,7 +77,7 @@ _FOLLOWERS = f"""CASE o_orderkey % {COUNT_STYLES}
 
 
 def raw_posts(spark: SparkSession, root: str, key: str = "order") -> DataFrame:
-    """Post records: one per order (or per fulfilled order, ``key='customer'``)."""
+    """Post records: one per order, keyed by the order or by its customer."""
     orders = _orders(spark, root, key).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     customers = read_table(spark, root, "customer").select("c_custkey", "c_name")
@@ -118,17 +115,19 @@ def raw_locations(spark: SparkSession, root: str, key: str = "order") -> DataFra
 
 
 def raw_users(spark: SparkSession, root: str) -> DataFrame:
-    """User records, one per customer: split names with extra blanks, some
-    missing first names and ages, a few malformed join dates."""
-    return read_table(spark, root, "customer").selectExpr(
-        "CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(15 + c_custkey % 50 AS STRING) END AS age",
-        "CASE WHEN c_custkey % 101 = 0 THEN 'n/a' ELSE format_string('%04d-%02d-%02d %02d:%02d:%02d', "
-        "2014 + c_custkey % 8, 1 + c_custkey % 12, 1 + c_custkey % 28, c_custkey % 24, c_custkey % 60, "
-        "(c_custkey * 7) % 60) END AS date_joined",
-        "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE concat(' ', split_part(c_name, '#', 1), '  ') END "
-        "AS first_name",
-        "CAST(c_custkey AS STRING) AS ind",
-        "concat('No.   ', split_part(c_name, '#', 2)) AS last_name",
+    """User records, one per customer (``ind`` = key) and per supplier (``ind`` = -1 - key,
+    without posts): split names with extra blanks, some missing first names and ages,
+    a few malformed join dates."""
+    people = read_table(spark, root, "customer").selectExpr("c_custkey AS ind", "c_custkey AS n", "c_name AS name")
+    people = people.unionAll(read_table(spark, root, "supplier").selectExpr(
+        "-1 - s_suppkey AS ind", "s_suppkey AS n", "s_name AS name"))
+    return people.selectExpr(
+        "CASE WHEN n % 17 = 0 THEN NULL ELSE CAST(15 + n % 50 AS STRING) END AS age",
+        "CASE WHEN n % 101 = 0 THEN 'n/a' ELSE format_string('%04d-%02d-%02d %02d:%02d:%02d', "
+        "2014 + n % 8, 1 + n % 12, 1 + n % 28, n % 24, n % 60, (n * 7) % 60) END AS date_joined",
+        "CASE WHEN n % 13 = 0 THEN NULL ELSE concat(' ', split_part(name, '#', 1), '  ') END AS first_name",
+        "CAST(ind AS STRING) AS ind",
+        "concat('No.   ', split_part(name, '#', 2)) AS last_name",
     )
 
 

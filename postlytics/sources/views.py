@@ -1,29 +1,13 @@
-"""SQL over registered DataFrames."""
+"""SQL over DataFrames."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def register_views(frames: Mapping[str, DataFrame], unique: bool = False) -> dict[str, str]:
-    """Register each frame as a temporary view; returns name -> view name.
-
-    With ``unique`` every view gets a fresh suffix, so concurrent callers in
-    one session do not replace each other's views.
-    """
-    suffix = f"_{uuid.uuid4().hex[:8]}" if unique else ""
-    names = {}
-    for name, df in frames.items():
-        view = f"{name}{suffix}"
-        df.createOrReplaceTempView(view)
-        names[name] = view
-    return names
-
-
 def sql_over(spark: SparkSession, frames: Mapping[str, DataFrame], text: str) -> DataFrame:
-    """Run SQL whose ``{name}`` placeholders refer to the given frames."""
-    views = register_views(frames, unique=True)
-    return spark.sql(text.format(**{k: f"`{v}`" for k, v in views.items()}))
+    """Run SQL whose ``{name}`` placeholders refer to the given frames (write a literal
+    brace twice). The views Spark makes for them are gone when this returns."""
+    return spark.sql(text, **frames)
