@@ -40,8 +40,8 @@ from .common import WordCache, doc_remainder, shared_folder, slices, staged, tex
 # No word holds white space, so these two can't be words.
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\nend"))
 BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b"\nbegin"))
-_hashes = WordCache(xxhash.xxh3_64_intdigest, 1_000_000)
-_FLUSH = 4_000_000  # tokens counted at once in a task
+_hashes = WordCache(xxhash.xxh3_64_intdigest, 700_000)
+_FLUSH = 3_000_000  # tokens counted at once in a task
 
 
 def token_hashes(raw: bytes) -> np.ndarray:
@@ -272,7 +272,7 @@ def score(docs: DataFrame, model: Model, modulus: int = 7, held: int = 2) -> Dat
                         ("perplexity", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2, 16 << 20):
+        for batch in slices(batches, 2, 4 << 20):
             docs = [token_hashes(raw) for raw in batch.column(2).to_pylist()]
             n = np.array([len(d) for d in docs], np.int64)
             starts = np.cumsum(n) - n
