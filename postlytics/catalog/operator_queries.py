@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions import age_band, count_multiplier, digit_pattern, join_names, parse_count, to_ts
-from ..operators.aggregate import median_by_group
+from ..operators.aggregate import DEFAULT_ACCURACY, distinct_count_by_group, median_by_group
 from ..operators.clean import (cast_columns, clean_posts, clean_users, null_placeholders,
                                pack_coordinates, parse_timestamp, strip_prefix)
 from ..operators.profile import (crosstab_counts, distinct_profile, load_profile, pattern_profile,
@@ -58,8 +58,9 @@ def crosstab_pattern_multiplier(spark, root):
 def sample_per_pattern(spark, root):
     posts = raw_posts(spark, root).withColumn(
         "follower_count_pattern", digit_pattern("follower_count"))
-    picked = sample_per_group(posts, "follower_count_pattern", n=5, seed=17, distinct=False)
-    return picked.groupBy("follower_count_pattern").agg(F.count(F.lit(1)).alias("sampled"))
+    posts = posts.withColumn("parsed", parse_count("follower_count"))
+    return sample_per_group(posts, "follower_count_pattern", n=5, seed=17, key="unique_id", hash="md5",
+                            cols=["follower_count_pattern", "follower_count", "parsed"], order_by=["parsed"])
 
 
 def strip_prefix_posts(spark, root):
@@ -100,10 +101,20 @@ def load_profile_raw(spark, root):
     return load_profile(raw_entities(spark, root, "order"))
 
 
+def sketch_within_error(df, by, col):
+    """Per group, whether the sketch's median has a rank within n / accuracy, and one row, of the middle."""
+    sketch = median_by_group(df, by, col, method="approx", out="__m")
+    shares = df.join(sketch, by).groupBy(*by).agg(
+        F.try_divide(F.count_if(F.col(col) < F.col("__m")), F.count(col)).alias("below"),
+        F.try_divide(F.count_if(F.col(col) <= F.col("__m")), F.count(col)).alias("up_to"),
+        (1 / DEFAULT_ACCURACY + F.try_divide(F.lit(1), F.count(col))).alias("bound"))
+    near = (F.col("below") <= 0.5 + F.col("bound")) & (F.col("up_to") >= 0.5 - F.col("bound"))
+    return shares.select(*by, F.coalesce(near, F.lit(True)).alias("within_error"))
+
+
 def median_sketch_by_flag(spark, root):
-    items = read_table(spark, root, "lineitem").select("l_returnflag", "l_quantity")
-    return median_by_group(items, ["l_returnflag"], "l_quantity", method="approx",
-                           out="median_quantity")
+    items = read_table(spark, root, "lineitem").select("l_returnflag", "l_extendedprice")
+    return sketch_within_error(items, ["l_returnflag"], "l_extendedprice")
 
 
 def median_exact_by_flag(spark, root):
@@ -145,6 +156,31 @@ def shard_counts(spark, root):
     return posts.groupBy("shard").agg(F.count(F.lit(1)).alias("messages"))
 
 
+def assigned_shards(spark, root):
+    return assign_shard(raw_posts(spark, root).select("index", "unique_id"), "index", 4, hash="md5")
+
+
+def top_posts_by_category(spark, root):
+    """More rows per group than Spark's partial group limit takes: ranked in two stages."""
+    pins, _, _ = entities(spark, root, "order")
+    order = [F.col("follower_count").desc_nulls_last(), F.col("ind").asc()]
+    return top_n_per_group(pins.select("category", "ind", "follower_count"), "category", order, n=1500, rank_col="place")
+
+
+def distinct_customers_by_category(spark, root):
+    posts = raw_posts(spark, root, "customer").select("category", "poster_name")
+    return distinct_count_by_group(posts, ["category"], "poster_name", out="posters")
+
+
+def approx_customers_by_category(spark, root):
+    """The HyperLogLog++ option of the distinct count, within three standard errors (5 %)."""
+    posts = raw_posts(spark, root, "customer").select("category", "poster_name")
+    exact = distinct_count_by_group(posts, ["category"], "poster_name", out="posters")
+    rough = distinct_count_by_group(posts, ["category"], "poster_name", out="estimate", approx=True)
+    near = F.abs(F.col("estimate") - F.col("posters")) <= 0.15 * F.col("posters")
+    return exact.join(rough, "category").select("category", near.alias("within_error"))
+
+
 def aligned_sample(spark, root):
     raw = raw_entities(spark, root, "customer")
     kept = sample_aligned({"pin": raw["pin"], "user": raw["user"]}, {"pin": "index", "user": "ind"},
@@ -168,15 +204,14 @@ def sql_top_category_by_country(spark, root):
 
 
 def sql_sample_per_pattern(spark, root):
-    posts = raw_posts(spark, root).select(
-        "follower_count", parse_count("follower_count").alias("follower_count_numeric"),
-        digit_pattern("follower_count").alias("follower_count_pattern"))
-    sampled = sql_over(spark, {"posts": posts}, """
-        SELECT follower_count_pattern, follower_count, follower_count_numeric FROM (
-          SELECT *, row_number() OVER (PARTITION BY follower_count_pattern ORDER BY rand(5)) AS rn
-          FROM {posts})
-        WHERE rn <= 5""")
-    return sampled.groupBy("follower_count_pattern").agg(F.count(F.lit(1)).alias("sampled"))
+    shapes = raw_posts(spark, root).select(
+        "unique_id", F.col("follower_count").alias("count_text"), digit_pattern("follower_count").alias("shape"))
+    return sql_over(spark, {"shapes": shapes}, """
+        WITH drawn AS (
+          SELECT shape, count_text,
+                 row_number() OVER (PARTITION BY shape ORDER BY md5(concat(unique_id, ':5')), unique_id) AS place
+          FROM {shapes})
+        SELECT DISTINCT shape, count_text FROM drawn WHERE place <= 5 ORDER BY shape, count_text""")
 
 
 def cast_post_columns(spark, root):
@@ -240,5 +275,9 @@ OPERATOR_QUERIES = {
     "decode_event_props": decode_event_props,
     "encode_decode_roundtrip": encode_decode_roundtrip,
     "shard_counts": shard_counts,
+    "assigned_shards": assigned_shards,
+    "top_posts_by_category": top_posts_by_category,
+    "distinct_posters_by_category": distinct_customers_by_category,
+    "approx_posters_by_category": approx_customers_by_category,
     "aligned_sample": aligned_sample,
 }

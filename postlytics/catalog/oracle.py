@@ -211,8 +211,11 @@ ORACLE.update({
         "ELSE 1 END AS BIGINT) AS follower_count_multiplier, count(*) AS \"count\" "
         "FROM raw_pin GROUP BY 1, 2"),
     "sample_per_group": _raw(
-        "SELECT regexp_replace(follower_count, '[0-9]+', '9', 'g') AS follower_count_pattern, "
-        "least(count(*), 5) AS sampled FROM raw_pin GROUP BY 1"),
+        "SELECT DISTINCT follower_count_pattern, follower_count, parsed FROM (SELECT follower_count, "
+        f"{count_sql('follower_count')} AS parsed, regexp_replace(follower_count, '[0-9]+', '9', 'g') AS "
+        "follower_count_pattern, row_number() OVER (PARTITION BY regexp_replace(follower_count, '[0-9]+', '9', 'g') "
+        "ORDER BY CAST('0x' || substr(md5(unique_id || ':17'), 1, 8) AS BIGINT), unique_id) AS place FROM raw_pin) "
+        "WHERE place <= 5"),
     "strip_prefix": _raw(
         "SELECT unique_id, regexp_replace(save_location, '^Local save in ', '') AS save_location "
         "FROM raw_pin"),
@@ -233,8 +236,7 @@ ORACLE.update({
         "SELECT 'pin' AS entity, count(*) AS \"rows\", 12 AS \"columns\" FROM raw_pin UNION ALL "
         "SELECT 'geo', count(*), 5 FROM raw_geo UNION ALL SELECT 'user', count(*), 5 FROM raw_usr"),
     "median_sketch_by_flag":
-        "SELECT l_returnflag, quantile_disc(l_quantity, 0.5) AS median_quantity "
-        "FROM lineitem GROUP BY 1",
+        "SELECT DISTINCT l_returnflag, true AS within_error FROM lineitem",
     "median_exact_by_flag":
         "SELECT l_returnflag, quantile_disc(l_extendedprice, 0.5) AS median_price "
         "FROM lineitem GROUP BY 1",
@@ -258,21 +260,26 @@ ORACLE.update({
     "stream_clean_locations": ORACLE["clean_locations"],
     "stream_clean_users": ORACLE["clean_users"],
     "read_topic_posts": ORACLE["clean_posts"],
-    "read_delimited_roundtrip": ORACLE["clean_users"],
-    "landed_topics": _raw(
-        "SELECT 'pin' AS topic, count(*) AS messages FROM raw_pin UNION ALL "
-        "SELECT 'geo', count(*) FROM raw_geo UNION ALL SELECT 'user', count(*) FROM raw_usr"),
+    "stream_to_catalog_table": ORACLE["clean_users"],
+    "stream_processing_time": ORACLE["clean_users"],
+    "read_delimited_roundtrip": _raw(
+        "SELECT age, date_joined, first_name, ind, CASE CAST(ind AS BIGINT) % 7 WHEN 0 THEN '' "
+        "WHEN 1 THEN 'two' || chr(10) || 'lines ' || ind WHEN 2 THEN 'say \"hi\" | ' || last_name || '  ' "
+        "ELSE last_name END AS last_name FROM raw_usr"),
 })
 
-# The sketch (accuracy 10 000) is exact for groups of a few thousand values,
-# which covers every group at the oracle's scale.
+# Sketch answers depend on the group's size: what must hold is the rank error.
 for _name in ("median_followers_by_age_group", "median_followers_by_year_joined",
               "median_followers_by_year_and_age"):
-    ORACLE[_name + "_sketch"] = ORACLE[_name]
+    ORACLE[_name + "_sketch"] = f"SELECT * EXCLUDE (median_follower_count), true AS within_error FROM ({ORACLE[_name]})"
 
 ORACLE.update({
     "sql_top_category_by_country": ORACLE["top_category_by_country"],
-    "sql_sample_per_group": ORACLE["sample_per_group"],
+    "sql_sample_per_group": _raw(
+        "SELECT DISTINCT shape, count_text FROM (SELECT follower_count AS count_text, "
+        "regexp_replace(follower_count, '[0-9]+', '9', 'g') AS shape, row_number() OVER (PARTITION BY "
+        "regexp_replace(follower_count, '[0-9]+', '9', 'g') ORDER BY md5(unique_id || ':5'), unique_id) AS place "
+        "FROM raw_pin) WHERE place <= 5"),
     "cast_columns": _raw(
         'SELECT unique_id, TRY_CAST("index" AS BIGINT) AS "index", '
         "TRY_CAST(downloaded AS INTEGER) AS downloaded FROM raw_pin"),
@@ -286,8 +293,36 @@ ORACLE.update({
 _REPORTED = ["top_category_by_country", "top_category_by_year", "top_user_by_country",
              "top_country_by_followers", "top_category_by_age_group", "median_followers_by_age_group",
              "users_joined_by_year", "median_followers_by_year_joined", "median_followers_by_year_and_age"]
-ORACLE["batch_report"] = " UNION ALL ".join(
-    f"SELECT '{name}' AS question, count(*) AS \"rows\" FROM ({ORACLE[name]})" for name in _REPORTED)
+_COLUMNS = {
+    "top_category_by_country": ["country", "category", "category_count"],
+    "top_category_by_year": ["post_year", "category", "category_count"],
+    "top_user_by_country": ["country", "poster_name", "follower_count"],
+    "top_country_by_followers": ["country", "follower_count"],
+    "top_category_by_age_group": ["age_group", "category", "category_count"],
+    "median_followers_by_age_group": ["age_group", "median_follower_count"],
+    "users_joined_by_year": ["year_joined", "number_users_joined"],
+    "median_followers_by_year_joined": ["year_joined", "median_follower_count"],
+    "median_followers_by_year_and_age": ["year_joined", "age_group", "median_follower_count"],
+}
+
+
+def _answer_rows(names, sql) -> str:
+    """All answers as (question, c1, c2, c3) text rows."""
+    parts = []
+    for name in names:
+        cells = [f"CAST({c} AS VARCHAR)" for c in _COLUMNS[name]] + ["CAST(NULL AS VARCHAR)"] * (3 - len(_COLUMNS[name]))
+        parts.append(f"SELECT '{name}' AS question, " + ", ".join(f"{c} AS c{i + 1}" for i, c in enumerate(cells))
+                     + f" FROM ({sql[name]})")
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["batch_report"] = _answer_rows(_REPORTED, ORACLE)
+# the daily run answers every question from the customer family
+_DAILY = {**ORACLE,
+          "top_category_by_country": _top_category("customer", "country", "country", "geo JOIN pin ON geo.ind = pin.ind"),
+          "top_category_by_year": _top_category(
+              "customer", 'CAST(year(geo."timestamp") AS INTEGER)', "post_year",
+              "geo JOIN pin ON geo.ind = pin.ind", 'WHERE year(geo."timestamp") BETWEEN 1996 AND 2000')}
 
 
 def _md5_hash(key: str, seed: int) -> str:
@@ -311,7 +346,32 @@ ranked AS (
 SELECT age_group, category, category_count FROM ranked WHERE rn = 1""",
 })
 
-ORACLE["streamed_top_user_by_country"] = ORACLE["top_user_by_country"]
+ORACLE["landed_topics"] = _raw(" UNION ALL ".join(
+    f"SELECT '{topic}' AS topic, \"{key}\" AS key, CAST({_md5_hash(chr(34) + key + chr(34), 0)} % 4 AS INTEGER) AS partition "
+    f"FROM {source}" for topic, key, source in (("pin", "index", "raw_pin"), ("geo", "ind", "raw_geo"), ("user", "ind", "raw_usr"))))
+ORACLE["assigned_shards"] = _raw(
+    f'SELECT "index", unique_id, CAST({_md5_hash(chr(34) + "index" + chr(34), 0)} % 4 AS INTEGER) AS shard FROM raw_pin')
+ORACLE["top_posts_by_category"] = f"""WITH {entities_sql('order')}
+SELECT category, ind, follower_count, CAST(place AS INTEGER) AS place FROM (
+  SELECT category, ind, follower_count, row_number() OVER (PARTITION BY category
+    ORDER BY follower_count DESC NULLS LAST, ind) AS place FROM pin) WHERE place <= 1500"""
+ORACLE["distinct_posters_by_category"] = _raw(
+    "SELECT category, count(DISTINCT poster_name) AS posters FROM raw_pin GROUP BY 1", family="customer")
+ORACLE["approx_posters_by_category"] = _raw(
+    "SELECT DISTINCT category, true AS within_error FROM raw_pin", family="customer")
+_FAULTY = f"""WITH raw_geo AS ({raw_locations_sql('order')}),
+faulty AS (SELECT *, CAST(ind AS BIGINT) % 97 = 0 AS unreadable,
+  CAST(ind AS BIGINT) % 97 <> 0 AND CAST(ind AS BIGINT) % 89 = 0 AS wrong_type FROM raw_geo)"""
+ORACLE["faulty_lines_batch"] = ORACLE["faulty_lines_stream"] = f"""{_FAULTY},
+kept AS (SELECT country, ind, CASE WHEN wrong_type THEN NULL ELSE latitude END AS latitude, longitude, "timestamp"
+  FROM faulty WHERE NOT unreadable)
+{CLEAN_LOCATIONS} FROM kept"""
+ORACLE["faulty_rejects_batch"] = ORACLE["faulty_rejects_stream"] = _FAULTY + """
+SELECT 'geo' AS entity, CASE WHEN unreadable THEN 'unreadable' ELSE 'wrong type' END AS reason,
+  CASE WHEN unreadable THEN 'broken ' || ind ELSE '{"country":"' || country || '","ind":"' || ind
+    || '","latitude":"north","longitude":' || CAST(longitude AS VARCHAR) || ',"timestamp":"' || "timestamp" || '"}' END AS payload
+FROM faulty WHERE unreadable OR wrong_type"""
+ORACLE["streamed_top_user_by_country"] = _answer_rows(["top_user_by_country", "median_followers_by_age_group"], ORACLE)
 ORACLE["compacted_topic_posts"] = ORACLE["clean_posts"]
 
 ORACLE["category_counts_latest_only"] = f"""WITH {entities_sql('customer')},
@@ -322,5 +382,5 @@ p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ind
 SELECT country, category, count(*) AS category_count FROM g JOIN p ON g.ind = p.ind GROUP BY 1, 2"""
 ORACLE["distinct_posts"] = _raw(
     'SELECT DISTINCT "index", category, poster_name FROM raw_pin', family="customer")
-ORACLE["batch_from_topics"] = ORACLE["median_followers_by_year_and_age"]
+ORACLE["batch_from_topics"] = _answer_rows(_REPORTED, _DAILY)
 ORACLE["stream_binary_envelope"] = ORACLE["clean_users"]

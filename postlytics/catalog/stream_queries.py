@@ -9,21 +9,42 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.clean import clean_posts, clean_users
-from ..schemas import POST_RAW, USER_RAW
+from ..operators.clean import clean_locations, clean_posts
+from ..schemas import LOCATION_RAW, POST_RAW, USER_RAW
 from ..session import fresh_dir
 from ..sources.bindings import raw_entities, raw_posts, raw_users
 from ..sources.messages import encode_messages, land_topics
 from ..sources.topics import (compact_topic, read_delimited, read_landed, read_topic, select_topics, topic_path,
-                              write_delimited)
-from ..streaming.sinks import read_messages_stream, run_entity_streams
+                              topic_rejects, write_delimited)
+from ..streaming.sinks import append_stream, clean_stream, read_messages_stream, run_entity_streams
 
 KEYS = {"pin": "index", "geo": "ind", "user": "ind"}
 SHARDS = 4
 
 
+WAIT_SECONDS = 1800
+
+
 def _land(raw, base, entity):
-    land_topics(encode_messages(raw, topic=entity, key=KEYS[entity]), base, partitions=SHARDS)
+    land_topics(encode_messages(raw, topic=entity, key=KEYS[entity]), base, partitions=SHARDS, hash="md5")
+
+
+def _finish(queries):
+    """Wait for catch-up queries, but not forever."""
+    for name, query in queries.items():
+        if not query.awaitTermination(WAIT_SECONDS):
+            query.stop()
+            raise TimeoutError(f"stream {name} did not finish in {WAIT_SECONDS} s")
+
+
+def _answer_rows(answers):
+    """All answers as (question, c1, c2, c3) text rows."""
+    parts = None
+    for name, df in answers.items():
+        cells = [F.col(c).cast("string") for c in df.columns] + [F.lit(None).cast("string")] * (3 - len(df.columns))
+        part = df.select(F.lit(name).alias("question"), *[c.alias(f"c{i + 1}") for i, c in enumerate(cells)])
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
 
 
 def _stream_clean(entity):
@@ -34,8 +55,7 @@ def _stream_clean(entity):
                                         options={"maxFilesPerTrigger": "16"})
         queries = run_entity_streams(spark, {entity: messages}, f"{base}/tables",
                                      trigger={"availableNow": True})
-        for q in queries.values():
-            q.awaitTermination()
+        _finish(queries)
         return spark.read.parquet(f"{base}/tables/{entity}")
     return run
 
@@ -46,16 +66,62 @@ def streamed_top_user_by_country(spark, root):
     from .. import plans
     base = fresh_dir(spark, "streamed-questions")
     raw = raw_entities(spark, root, "customer")
-    for entity in ("pin", "geo"):
+    for entity in raw:
         _land(raw[entity], base, entity)
-    sources = {entity: read_messages_stream(spark, "text", topic_path(base, entity))
-               for entity in ("pin", "geo")}
-    queries = run_entity_streams(spark, sources, f"{base}/tables", trigger={"availableNow": True})
-    for q in queries.values():
-        q.awaitTermination()
-    pins = spark.read.parquet(f"{base}/tables/pin")
-    geo = spark.read.parquet(f"{base}/tables/geo")
-    return plans.top_user_by_country(pins, geo)
+    sources = {entity: read_messages_stream(spark, "text", topic_path(base, entity)) for entity in raw}
+    _finish(run_entity_streams(spark, sources, f"{base}/tables", trigger={"availableNow": True}))
+    tables = {entity: spark.read.parquet(f"{base}/tables/{entity}") for entity in raw}
+    return _answer_rows({"top_user_by_country": plans.top_user_by_country(tables["pin"], tables["geo"]),
+                         "median_followers_by_age_group": plans.median_followers_by_age_group(
+                             tables["pin"], tables["geo"], tables["user"])})
+
+
+def stream_to_catalog_table(spark, root):
+    """The user stream appended to a table of the catalog."""
+    base = fresh_dir(spark, "stream-table")
+    _land(raw_users(spark, root), base, "user")
+    name = f"streamed_users_{base[-12:]}"
+    messages = read_messages_stream(spark, "text", topic_path(base, "user"))
+    _finish({name: append_stream(clean_stream(messages, "user"), table=name, checkpoint=f"{base}/checkpoint",
+                                 trigger={"availableNow": True})})
+    return spark.table(name)
+
+
+def stream_processing_time(spark, root):
+    """T5: a continuously triggered stream, stopped once it has read what is there."""
+    base = fresh_dir(spark, "stream-continuous")
+    _land(raw_users(spark, root), base, "user")
+    messages = read_messages_stream(spark, "text", topic_path(base, "user"))
+    query = append_stream(clean_stream(messages, "user"), path=f"{base}/table", checkpoint=f"{base}/checkpoint",
+                          trigger={"processingTime": "1 second"})
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.parquet(f"{base}/table")
+
+
+def _faulty_locations(spark, root):
+    """Location messages of which some are no JSON and some have text for a latitude."""
+    messages = encode_messages(raw_entities(spark, root, "order")["geo"], topic="geo", key="ind")
+    key = F.col("key").cast("bigint")
+    return messages.withColumn("value", F.when(key % 97 == 0, F.concat(F.lit("broken "), F.col("key")))
+                               .when(key % 89 == 0, F.regexp_replace("value", '"latitude":[^,]*', '"latitude":"north"'))
+                               .otherwise(F.col("value")))
+
+
+def _faulty(streamed, rejects):
+    def run(spark, root):
+        base = fresh_dir(spark, "faulty")
+        land_topics(_faulty_locations(spark, root), base, partitions=SHARDS)
+        if not streamed:
+            if rejects:
+                return topic_rejects(spark, base, "geo", LOCATION_RAW)
+            return clean_locations(read_topic(spark, base, "geo", LOCATION_RAW))
+        source = read_messages_stream(spark, "text", topic_path(base, "geo"))
+        _finish(run_entity_streams(spark, {"geo": source}, f"{base}/tables", trigger={"availableNow": True}))
+        return spark.read.parquet(f"{base}/tables/{'_rejects/' if rejects else ''}geo")
+    return run
 
 
 def stream_binary_envelope(spark, root):
@@ -70,8 +136,7 @@ def stream_binary_envelope(spark, root):
                                      schema=spark.read.parquet(f"{base}/in").schema)
     queries = run_entity_streams(spark, {"user": envelopes}, f"{base}/tables",
                                  trigger={"availableNow": True}, payload="data")
-    for q in queries.values():
-        q.awaitTermination()
+    _finish(queries)
     return spark.read.parquet(f"{base}/tables/user")
 
 
@@ -80,7 +145,8 @@ def landed_topics(spark, root):
     for entity, raw in raw_entities(spark, root, "order").items():
         _land(raw, base, entity)
     messages = select_topics(read_landed(spark, base), r"^(pin|geo|user)$")
-    return messages.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+    key = F.coalesce(F.get_json_object("value", "$.ind"), F.get_json_object("value", "$.index"))
+    return messages.select("topic", key.alias("key"), F.col("partition").cast("int").alias("partition"))
 
 
 def compacted_topic_posts(spark, root):
@@ -88,7 +154,7 @@ def compacted_topic_posts(spark, root):
     base = fresh_dir(spark, "compaction")
     messages = encode_messages(raw_posts(spark, root), topic="pin", key="index")
     land_topics(messages.repartition(64), base, partitions=SHARDS)
-    compact_topic(spark, base, "pin", f"{base}/compacted", files=2)
+    compact_topic(spark, base, "pin", f"{base}/compacted")
     return clean_posts(read_topic(spark, f"{base}/compacted", "pin", POST_RAW))
 
 
@@ -99,14 +165,19 @@ def read_topic_posts(spark, root):
 
 
 def read_delimited_roundtrip(spark, root):
+    """Raw rows with blanks, quotes, separators, line breaks, empty and missing values."""
     path = fresh_dir(spark, "delimited")
-    write_delimited(raw_users(spark, root), path, sep="|")
-    return clean_users(read_delimited(spark, path, sep="|", schema=USER_RAW))
+    n = F.col("ind").cast("bigint")
+    users = raw_users(spark, root).withColumn("last_name", F.when(n % 7 == 0, F.lit("")).when(
+        n % 7 == 1, F.concat(F.lit("two\nlines "), F.col("ind"))).when(
+        n % 7 == 2, F.concat(F.lit('say "hi" | '), F.col("last_name"), F.lit("  "))).otherwise(F.col("last_name")))
+    write_delimited(users, path, sep="|")
+    return read_delimited(spark, path, sep="|", schema=USER_RAW)
 
 
 def batch_report(spark, root):
-    """Every question answered by the one-job report and written as tables;
-    returns the rows written per question."""
+    """Every question answered by the one-job report and written as tables; returns
+    all answers."""
     from .. import plans
     from .queries import JOIN_YEARS, POST_YEARS, entities
     out = fresh_dir(spark, "report")
@@ -117,19 +188,12 @@ def batch_report(spark, root):
     answers["top_category_by_country"] = plans.top_category_by_country(pins_o, geo_o)
     answers["top_category_by_year"] = plans.top_category_by_year(pins_o, geo_o, *POST_YEARS)
     paths = plans.write_answers(answers, out)
-    parts = [spark.read.parquet(path).groupBy().count()
-             .select(F.lit(name).alias("question"), F.col("count").alias("rows"))
-             for name, path in paths.items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return _answer_rows({name: spark.read.parquet(path) for name, path in paths.items()})
 
 
 def batch_from_topics(spark, root):
     """The daily run end to end: the customer family landed as topics, then
-    read, cleaned, answered and written by ``run_batch``; returns the rows of
-    one answer table (median follower count per join year and age group)."""
+    read, cleaned, answered and written by ``run_batch``; returns all answers."""
     from .. import plans
     from .queries import JOIN_YEARS, POST_YEARS
     base = fresh_dir(spark, "daily")
@@ -137,10 +201,16 @@ def batch_from_topics(spark, root):
         _land(raw, base, entity)
     paths = plans.run_batch(spark, base, f"{base}/answers", layout="hive", post_years=POST_YEARS,
                             join_years=JOIN_YEARS, method="exact")
-    return spark.read.parquet(paths["median_followers_by_year_and_age"])
+    return _answer_rows({name: spark.read.parquet(path) for name, path in paths.items() if name[0] != "_"})
 
 
 STREAM_QUERIES = {
+    "stream_to_catalog_table": stream_to_catalog_table,
+    "stream_processing_time": stream_processing_time,
+    "faulty_lines_batch": _faulty(False, False),
+    "faulty_lines_stream": _faulty(True, False),
+    "faulty_rejects_batch": _faulty(False, True),
+    "faulty_rejects_stream": _faulty(True, True),
     "stream_binary_envelope": stream_binary_envelope,
     "batch_from_topics": batch_from_topics,
     "streamed_top_user_by_country": streamed_top_user_by_country,

@@ -11,17 +11,22 @@ from ._cols import as_col
 MESSAGE_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def to_ts(c: Column | str, fmt: str | None = None) -> Column:
+_MESSAGE_TS_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+
+
+def to_ts(c: Column | str, fmt: str | None = MESSAGE_TS_FORMAT) -> Column:
     """Text to timestamp; malformed text gives NULL instead of failing (D3).
 
-    Without ``fmt`` the text is parsed like a cast, as ``to_timestamp`` without a
-    pattern does (``yyyy-MM-dd HH:mm:ss``, date only, ISO ``T`` forms); it is
-    also the faster path. With ``fmt`` (e.g. :data:`MESSAGE_TS_FORMAT`) only
-    that exact pattern is accepted.
+    Only text of exactly the pattern ``fmt`` is accepted, so time-only text (which
+    a cast would date today), zone suffixes and ISO forms are malformed. The message
+    format is checked by shape and then cast, which is faster than a pattern parser;
+    ``fmt=None`` parses like a cast.
     """
     col = as_col(c)
     if fmt is None:
         return col.try_cast("timestamp")
+    if fmt == MESSAGE_TS_FORMAT:
+        return F.when(col.rlike(_MESSAGE_TS_SHAPE), col.try_cast("timestamp"))
     return F.try_to_timestamp(col, F.lit(fmt))
 
 

@@ -1,19 +1,19 @@
 """DataFrame -> DataFrame operators."""
 
-from .aggregate import DEFAULT_ACCURACY, distinct_count_by_group, median_by_group
+from .aggregate import BRACKET_ACCURACY, DEFAULT_ACCURACY, distinct_count_by_group, median_by_group
 from .clean import (CLEANERS, SAVE_LOCATION_PREFIX, cast_columns, clean_locations, clean_posts,
                     clean_users, combine_names, null_placeholders, pack_coordinates,
                     parse_timestamp, strip_prefix, with_age_group, with_year)
-from .joins import pair_counts
+from .joins import frequent_keys, pair_counts
 from .profile import (crosstab_counts, distinct_profile, load_profile, pattern_profile,
-                      reject_counts, sample_per_group)
+                      random_order, reject_counts, sample_per_group)
 from .rank import dedupe_records, latest_per_key, rows_at_offset, top_joined_per_key, top_n_per_group
 
 __all__ = [
-    "CLEANERS", "DEFAULT_ACCURACY", "SAVE_LOCATION_PREFIX", "cast_columns", "clean_locations",
+    "BRACKET_ACCURACY", "CLEANERS", "DEFAULT_ACCURACY", "SAVE_LOCATION_PREFIX", "cast_columns", "clean_locations",
     "clean_posts", "clean_users", "combine_names", "crosstab_counts", "dedupe_records", "distinct_count_by_group",
-    "distinct_profile", "latest_per_key", "load_profile", "median_by_group", "null_placeholders",
-    "pack_coordinates", "pair_counts", "parse_timestamp", "pattern_profile", "reject_counts",
+    "distinct_profile", "frequent_keys", "latest_per_key", "load_profile", "median_by_group", "null_placeholders",
+    "pack_coordinates", "pair_counts", "parse_timestamp", "pattern_profile", "random_order", "reject_counts",
     "rows_at_offset", "sample_per_group", "strip_prefix", "top_joined_per_key", "top_n_per_group",
     "with_age_group", "with_year",
 ]

@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10000
+BRACKET_ACCURACY = 1000
 
 
-def median_by_group(df: DataFrame, by: Sequence[str], col: str, method: str = "approx",
-                    accuracy: int = DEFAULT_ACCURACY, out: str = "median",
-                    pieces: int | None = None) -> DataFrame:
+def median_by_group(df: DataFrame, by: Sequence[str], col: str, method: str = "exact",
+                    accuracy: int = DEFAULT_ACCURACY, out: str = "median") -> DataFrame:
     """Lower median of ``col`` per group, NULLs ignored.
 
-    ``approx`` is the reference's sketch (``percentile_approx``): bounded
-    memory per group, merged map-side, rank error at most n / accuracy.
     ``exact`` equals ``percentile_disc(0.5)`` (see :func:`exact_lower_median`).
+    ``approx`` is the reference's sketch (``percentile_approx``): one pass, bounded
+    memory per group, merged map-side, rank error at most n / accuracy, so its answer
+    depends on the group's size.
     Groups whose values are all NULL keep a row with a NULL median.
     """
     keys = list(by)
@@ -25,7 +26,7 @@ def median_by_group(df: DataFrame, by: Sequence[str], col: str, method: str = "a
         return df.groupBy(*keys).agg(F.percentile_approx(col, 0.5, accuracy).alias(out))
     if method != "exact":
         raise ValueError(f"unknown method {method!r}; expected 'approx' or 'exact'")
-    return exact_lower_median(df, keys, col, out, pieces)
+    return exact_lower_median(df, keys, col, out)
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -38,51 +39,37 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def exact_lower_median(df: DataFrame, by: Sequence[str], col: str, out: str = "median",
-                       pieces: int | None = None) -> DataFrame:
+                       accuracy: int = BRACKET_ACCURACY) -> DataFrame:
     """Smallest value whose cumulative share in its group reaches one half.
 
-    No group is ever handled whole by one task:
-
-    1. rows are counted per ``(group, value)`` with a map-side combine, so a
-       group shrinks to its distinct values (NULL values stay as one row per
-       group with weight 0, which keeps all-NULL groups in the result);
-    2. the counts are range-partitioned on ``(group, value)`` into ``pieces``
-       slices, which cuts a large group into many slices of similar size;
-    3. each slice gets running counts (a window over that slice only), and a
-       small table of slice totals (at most pieces + groups rows) gives every
-       slice the count of the same group's values in earlier slices;
-    4. per slice the first value whose running count reaches half the group
-       total is kept, and the smallest of those per group is the median.
-
-    Both branches (slice totals and running counts) read one range exchange,
-    which Spark reuses, so they agree on slice ids; the function therefore
-    refuses to run with exchange reuse switched off.
+    A function of the data alone, whatever the partitioning:
+
+    1. one sketch per group gives two values that enclose the median (they lie
+       3 / accuracy of the group below and above its middle, three times the sketch's error);
+    2. a second pass counts the rows below the bracket and, per value, the rows inside,
+       with a map-side combine; rows above are dropped before the shuffle;
+    3. the few values inside are ranked per group.
+
+    No task sees more of a group than the sketch and about 6 / accuracy of its distinct values.
     """
-    keys = list(by)
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        raise ValueError("exact medians need spark.sql.exchange.reuse=true")
-    n_pieces = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    value = F.col(col)
-    counts = df.groupBy(*keys, col).agg(
-        F.sum(F.when(value.isNotNull(), F.lit(1)).otherwise(F.lit(0))).alias("__n"))
-    sliced = counts.repartitionByRange(n_pieces, *keys, col).withColumn("__piece", F.spark_partition_id())
-
-    totals = sliced.groupBy("__piece", *keys).agg(F.sum("__n").alias("__piece_n"))
-    by_piece = Window.partitionBy(*keys).orderBy("__piece")
-    offsets = totals.select(
-        "__piece", *keys,
-        F.coalesce(F.sum("__piece_n").over(by_piece.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("__before"),
-        F.sum("__piece_n").over(Window.partitionBy(*keys)).alias("__total"))
-
-    in_piece = Window.partitionBy("__piece", *keys).orderBy(value.asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = sliced.withColumn("__cum", F.sum("__n").over(in_piece))
-    placed = _null_safe_join(running, offsets, ["__piece", *keys], "inner")
-    reached = value.isNotNull() & ((F.col("__before") + F.col("__cum")) * 2 >= F.col("__total"))
-    per_piece = placed.groupBy("__piece", *keys).agg(F.min(F.when(reached, value)).alias("__first"))
-    return per_piece.groupBy(*keys).agg(F.min("__first").alias(out))
+    keys, value = list(by), F.col(col)
+    rows = df.select(*keys, col)
+    sketch = rows.groupBy(*keys).agg(
+        F.count(col).alias("__n"),
+        F.percentile_approx(col, max(0.0, 0.5 - 3 / accuracy), accuracy).alias("__lo"),
+        F.percentile_approx(col, min(1.0, 0.5 + 3 / accuracy), accuracy).alias("__hi"))
+    placed = _null_safe_join(rows, sketch, keys, "inner").where(value <= F.col("__hi"))
+    inside = F.when(value >= F.col("__lo"), value).alias("__value")
+    counts = placed.groupBy(*keys, inside).agg(F.count(F.lit(1)).alias("__rows"), F.first("__n").alias("__n"))
+    so_far = F.sum("__rows").over(Window.partitionBy(*keys).orderBy(F.col("__value").asc_nulls_first())
+                                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    reached = counts.withColumn("__cum", so_far).where(F.col("__cum") * 2 >= F.col("__n"))
+    # a NULL here is the rows below the bracket reaching the middle: the sketch broke its bound
+    first = reached.groupBy(*keys).agg(F.min("__value").alias("__first"), F.count_if(F.col("__value").isNull()).alias("__missed"))
+    answer = _null_safe_join(sketch.select(*keys, "__n"), first, keys, "left")
+    broken = (F.col("__n") > 0) & (F.col("__first").isNull() | (F.col("__missed") > 0))
+    checked = F.when(broken, F.raise_error(F.lit("the median lies outside its bracket"))).otherwise(F.col("__first"))
+    return answer.select(*keys, checked.alias(out))
 
 
 def distinct_count_by_group(df: DataFrame, by: Sequence[str], col: str, out: str,

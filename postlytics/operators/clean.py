@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, TimestampType
 
-from ..functions import (DEFAULT_AGE_BANDS, DEFAULT_ERROR_VALUES, DEFAULT_SUFFIXES, age_band,
+from ..functions import (DEFAULT_AGE_BANDS, MESSAGE_TS_FORMAT, DEFAULT_ERROR_VALUES, DEFAULT_SUFFIXES, age_band,
                          join_names, parse_count, to_ts, without_prefix)
 
 # Fixed value: the text in front of every save location.
@@ -76,10 +76,10 @@ def _as_timestamp(df: DataFrame, col: str, fmt: str | None):
     return to_ts(col, fmt)
 
 
-def parse_timestamp(df: DataFrame, col: str, fmt: str | None = None,
+def parse_timestamp(df: DataFrame, col: str, fmt: str | None = MESSAGE_TS_FORMAT,
                     out: str | None = None) -> DataFrame:
-    """Text to timestamp; malformed text becomes NULL (C11, D3). Default parsing is
-    cast-style, like ``to_timestamp`` without a pattern; pass ``fmt`` for a strict pattern."""
+    """Text to timestamp; text of another pattern becomes NULL (C11, D3). ``fmt`` as in
+    :func:`postlytics.functions.to_ts`."""
     return df.withColumn(out or col, _as_timestamp(df, col, fmt))
 
 
@@ -122,9 +122,9 @@ def clean_posts(df: DataFrame, count_mode: str = "digits", placeholders: Iterabl
     )
 
 
-def clean_locations(df: DataFrame, ts_format: str | None = None) -> DataFrame:
+def clean_locations(df: DataFrame, ts_format: str | None = MESSAGE_TS_FORMAT) -> DataFrame:
     """Raw location records to the location contract (C14); ``ts_format`` as in
-    :func:`postlytics.functions.to_ts` (default: cast-style parsing)."""
+    :func:`postlytics.functions.to_ts` (default: the message format only)."""
     return df.select(
         F.col("ind").try_cast("bigint").alias("ind"),
         "country",
@@ -133,9 +133,9 @@ def clean_locations(df: DataFrame, ts_format: str | None = None) -> DataFrame:
     )
 
 
-def clean_users(df: DataFrame, ts_format: str | None = None) -> DataFrame:
+def clean_users(df: DataFrame, ts_format: str | None = MESSAGE_TS_FORMAT) -> DataFrame:
     """Raw user records to the user contract (C15); ``ts_format`` as in
-    :func:`postlytics.functions.to_ts` (default: cast-style parsing)."""
+    :func:`postlytics.functions.to_ts` (default: the message format only)."""
     return df.select(
         F.col("ind").try_cast("bigint").alias("ind"),
         join_names("first_name", "last_name").alias("user_name"),

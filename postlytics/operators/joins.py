@@ -4,30 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def frequent_keys(df: DataFrame, key: str, fraction: float = 0.01, least: int = 100, most: int = 1000) -> list:
+    """Up to ``most`` keys that occur at least ``least`` times in a sample of the rows. One small
+    job whose result is bounded; it steers plans and never decides results."""
+    counts = (df.select(key).where(F.col(key).isNotNull()).sample(fraction=fraction, seed=1)
+              .groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least))
+    return [r[0] for r in counts.orderBy(F.desc("n"), key).limit(most).collect()]
+
+
 def pair_counts(left: DataFrame, right: DataFrame, on: str,
                 left_by: Sequence[str], right_by: Sequence[str],
-                out: str = "count", pre_aggregate: bool = True) -> DataFrame:
+                out: str = "count", hot_keys: Sequence | None = None) -> DataFrame:
     """Row counts of ``left ⋈ right`` (inner, on ``on``) grouped by columns of both sides.
 
     Equal to ``left.join(right, on).groupBy(*left_by, *right_by).count()``,
     including the m x n rows a key repeated m and n times contributes, but
-    each side is first reduced to ``(key, group, rows)`` with a map-side
-    combine, so a hot key sends a few rows per task to the join instead of
-    all of its rows, and no pairs are ever materialised.
+    each side is first reduced to ``(key, group, rows)``, so no pairs are ever
+    materialised.
 
-    ``pre_aggregate=False`` joins the rows directly: one shuffle fewer per
-    side, with the same result, but only for inputs whose keys are known to
-    repeat rarely (a hot key would then produce all of its pairs).
+    Either side is shuffled once, by ``on``; the counts per (key, group) and the join
+    are then finished inside that partitioning. Rows of ``hot_keys`` (found by
+    :func:`frequent_keys` on both sides when not given) take a path of their own with a
+    map-side combine, so a hot key sends a few rows per task instead of all of its rows.
     """
     lb, rb = list(left_by), list(right_by)
-    if not pre_aggregate:
-        joined = left.select(on, *lb).join(right.select(on, *rb), on)
-        return joined.groupBy(*lb, *rb).agg(F.count(F.lit(1)).alias(out))
-    lc = left.groupBy(on, *lb).agg(F.count(F.lit(1)).alias("__nl"))
-    rc = right.groupBy(on, *rb).agg(F.count(F.lit(1)).alias("__nr"))
-    joined = lc.join(rc, on)
-    return joined.groupBy(*lb, *rb).agg(F.sum(F.col("__nl") * F.col("__nr")).alias(out))
+    if hot_keys is None:
+        hot_keys = sorted({*frequent_keys(left, on), *frequent_keys(right, on)})
+
+    def counted(df: DataFrame, by: list[str], n: str, hot: Column | None) -> DataFrame:
+        rows = df.select(on, *by)
+        if hot is not None:
+            rows = rows.where(hot)
+        else:
+            rows = (rows.where(~F.col(on).isin(*hot_keys)) if hot_keys else rows.where(F.col(on).isNotNull())).repartition(on)
+        return rows.groupBy(on, *by).agg(F.count(F.lit(1)).alias(n))
+
+    def joined(hot: Column | None) -> DataFrame:
+        both = counted(left, lb, "__nl", hot).join(counted(right, rb, "__nr", hot), on)
+        return both.select(*lb, *rb, (F.col("__nl") * F.col("__nr")).alias("__pairs"))
+
+    pairs = joined(None)
+    if hot_keys:
+        pairs = pairs.unionByName(joined(F.col(on).isin(*hot_keys)))
+    return pairs.groupBy(*lb, *rb).agg(F.sum("__pairs").alias(out))

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import digit_pattern
+from ..sources.sampling import key_hash
+from .rank import top_n_per_group
 
 
 def pattern_profile(df: DataFrame, col: str, collapse_runs: bool = True,
@@ -27,23 +29,32 @@ def crosstab_counts(df: DataFrame, cols: Sequence[Column | str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("count"))
 
 
-def sample_per_group(df: DataFrame, by: Sequence[str] | str, n: int = 5,
-                     seed: int | None = None, cols: Sequence[str] | None = None,
-                     distinct: bool = True, rank_col: str | None = None) -> DataFrame:
-    """Up to ``n`` random rows of every group (C6), optionally de-duplicated.
+def random_order(df: DataFrame, key: Sequence[str] | str | None = None, seed: int = 0,
+                 hash: str = "xxhash64") -> list[Column]:
+    """A reproducible random order (W6, F10): by a hash of the row's unique key and a seed, so
+    neither partitioning nor a repeated task changes it. Without a key the whole row counts."""
+    cols = df.columns if key is None else [key] if isinstance(key, str) else list(key)
+    text = F.col(cols[0]).cast("string") if len(cols) == 1 else F.to_json(F.struct(*cols))
+    return [key_hash(text, seed, hash).asc_nulls_last(), text.asc_nulls_last()]
 
-    The random order is fixed by ``seed``; the per-group limit runs map-side
-    (``WindowGroupLimit``), so a huge group costs ``n`` rows per task.
+
+def sample_per_group(df: DataFrame, by: Sequence[str] | str, n: int = 5, seed: int = 0,
+                     key: Sequence[str] | str | None = None, cols: Sequence[str] | None = None,
+                     distinct: bool = True, rank_col: str | None = None, order_by: Sequence[Column | str] = (),
+                     hash: str = "xxhash64") -> DataFrame:
+    """Up to ``n`` random rows of every group (C6), optionally de-duplicated and ordered.
+
+    The order within a group is :func:`random_order` of ``key`` and ``seed``; the
+    per-group limit runs map-side, so a huge group costs ``n`` rows per task.
     """
-    keys = [by] if isinstance(by, str) else list(by)
     rc = rank_col or "__pick"
-    w = Window.partitionBy(*keys).orderBy(F.rand(seed))
-    picked = df.withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n)
+    picked = top_n_per_group(df, by, random_order(df, key, seed, hash), n, rank_col=rc)
     if cols is not None:
         picked = picked.select(*cols, *([rc] if rank_col else []))
     elif not rank_col:
         picked = picked.drop(rc)
-    return picked.distinct() if distinct else picked
+    picked = picked.distinct() if distinct else picked
+    return picked.orderBy(*order_by) if order_by else picked
 
 
 def distinct_profile(df: DataFrame, col: str) -> DataFrame:

@@ -3,6 +3,7 @@
 ``top_n_per_group`` uses ``row_number`` plus a filter, the form Catalyst turns
 into a partial ``WindowGroupLimit`` ahead of the shuffle: each map task sends at
 most ``n`` rows per group, so one huge group does not reach a single task whole.
+Spark plans that limit for up to 1000 rows; larger ``n`` are ranked in two stages.
 """
 
 from __future__ import annotations
@@ -12,6 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import fresh_dir
+
+GROUP_LIMIT = 1000  # spark.sql.window.group.limit.threshold: no partial limit beyond it
+SALTS = 32
+
 
 def _cols(items: Sequence[Column | str] | str) -> list[Column]:
     if isinstance(items, (str, Column)):
@@ -30,6 +36,11 @@ def top_n_per_group(df: DataFrame, by: Sequence[Column | str] | str,
     if n < 1:
         raise ValueError("n must be at least 1")
     rc = rank_col or "__rank"
+    if n > GROUP_LIMIT:
+        # first the best n of each of SALTS parts of a group, then of what is left of it
+        parts = df.withColumn("__part", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        w = Window.partitionBy(*_cols(by), "__part").orderBy(*_cols(order))
+        df = parts.withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n).drop("__part", rc)
     w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
     out = df.withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n)
     return out if rank_col else out.drop(rc)
@@ -57,8 +68,29 @@ def top_joined_per_key(left: DataFrame, right: DataFrame, key: str,
 
 def rows_at_offset(df: DataFrame, order: Sequence[Column | str] | Column | str,
                    offset: int, n: int = 1) -> DataFrame:
-    """``n`` rows after skipping ``offset`` rows of a total order."""
-    return df.orderBy(*_cols(order)).offset(offset).limit(n)
+    """``n`` rows after skipping ``offset`` rows of a total order.
+
+    The rows are range-partitioned on the order and written to the shared folder, slice by
+    slice (this runs when called); counts per slice then tell which slices hold the wanted rows, and only
+    those are read. No task holds ``offset`` rows, and offsets may exceed 32 bits.
+    """
+    if offset < 0 or n < 0:
+        raise ValueError("offset and n must not be negative")
+    spark = df.sparkSession
+    path = fresh_dir(spark, "slices")
+    (df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *_cols(order))
+     .withColumn("__slice", F.spark_partition_id()).write.parquet(path))
+    sliced = spark.read.parquet(path)
+    counts = sliced.groupBy("__slice").count().orderBy("__slice").collect()  # one row per slice
+    before, skip, wanted = 0, 0, []
+    for row in counts:
+        if before < offset + n and before + row["count"] > offset:
+            if not wanted:
+                skip = offset - before
+            wanted.append(row["__slice"])
+        before += row["count"]
+    rows = sliced.where(F.col("__slice").isin(*wanted) if wanted else F.lit(False)).select(*df.columns)
+    return rows.orderBy(*_cols(order)).offset(max(0, skip)).limit(n)
 
 
 def dedupe_records(df: DataFrame, mode: str = "exact", key: str | None = None,

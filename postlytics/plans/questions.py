@@ -17,7 +17,7 @@ from per-key counts (``pair_counts``) or per-key best rows
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import DEFAULT_AGE_BANDS, age_band
@@ -76,11 +76,13 @@ def top_user_by_country(pins: DataFrame, locations: DataFrame) -> DataFrame:
 def top_country_by_followers(pins: DataFrame, locations: DataFrame) -> DataFrame:
     """Q4: countries whose top user has the overall highest follower count (ties kept).
 
-    The maximum is a scalar subquery inside the same plan (J4): no collect.
+    The maximum (J4) is taken over the one row per country that Q3 leaves, so the
+    joins below it run once.
     """
     top = _top_user_by_country(pins, locations)
-    highest = top.agg(F.max("follower_count")).scalar()
-    return top.filter(F.col("follower_count") == highest).select("country", "follower_count")
+    highest = F.max("follower_count").over(Window.partitionBy())
+    return (top.withColumn("highest", highest).filter(F.col("follower_count") == F.col("highest"))
+            .select("country", "follower_count"))
 
 
 def top_category_by_age_group(pins: DataFrame, users: DataFrame,
@@ -95,21 +97,26 @@ def top_category_by_age_group(pins: DataFrame, users: DataFrame,
 def users_with_latest_post(pins: DataFrame, locations: DataFrame, users: DataFrame,
                            bands=DEFAULT_AGE_BANDS) -> DataFrame:
     """Every user row with age group, join year and the latest post's follower count
-    (NULL for users without posts). Users are not de-duplicated (D7)."""
-    latest = latest_post_per_user(pins, locations).select("ind", "follower_count")
-    people = users.select("ind", age_band("age", bands).alias("age_group"),
-                          F.year("date_joined").alias("year_joined"))
-    return people.join(latest, "ind", "left")
+    (NULL for users without posts). Users are not de-duplicated (D7).
+
+    Users without a key match nothing; a second join column spreads them over the
+    tasks instead of sending them all to one."""
+    latest = latest_post_per_user(pins, locations).select(
+        F.col("ind").alias("__ind"), F.lit(0).alias("__spread"), "follower_count")
+    people = users.select("ind", age_band("age", bands).alias("age_group"), F.year("date_joined").alias("year_joined"),
+                          F.when(F.col("ind").isNull(), F.spark_partition_id()).otherwise(F.lit(0)).alias("__own"))
+    met = (F.col("ind") == F.col("__ind")) & (F.col("__own") == F.col("__spread"))
+    return people.join(latest, met, "left").select("ind", "age_group", "year_joined", "follower_count")
 
 
 def median_followers_by_age_group(pins: DataFrame, locations: DataFrame, users: DataFrame,
-                                  method: str = "approx", bands=DEFAULT_AGE_BANDS) -> DataFrame:
+                                  method: str = "exact", bands=DEFAULT_AGE_BANDS) -> DataFrame:
     """Q6: median follower count per age group (latest post per user)."""
     return medians_from_base(users_with_latest_post(pins, locations, users, bands),
                              ["age_group"], method)
 
 
-def medians_from_base(base: DataFrame, by: list[str], method: str = "approx",
+def medians_from_base(base: DataFrame, by: list[str], method: str = "exact",
                       years: tuple[int, int] | None = None) -> DataFrame:
     """Q6, Q8, Q9 from a J3 result (:func:`users_with_latest_post`), optionally
     restricted to join years (both bounds included)."""
@@ -133,7 +140,7 @@ def users_joined_by_year(users: DataFrame, first_year: int = 2015, last_year: in
 
 def median_followers_by_year_joined(pins: DataFrame, locations: DataFrame, users: DataFrame,
                                     first_year: int = 2015, last_year: int = 2020,
-                                    method: str = "approx") -> DataFrame:
+                                    method: str = "exact") -> DataFrame:
     """Q8: median follower count per join year."""
     base = users_with_latest_post(pins, locations, users)
     return medians_from_base(base, ["year_joined"], method, (first_year, last_year))
@@ -141,7 +148,7 @@ def median_followers_by_year_joined(pins: DataFrame, locations: DataFrame, users
 
 def median_followers_by_year_and_age(pins: DataFrame, locations: DataFrame, users: DataFrame,
                                      first_year: int = 2015, last_year: int = 2020,
-                                     method: str = "approx", bands=DEFAULT_AGE_BANDS) -> DataFrame:
+                                     method: str = "exact", bands=DEFAULT_AGE_BANDS) -> DataFrame:
     """Q9: median follower count per join year and age group."""
     base = users_with_latest_post(pins, locations, users, bands)
     return medians_from_base(base, ["year_joined", "age_group"], method, (first_year, last_year))

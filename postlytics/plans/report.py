@@ -1,29 +1,35 @@
 """The whole batch analysis as one callable job (the reference's daily run).
 
 All questions are answered from one set of cleaned entities. The input shared
-by Q6-Q9 (users joined to their latest post, J3) is computed once and cut from
-its lineage with a reliable ``checkpoint()`` in the cluster's shared
-checkpoint folder (M1, M2), so the four answers do not recompute the joins and
-a lost executor costs a re-read, not a re-run.
+by Q6-Q9 (users joined to their latest post, J3) is written once as a parquet table
+in the cluster's shared folder (M1, M2), so the four answers do not recompute the
+joins, read only the columns they need, and a lost executor costs a re-read.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
-from ..session import shared_root
+from ..session import fresh_dir
 from . import questions as q
 
 
 def answer_questions(pins: DataFrame, locations: DataFrame, users: DataFrame,
                      post_years: tuple[int, int] = (2018, 2022),
                      join_years: tuple[int, int] = (2015, 2020),
-                     method: str = "approx", reuse: bool = True) -> dict[str, DataFrame]:
-    """Q1-Q9 keyed by name; ``method`` picks the median (``approx`` = reference sketch)."""
+                     method: str = "exact", reuse: bool = True) -> dict[str, DataFrame]:
+    """Q1-Q9 keyed by name; ``method`` picks the median (``approx`` = reference sketch).
+
+    With ``reuse`` the input of Q6, Q8 and Q9 is written to the shared folder when this is
+    called; all else is lazy.
+    """
     base = q.users_with_latest_post(pins, locations, users)
     if reuse:
-        shared_root(base.sparkSession)  # makes sure a checkpoint folder is set
-        base = base.checkpoint(eager=True)
+        path = fresh_dir(base.sparkSession, "latest-posts")
+        base.write.parquet(path)
+        base = base.sparkSession.read.schema(base.schema).parquet(path)
     return {
         "top_category_by_country": q.top_category_by_country(pins, locations),
         "top_category_by_year": q.top_category_by_year(pins, locations, *post_years),
@@ -60,35 +66,38 @@ def write_answers(answers: dict[str, DataFrame], root: str, fmt: str = "parquet"
 
 def run_batch(spark, topics_root: str, out_root: str, topics: dict[str, str] | None = None,
               layout: str = "connector", post_years: tuple[int, int] = (2018, 2022),
-              join_years: tuple[int, int] = (2015, 2020), method: str = "approx") -> dict[str, str]:
+              join_years: tuple[int, int] = (2015, 2020), method: str = "exact") -> dict[str, str]:
     """The daily batch run: read the three landed topics with their schemas
     (S1), clean them (C13-C15), answer Q1-Q9 and write one table per answer.
 
-    JSON is parsed once: each cleaned entity is written as a parquet table
-    under ``<out_root>/_clean/`` and the questions read those, so nine answers
-    cost one pass over the raw messages and a lost executor re-reads a table
-    instead of re-parsing the topics.
+    Each cleaned entity is written as a parquet table under ``<out_root>/_clean/<run>/``
+    (a new run id each time, so a failed rerun leaves earlier tables whole) and the
+    questions read those; lines with a fault go to ``_rejects/<run>/`` with their reason.
+    A lost executor re-reads a table instead of re-parsing the topics.
 
     ``topics`` maps entity (``pin``, ``geo``, ``user``) to topic name; by
     default the topic is the entity name. Returns answer name -> table path.
     """
     from ..operators.clean import clean_locations, clean_posts, clean_users
     from ..schemas import SCHEMAS
-    from ..sources.topics import read_topic
+    from ..sources.topics import read_topic, topic_rejects
     names = {"pin": "pin", "geo": "geo", "user": "user", **(topics or {})}
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     cleaners = {"pin": clean_posts, "geo": clean_locations, "user": clean_users}
     cleaned, observed = {}, {}
+    run, paths = uuid.uuid4().hex[:12], {}
     for entity, clean in cleaners.items():
-        path = f"{out_root.rstrip('/')}/_clean/{entity}"
+        path = f"{out_root.rstrip('/')}/_clean/{run}/{entity}"
+        paths[f"_rejects_{entity}"] = f"{out_root.rstrip('/')}/_rejects/{run}/{entity}"
+        topic_rejects(spark, topics_root, names[entity], SCHEMAS[entity], layout).write.parquet(paths[f"_rejects_{entity}"])
         # load counts ride along with the write (S2): no extra pass over the topic
         observed[entity] = Observation(f"load_{entity}")
         rows = clean(read_topic(spark, topics_root, names[entity], SCHEMAS[entity], layout))
         rows.observe(observed[entity], F.count(F.lit(1)).alias("rows"),
                      F.count_if(F.col("ind").isNull()).alias("rows_without_key")) \
-            .write.mode("overwrite").parquet(path)
+            .write.parquet(path)
         cleaned[entity] = spark.read.parquet(path)
     profile_path = f"{out_root.rstrip('/')}/_load_profile"
     spark.createDataFrame(
@@ -96,7 +105,7 @@ def run_batch(spark, topics_root: str, out_root: str, topics: dict[str, str] | N
         "entity string, rows bigint, rows_without_key bigint").write.mode("overwrite").parquet(profile_path)
     answers = answer_questions(cleaned["pin"], cleaned["geo"], cleaned["user"],
                                post_years, join_years, method)
-    paths = write_answers(answers, out_root)
+    paths.update(write_answers(answers, out_root))
     paths["_load_profile"] = profile_path
     return paths
 
@@ -104,7 +113,8 @@ def run_batch(spark, topics_root: str, out_root: str, topics: dict[str, str] | N
 def main(argv: list[str] | None = None) -> None:
     """Command line for schedulers: ``python -m postlytics.plans.report --topics R --out O``."""
     import argparse
-    from ..session import get_session
+    from pyspark import SparkConf
+    from ..session import CLUSTER_CONF, get_session
     parser = argparse.ArgumentParser(description="Answer the batch questions from landed topics.")
     parser.add_argument("--topics", required=True, help="folder holding topics/<topic>/...")
     parser.add_argument("--out", required=True, help="folder for the answer tables")
@@ -114,14 +124,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--user-topic", default="user")
     parser.add_argument("--post-years", default="2018-2022")
     parser.add_argument("--join-years", default="2015-2020")
-    parser.add_argument("--median", default="approx", choices=["approx", "exact"])
+    parser.add_argument("--median", default="exact", choices=["approx", "exact"])
     args = parser.parse_args(argv)
 
     def years(text):
         first, last = text.split("-")
         return int(first), int(last)
 
-    spark = get_session(app="postlytics-batch")
+    local = SparkConf().get("spark.master", "local").startswith("local")
+    spark = get_session(app="postlytics-batch", **({} if local else CLUSTER_CONF))
     paths = run_batch(spark, args.topics, args.out,
                       {"pin": args.pin_topic, "geo": args.geo_topic, "user": args.user_topic},
                       args.layout, years(args.post_years), years(args.join_years), args.median)

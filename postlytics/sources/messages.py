@@ -14,8 +14,11 @@ from pyspark.sql.types import StructField, StructType, StringType
 
 from ..functions import MESSAGE_TS_FORMAT
 
+from .sampling import key_hash
+
 CORRUPT_COL = "_corrupt_record"
 BAD_COL = "_bad"
+UNREADABLE, WRONG_TYPE = "unreadable", "wrong type"
 
 
 def encode_messages(df: DataFrame, topic: str | Column | None = None, key: str | Column | None = None,
@@ -42,54 +45,75 @@ def encode_messages(df: DataFrame, topic: str | Column | None = None, key: str |
 
 
 def decode_messages(df: DataFrame, schema: StructType, payload: str = "value",
-                    on_bad: str = "drop", keep: Sequence[str] = (),
+                    on_bad: str = "keep", keep: Sequence[str] = (),
                     options: Mapping[str, str] | None = None) -> DataFrame:
     """Parse the JSON payload into one column per schema field.
 
-    Binary payloads are read as UTF-8 text. A record is *bad* when the
-    payload is NULL, is not JSON, or holds a value of the wrong type (D15).
-    ``on_bad``: ``'drop'`` removes bad records, ``'keep'`` keeps them with
-    whatever fields parsed (the reference's behaviour), ``'flag'`` keeps them
-    and adds a boolean ``_bad`` column so a caller can route them to a reject
-    table. ``keep`` lists input columns carried along (e.g. ``topic``).
-    ``options`` go to the JSON parser (timestamps default to the message format).
+    Binary payloads are read as UTF-8 text. A payload is *unreadable* when it is NULL
+    or no JSON object; a readable one may hold values of the *wrong type*, which become
+    NULL while its other fields stay (D15). ``on_bad``: ``'keep'`` (default) loses
+    nothing, unreadable payloads are rows of NULLs; ``'readable'`` keeps every
+    readable record; ``'drop'`` keeps only records without any fault; ``'flag'`` keeps all
+    and adds ``_bad`` (NULL, ``'unreadable'`` or ``'wrong type'``), see
+    :func:`reject_messages`. ``keep`` lists input columns carried along (e.g.
+    ``topic``). ``options`` go to the JSON parser (timestamps default to the message format).
     """
-    if on_bad not in ("drop", "keep", "flag"):
-        raise ValueError("on_bad must be 'drop', 'keep' or 'flag'")
+    if on_bad not in ("drop", "keep", "readable", "flag"):
+        raise ValueError("on_bad must be 'drop', 'keep', 'readable' or 'flag'")
     parse_schema = StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType(), True)])
     text = F.col(payload).cast("string")
     parse_options = {"timestampFormat": MESSAGE_TS_FORMAT, **(options or {}),
                      "columnNameOfCorruptRecord": CORRUPT_COL}
     rec = F.from_json(text, parse_schema, parse_options)
     parsed = df.select(*keep, rec.alias("__rec"))
-    bad = F.col("__rec").isNull() | F.col(f"__rec.{CORRUPT_COL}").isNotNull()
+    corrupt = F.col(f"__rec.{CORRUPT_COL}")
     fields = [F.col(f"__rec.`{f.name}`").alias(f.name) for f in schema.fields]
+    if on_bad == "keep":
+        return parsed.select(*keep, *fields)
+    faulty = F.col("__rec").isNull() | corrupt.isNotNull()
     if on_bad == "drop":
-        return parsed.filter(~bad).select(*keep, *fields)
-    if on_bad == "flag":
-        return parsed.select(*keep, *fields, bad.alias(BAD_COL))
-    return parsed.select(*keep, *fields)
+        return parsed.filter(~faulty).select(*keep, *fields)
+    # only faulty payloads are looked at a second time
+    is_object = F.coalesce(F.ltrim(F.get_json_object(corrupt, "$")).startswith("{"), F.lit(False))
+    if on_bad == "readable":
+        return parsed.filter(~faulty | is_object).select(*keep, *fields)
+    bad = F.when(faulty, F.when(is_object, F.lit(WRONG_TYPE)).otherwise(F.lit(UNREADABLE)))
+    return parsed.select(*keep, *fields, bad.alias(BAD_COL))
+
+
+def reject_messages(df: DataFrame, schema: StructType, payload: str = "value", entity: str | None = None,
+                    keep: Sequence[str] = (), options: Mapping[str, str] | None = None) -> DataFrame:
+    """Payloads with a fault, as ``(entity, reason, payload)`` (D15): unreadable ones, which give
+    no record, and those with a value of the wrong type, whose record keeps its other fields."""
+    text = df.withColumn("__payload", F.col(payload).cast("string"))
+    flagged = decode_messages(text, schema, payload="__payload", on_bad="flag", keep=[*keep, "__payload"], options=options)
+    return flagged.filter(F.col(BAD_COL).isNotNull()).select(
+        *keep, F.lit(entity).cast("string").alias("entity"), F.col(BAD_COL).alias("reason"), F.col("__payload").alias("payload"))
 
 
 def assign_shard(df: DataFrame, key: str | Column, n: int, out: str = "shard",
                  hash: str = "xxhash64") -> DataFrame:
     """Deterministic shard number in ``[0, n)`` from a key hash (K6): one key, one shard.
     ``hash`` as in :func:`postlytics.sources.sampling.key_hash`."""
-    from .sampling import key_hash
+    return df.withColumn(out, shard_of(key, n, hash))
+
+
+def shard_of(key: str | Column, n: int, hash: str = "xxhash64") -> Column:
+    """The shard of a key's text in ``[0, n)``; the one rule for messages, files and readers."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    return df.withColumn(out, F.pmod(key_hash(key, 0, hash), F.lit(n)).cast("int"))
+    return F.pmod(key_hash(key, 0, hash), F.lit(n)).cast("int")
 
 
-def land_topics(messages: DataFrame, root: str, partitions: int = 1, mode: str = "append") -> None:
+def land_topics(messages: DataFrame, root: str, partitions: int = 1, mode: str = "append",
+                hash: str = "xxhash64") -> None:
     """Write messages as JSON-lines files under ``<root>/topics/topic=<t>/partition=<p>/`` (K3).
 
-    ``partition`` is the message key's shard (K6) when ``partitions`` > 1,
-    else 0. One distributed write: every task writes its own rows into the
+    ``partition`` is the message key's :func:`shard_of` (K6), 0 for messages without a
+    key. One distributed write: every task writes its own rows into the
     folders they belong to, so a topic holding most messages is still spread
     over all tasks.
     """
-    shard = (F.pmod(F.xxhash64(F.col("key")), F.lit(partitions)).cast("int")
-             if partitions > 1 else F.lit(0))
+    shard = F.when(F.col("key").isNull(), F.lit(0)).otherwise(shard_of("key", partitions, hash))
     (messages.select("value", "topic", shard.alias("partition"))
      .write.mode(mode).partitionBy("topic", "partition").text(f"{root.rstrip('/')}/topics"))

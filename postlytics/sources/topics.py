@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .messages import decode_messages, reject_messages
+
 
 def topic_path(root: str, topic: str, layout: str = "hive") -> str:
     """Folder of one topic: ``topics/topic=<t>`` (ours) or ``topics/<t>`` (connector layout)."""
@@ -21,15 +23,20 @@ def read_topic(spark: SparkSession, root: str, topic: str, schema: StructType |
                layout: str = "hive") -> DataFrame:
     """All JSON records of one topic, every partition folder included.
 
-    With ``schema`` the files are read once with that schema (no inference
-    pass); the discovered ``partition`` folder column is dropped.
+    With ``schema`` a line is decoded as a stream decodes a message: no inference pass,
+    fields of a wrong type are NULL, and unreadable lines give no row (both are in
+    :func:`topic_rejects`). Without, Spark infers the schema from all lines.
     """
-    reader = spark.read
+    path = topic_path(root, topic, layout)
     if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.json(topic_path(root, topic, layout))
-    fields = schema.fieldNames() if schema is not None else [c for c in df.columns if c != "partition"]
-    return df.select(*fields)
+        return decode_messages(spark.read.text(path), schema, on_bad="readable")
+    df = spark.read.json(path)
+    return df.select(*[c for c in df.columns if c != "partition"])
+
+
+def topic_rejects(spark: SparkSession, root: str, topic: str, schema: StructType, layout: str = "hive") -> DataFrame:
+    """Lines of one topic with a fault, as ``(entity, reason, payload)``."""
+    return reject_messages(spark.read.text(topic_path(root, topic, layout)), schema, entity=topic)
 
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
@@ -43,33 +50,46 @@ def select_topics(df: DataFrame, pattern: str, col: str = "topic") -> DataFrame:
     return df.filter(F.col(col).rlike(pattern))
 
 
+# Blanks, quotes, line breaks and empty text survive a write and a read: quotes are doubled,
+# empty text is written as "", and a missing value as its own mark.
+_DELIMITED = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+              "nullValue": "\\N"}
+
+
 def read_delimited(spark: SparkSession, path: str, sep: str = ",", header: bool = True,
-                   schema: StructType | str | None = None) -> DataFrame:
+                   schema: StructType | str | None = None, multi_line: bool = True, **options: str) -> DataFrame:
     """Delimited text with a header row and a separator (S4); give ``schema``
-    to skip the inference pass."""
-    reader = spark.read.option("header", header).option("sep", sep)
+    to skip the inference pass.
+
+    ``multi_line`` allows line breaks inside quotes, at the price that one file is read
+    by one task; switch it off for large files without them. ``options`` (``quote``,
+    ``escape``, ``nullValue``, ``mode``, ...) go to the reader.
+    """
+    reader = (spark.read.options(**{**_DELIMITED, "emptyValue": "", **options})
+              .option("header", header).option("sep", sep).option("multiLine", multi_line))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True,
-                    mode: str = "overwrite") -> None:
+                    mode: str = "overwrite", **options: str) -> None:
     """Delimited text with a header row (the counterpart of :func:`read_delimited`)."""
-    df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+    (df.write.mode(mode).options(**{**_DELIMITED, "emptyValue": '""', **options})
+     .option("header", header).option("sep", sep).csv(path))
 
 
-def compact_topic(spark: SparkSession, root: str, topic: str, out_root: str, files: int,
+def compact_topic(spark: SparkSession, root: str, topic: str, out_root: str,
                   layout: str = "hive", mode: str = "overwrite") -> str:
-    """Rewrite one topic's many small files as about ``files`` balanced files per
-    partition folder under ``<out_root>/topics/topic=<t>/`` (the landing writes
-    one file per record in the reference). Returns the new topic folder.
+    """Rewrite one topic's many small files under ``<out_root>/topics/topic=<t>/`` (the
+    landing writes one file per record in the reference). Returns the new topic folder.
 
-    A round-robin repartition spreads the records evenly whatever the folder
-    sizes, so no task receives a whole large partition folder.
+    Adaptive execution rebalances the lines by partition folder: small folders share a task,
+    large ones are split, so files hold about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` whatever the topic's size.
     """
     out = topic_path(out_root, topic, "hive")
     (spark.read.text(topic_path(root, topic, layout))
-     .repartition(files)
+     .hint("rebalance", "partition")
      .write.mode(mode).partitionBy("partition").text(out))
     return out

@@ -10,13 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.clean import CLEANERS
 from ..schemas import SCHEMAS
-from ..sources.messages import BAD_COL, decode_messages
+from ..sources.messages import decode_messages, reject_messages
 
 
 def read_messages_stream(spark: SparkSession, source_format: str = "text", path: str | None = None,
@@ -82,29 +81,27 @@ def append_stream(df: DataFrame, path: str | None = None, checkpoint: str | None
 
 
 def clean_stream(messages: DataFrame, entity: str, payload: str = "value",
-                 on_bad: str = "drop", **clean_options) -> DataFrame:
-    """Decode one entity's messages and clean them with the batch chain."""
+                 on_bad: str = "readable", **clean_options) -> DataFrame:
+    """Decode one entity's messages and clean them with the batch chain (T2): every
+    readable record, fields of a wrong type as NULL (see :func:`reject_stream`)."""
     records = decode_messages(messages, SCHEMAS[entity], payload=payload, on_bad=on_bad)
     return CLEANERS[entity](records, **clean_options)
 
 
 def reject_stream(messages: DataFrame, entity: str, payload: str = "value") -> DataFrame:
-    """Messages of one entity that do not decode (D15), as their raw payload text."""
-    flagged = decode_messages(messages.withColumn("__payload", F.col(payload).cast("string")),
-                              SCHEMAS[entity], payload="__payload", on_bad="flag", keep=["__payload"])
-    return flagged.filter(F.col(BAD_COL)).select(
-        F.lit(entity).alias("entity"), F.col("__payload").alias("payload"))
+    """Messages of one entity with a fault (D15): entity, reason, raw payload text."""
+    return reject_messages(messages, SCHEMAS[entity], payload, entity)
 
 
 def run_entity_streams(spark: SparkSession, sources: Mapping[str, DataFrame], target_root: str,
                        sink_format: str = "parquet", trigger: Mapping[str, object] | None = None,
-                       payload: str = "value", rejects: bool = False) -> dict[str, StreamingQuery]:
+                       payload: str = "value", rejects: bool = True) -> dict[str, StreamingQuery]:
     """One append query per entity (K2): ``sources`` maps entity -> message stream.
 
     Tables go to ``<target_root>/<entity>``, checkpoints to
-    ``<target_root>/_checkpoints/<entity>``. With ``rejects`` a second query
-    per entity appends undecodable messages to ``<target_root>/_rejects/<entity>``
-    (the reference appends them as empty rows instead). The reject query reads
+    ``<target_root>/_checkpoints/<entity>``. A second query per entity appends
+    messages with a fault to ``<target_root>/_rejects/<entity>`` (switch it off with
+    ``rejects=False``; the reference appends unreadable ones as empty rows instead). The reject query reads
     and parses the source a second time; in exchange each output keeps the file
     sink's exactly-once log (a single ``foreachBatch`` split would parse once but
     lose it). Queries run concurrently; the caller waits with

@@ -112,8 +112,11 @@ def test_null_placeholders_quotes_and_backslashes(spark):
 
 
 def test_timestamp_parsing_default_and_strict(spark):
-    from postlytics.functions import MESSAGE_TS_FORMAT, to_ts
-    df = spark.createDataFrame([("2019-03-04 05:06:07",), ("2019-03-04",), ("n/a",)], "s string")
-    got = df.select(to_ts("s").alias("cast"), to_ts("s", MESSAGE_TS_FORMAT).alias("strict")).collect()
-    assert [r.cast for r in got] == [dt.datetime(2019, 3, 4, 5, 6, 7), dt.datetime(2019, 3, 4), None]
-    assert [r.strict for r in got] == [dt.datetime(2019, 3, 4, 5, 6, 7), None, None]
+    from postlytics.functions import to_ts
+    texts = ["2019-03-04 05:06:07", "2019-03-04", "n/a", "12:34", "T01:02", "2019-03-04 05:06:07+05:00",
+             "2019-02-30 05:06:07", "2019-03-04T05:06:07", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    got = df.select("i", to_ts("s").alias("strict"), to_ts("s", None).alias("cast"),
+                    to_ts("s", "yyyy-MM-dd").alias("day")).orderBy("i").collect()
+    assert [r.strict for r in got] == [dt.datetime(2019, 3, 4, 5, 6, 7)] + [None] * 8
+    assert got[1].cast == got[1].day == dt.datetime(2019, 3, 4)

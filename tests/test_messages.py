@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from postlytics.schemas import LOCATION_RAW, USER_CLEAN
 from postlytics.session import fresh_dir
-from postlytics.sources import (BAD_COL, assign_shard, decode_messages, encode_messages, land_topics,
+from postlytics.sources import (BAD_COL, assign_shard, decode_messages, encode_messages, land_topics, reject_messages,
                                 read_landed, read_topic, sample_aligned, select_topics)
 
 from .conftest import rows
@@ -27,11 +27,39 @@ def test_bad_payloads(spark):
     data = [('{"country":"Peru","ind":"1","latitude":1.5,"longitude":2.0,"timestamp":"t"}',),
             ("{bad",), (None,), ('{"country":"Chile","ind":"2","latitude":"x"}',)]
     df = spark.createDataFrame(data, "data string").select(F.col("data").cast("binary").alias("data"))
-    assert [r.country for r in decode_messages(df, LOCATION_RAW, payload="data").collect()] == ["Peru"]
+    assert [r.country for r in decode_messages(df, LOCATION_RAW, payload="data", on_bad="drop").collect()] == ["Peru"]
     flagged = decode_messages(df, LOCATION_RAW, payload="data", on_bad="flag").collect()
-    assert [r[BAD_COL] for r in flagged] == [False, True, True, True]
-    kept = decode_messages(df, LOCATION_RAW, payload="data", on_bad="keep").collect()
+    assert [r[BAD_COL] for r in flagged] == [None, "unreadable", "unreadable", "wrong type"]
+    kept = decode_messages(df, LOCATION_RAW, payload="data").collect()  # nothing is lost by default
     assert len(kept) == 4 and kept[3].country == "Chile" and kept[3].latitude is None
+    readable = decode_messages(df, LOCATION_RAW, payload="data", on_bad="readable").collect()
+    assert [(r.country, r.latitude) for r in readable] == [("Peru", 1.5), ("Chile", None)]
+
+
+def test_one_wrong_field_does_not_lose_the_record(spark):
+    df = spark.createDataFrame([('{"latitude":"1.5"}',), ("[1]",), ("7",), ('{"latitude":',)], "value string")
+    assert rows(decode_messages(df, LOCATION_RAW, on_bad="readable")) == [(None,) * 5]
+    rejects = reject_messages(df, LOCATION_RAW, entity="geo").collect()
+    assert sorted((r.reason, r.payload) for r in rejects) == [
+        ("unreadable", "7"), ("unreadable", "[1]"), ("unreadable", '{"latitude":'), ("wrong type", '{"latitude":"1.5"}')]
+
+
+def test_landed_folder_is_the_assigned_shard(spark):
+    base = fresh_dir(spark, "test-shards")
+    keys = spark.range(1000).select(F.col("id").cast("string").alias("ind"))
+    land_topics(encode_messages(keys, topic="t", key="ind"), base, partitions=4)
+    landed = {r.k: r.partition for r in read_landed(spark, base).select(
+        F.get_json_object("value", "$.ind").alias("k"), "partition").collect()}
+    assert landed == {r.ind: r.shard for r in assign_shard(keys, "ind", 4).collect()}
+
+
+def test_delimited_round_trip_keeps_raw_rows(spark):
+    from postlytics.sources import read_delimited, write_delimited
+    path = fresh_dir(spark, "test-delimited")
+    data = [(1, "a\nb", "y"), (2, "  Ana  ", ""), (3, "", None), (4, 'say "hi"', "x|y"), (5, None, " ")]
+    df = spark.createDataFrame(data, "n int, s string, t string")
+    write_delimited(df, path, sep="|")
+    assert sorted(rows(read_delimited(spark, path, sep="|", schema=df.schema))) == data
 
 
 def test_shards_are_deterministic(spark):
@@ -81,7 +109,7 @@ def test_connector_layout_and_compaction(spark):
                 fh.write(json.dumps(rec))
     back = read_topic(spark, base, "app.geo", LOCATION_RAW, layout="connector")
     assert sorted(int(r.ind) for r in back.collect()) == [0, 1, 2, 10, 11, 12]
-    out = compact_topic(spark, base, "app.geo", f"{base}/compacted", files=1, layout="connector")
+    out = compact_topic(spark, base, "app.geo", f"{base}/compacted", layout="connector")
     again = read_topic(spark, f"{base}/compacted", "app.geo", LOCATION_RAW)
     assert sorted(rows(again)) == sorted(rows(back))
     assert out.endswith("topics/topic=app.geo")

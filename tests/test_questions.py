@@ -49,7 +49,8 @@ def test_pair_counts_equals_join_count(spark):
     right = spark.createDataFrame([(k % 4, f"h{k % 3}") for k in range(40)], "ind long, h string")
     expect = sorted(rows(left.join(right, "ind").groupBy("g", "h").count()))
     assert sorted(rows(pair_counts(left, right, "ind", ["g"], ["h"]))) == expect
-    assert sorted(rows(pair_counts(left, right, "ind", ["g"], ["h"], pre_aggregate=False))) == expect
+    assert sorted(rows(pair_counts(left, right, "ind", ["g"], ["h"], hot_keys=[0, 2]))) == expect
+    assert sorted(rows(pair_counts(left, right, "ind", ["g"], ["h"], hot_keys=[]))) == expect
 
 
 def test_latest_post_and_top_user(spark):
@@ -99,31 +100,33 @@ def test_top_n_and_median_exact(spark):
     assert sorted(rows(median_by_group(df, ["g"], "v", method="exact")), key=str) == [("a", 2), ("b", None)]
 
 
-def test_exact_median_hot_group_split_over_pieces(spark):
+def test_exact_median_hot_group(spark):
     from postlytics.operators.aggregate import exact_lower_median
     df = spark.range(20000).select(
         F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise(F.lit("cold")).alias("g"),
         ((F.col("id") * 7919) % 10007).alias("v"))
-    got = dict(rows(exact_lower_median(df, ["g"], "v", "m", pieces=16)))
     data = [(r.g, r.v) for r in df.collect()]
-    for g in ("hot", "cold"):
-        vals = sorted(v for k, v in data if k == g)
-        assert got[g] == vals[(len(vals) + 1) // 2 - 1]
-    plan = exact_lower_median(df, ["g"], "v", "m", pieces=16)
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert "RepartitionByExpression" in text
-
-
-def test_exact_median_requires_exchange_reuse(spark):
-    import pytest
-    from postlytics.operators.aggregate import exact_lower_median
-    df = spark.createDataFrame([("a", 1)], "g string, v long")
-    spark.conf.set("spark.sql.exchange.reuse", "false")
-    try:
-        with pytest.raises(ValueError):
-            exact_lower_median(df, ["g"], "v")
-    finally:
-        spark.conf.set("spark.sql.exchange.reuse", "true")
+    for accuracy in (100, 1000):
+        got = dict(rows(exact_lower_median(df.repartition(7), ["g"], "v", "m", accuracy=accuracy)))
+        for g in ("hot", "cold"):
+            vals = sorted(v for k, v in data if k == g)
+            assert got[g] == vals[(len(vals) + 1) // 2 - 1]
+
+
+def test_sample_per_group_does_not_depend_on_partitions(spark):
+    from postlytics.operators import sample_per_group
+    df = spark.range(1000).selectExpr("id", "id % 3 AS g")
+    one = sorted(rows(sample_per_group(df.coalesce(1), "g", n=5, seed=4, key="id")))
+    four = sorted(rows(sample_per_group(df.repartition(4), "g", n=5, seed=4, key="id")))
+    assert one == four and len(one) == 15
+    assert one != sorted(rows(sample_per_group(df, "g", n=5, seed=5, key="id")))
+
+
+def test_users_without_a_key_keep_their_row(spark):
+    users = _users(spark, [(None, 30, T(2016, 1, 1))] * 3 + [(1, 30, T(2016, 1, 1))])
+    pins, geo = _pins(spark, [(1, 9, "a", "art")]), _geo(spark, [(1, "Peru", T(2020, 1, 1))])
+    got = rows(plans.users_with_latest_post(pins, geo, users).select("ind", "follower_count"))
+    assert sorted(got, key=str) == [(1, 9), (None, None), (None, None), (None, None)]
 
 
 def test_hot_key_without_pairs(spark):

@@ -15,4 +15,23 @@ def test_fresh_dirs_are_unique_and_shared(spark):
     root = shared_root(spark)
     a, b = fresh_dir(spark, "x"), fresh_dir(spark, "x")
     assert a != b
-    assert a.startswith(f"{root}/postlytics/x-") and b.startswith(f"{root}/postlytics/x-")
+    app = spark.sparkContext.applicationId
+    assert a.startswith(f"{root}/postlytics-{app}-") and b.startswith(f"{root}/postlytics-{app}-")
+
+
+def test_query_keeps_the_callers_time_zone(spark):
+    import __spark_entry__ as entry_mod
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        years = entry_mod.queries()["top_category_by_year"](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+        assert sorted(r.post_year for r in years.collect()) == [1996, 1997, 1998, 1999, 2000]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_sql_over_leaves_no_views(spark):
+    from postlytics.sources import sql_over
+    before = {t.name for t in spark.catalog.listTables()}
+    assert sql_over(spark, {"t": spark.range(3)}, "SELECT count(*) AS n, '{{}}' AS braces FROM {t}").first() == (3, "{}")
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -56,13 +56,13 @@ def test_rejects_are_routed(spark):
              "{bad", '{"country":"Chile","ind":"2","latitude":"x"}']
     spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(inbox)
     stream = read_messages_stream(spark, "text", inbox)
-    queries = run_entity_streams(spark, {"geo": stream}, f"{base}/tables", trigger=NOW, rejects=True)
+    queries = run_entity_streams(spark, {"geo": stream}, f"{base}/tables", trigger=NOW)
     for q in queries.values():
         q.awaitTermination()
     good = spark.read.parquet(f"{base}/tables/geo").collect()
     bad = spark.read.parquet(f"{base}/tables/_rejects/geo").collect()
-    assert [r.country for r in good] == ["Peru"]
-    assert sorted(r.payload for r in bad) == sorted(lines[1:])
+    assert sorted((r.country, r.coordinates) for r in good) == [("Chile", [None, None]), ("Peru", [1.5, 2.0])]
+    assert sorted((r.reason, r.payload) for r in bad) == [("unreadable", "{bad"), ("wrong type", lines[2])]
 
 
 def test_report_matches_single_questions(spark):
@@ -133,6 +133,6 @@ def test_batch_command_line(spark, capsys):
           "--pin-topic", "app.pin", "--geo-topic", "app.geo", "--user-topic", "app.user",
           "--post-years", "1996-2000", "--median", "exact"])
     printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
-    assert len(printed) == 10  # nine answers and the load profile
+    assert len(printed) == 13  # nine answers, the load profile and three reject tables
     assert spark.read.parquet(printed["top_category_by_year"]).count() == 5
     assert spark.read.parquet(printed["users_joined_by_year"]).count() == 6

@@ -16,10 +16,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def summarise(plan: str) -> dict[str, object]:
-    plan = "\n".join(part.split("== Initial Plan ==")[0] for part in plan.split("== Final Plan =="))
-    scans = sorted(set(re.findall(r"ReadSchema: (struct<[^>]*>)", plan)))
+    # keep the final plan of every adaptive node: the initial one repeats its operators
+    plan = re.sub(r"(?s)== Initial Plan ==.*?(?=\n\S|\Z)", "", plan)
+    scans = sorted(set(re.findall(r"ReadSchema: (struct<[^\n]*?>)(?=,|\s|$)", plan)))
     return {
         "shuffles": len(re.findall(r"\bExchange (hash|range|SinglePartition|RoundRobin)", plan)),
+        "single_task": len(re.findall(r"Exchange SinglePartition|TakeOrderedAndProject|CollectLimit", plan)),
         "reused": len(re.findall(r"Reused(Exchange|QueryStage)", plan)),
         "partial_group_limit": plan.count("row_number(), ") and len(re.findall(r"WindowGroupLimit.*Partial", plan)),
         "partial_aggregates": len(re.findall(r"partial_", plan)),
@@ -39,21 +41,21 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     print("# Physical plan summary\n")
     print(f"Generated by `python tools/plan_report.py {root}` (plans after execution, AQE final).\n")
-    print("| Query | shuffles | reused | partial group limits | partial aggs | BHJ | SMJ | scalar subq | Python |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+    print("| Query | shuffles | single-task steps | reused | partial group limits | partial aggs | BHJ | SMJ | scalar subq | Python |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     scans = {}
     for name, build in QUERIES.items():
         df = build(spark, root)
         df.collect()  # runs through this DataFrame's own execution, so the AQE plan is final
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = df._jdf.queryExecution().executedPlan().verboseString(10_000)
         s = summarise(plan)
         scans[name] = s["scans"]
-        print(f"| {name} | {s['shuffles']} | {s['reused']} | {s['partial_group_limit']} | "
+        print(f"| {name} | {s['shuffles']} | {s['single_task']} | {s['reused']} | {s['partial_group_limit']} | "
               f"{s['partial_aggregates']} | {s['broadcast_joins']} | {s['sort_merge_joins']} | "
               f"{s['scalar_subqueries']} | {s['python_udfs']} |")
     print("\n## Columns read per scan\n")
     for name, cols in scans.items():
-        print(f"- **{name}**: " + ("; ".join(f"`{c}`" for c in cols) or "(no parquet scan)"))
+        print(f"- **{name}**: " + ("; ".join(f"`{c}`" for c in cols) or "(no file scan in this plan)"))
     spark.stop()
 
 
