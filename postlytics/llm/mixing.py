@@ -106,11 +106,7 @@ def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_repeats
     Targets come from a first pass over the sizes; with few sources, texts don't
     travel in the second one.
     """
-    columns = docs.columns
-    sized = docs.withColumn("size", word_count()) if "size" not in columns else docs.withColumnRenamed(
-        "size", "_own_size").withColumn("size", word_count())
-    taken = with_copies(sized, weights, most_repeats, seed)
-    out = taken.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    if "size" in columns:
-        out = out.drop("size").withColumnRenamed("_own_size", "size")
-    return out.select(*columns)
+    # the whole row in one column: no name of it can clash with those added here
+    packed = docs.select(F.struct("*").alias("_row"), "doc_id", "source", word_count().alias("size"))
+    taken = with_copies(packed, weights, most_repeats, seed).where("copies > 0")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
