@@ -6,13 +6,13 @@
    (one narrow row per document) is written to the shared folder.
 2. The network is trained on the labelled findings: pattern spans are positive,
    other candidates are negative, drawn by hash from all documents up to
-   ``sample`` of each (a documented bound; scoring has none). In every second
-   positive the context is blanked, so the network learns the token and not only
-   the keyword before it.
+   ``sample`` of each (a documented bound; scoring has none). Each is also shown cut to a
+   shorter length, and every second one without its context, so the network learns what
+   the characters look like and not only a length or the keyword before them.
 3. A held-back third of the sample calibrates the network's logit (Platt scaling)
-   and gives one threshold per character class (hex, digits, other): the highest one that
-   still recalls ``min_recall`` of the held-back positives of that class, and at
-   least ``min_probability``.
+   and gives one threshold per character class (hex, digits, other): ``min_probability``, or more
+   where over one in a thousand held-back negatives would pass, but never so high that it
+   recalls less than ``min_recall`` of the held-back positives of that class.
 4. Every candidate is scored; those at or over their threshold that overlap no
    pattern span are added as spans of kind ``net``. Pattern spans always stay.
 
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -204,15 +205,24 @@ class CharNet:
         self.scale, self.shift = max(a, 1e-3), b
         p = self.probabilities(codes)
         for k in range(3):
-            found = np.sort(p[(classes == k) & (y == 1)])
+            found, others = np.sort(p[(classes == k) & (y == 1)]), p[(classes == k) & (y == 0)]
             if len(found):  # a class without findings has no threshold: nothing of it is added
-                self.thresholds[k] = max(min_probability, float(found[int((1 - min_recall) * len(found))]))
+                wanted = max(min_probability, float(np.quantile(others, 0.999)) + 1e-6 if len(others) else 0.0)
+                self.thresholds[k] = min(wanted, float(found[int((1 - min_recall) * len(found))]))
 
     def probabilities(self, codes: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(codes) + self.shift, -30, 30)))
 
 
-def train(scanned: DataFrame, sample: int = 3000, min_recall: float = 0.98, min_probability: float = 0.9) -> CharNet | None:
+def shortened(row: str, least: int = 16) -> str:
+    """The same window with its candidate cut to between ``least`` characters and its length."""
+    left, body, right = row.split("\0")
+    if len(body) > least:
+        body = body[:least + zlib.crc32(body.encode()) % (len(body) - least)]
+    return "\0".join((left, body, right))
+
+
+def train(scanned: DataFrame, sample: int = 3000, min_recall: float = 0.98, min_probability: float = 0.5) -> CharNet | None:
     """The network, from at most ``sample`` findings and ``sample`` other candidates."""
     pairs = scanned.select(F.explode(F.arrays_zip("labels", "windows")).alias("x")).select("x.labels", "x.windows")
     order = F.md5(F.col("windows"))
@@ -224,12 +234,12 @@ def train(scanned: DataFrame, sample: int = 3000, min_recall: float = 0.98, min_
         return None
     windows = data[True] + data[False]
     y = np.array([1.0] * len(data[True]) + [0.0] * len(data[False]))
-    held = np.arange(len(y)) % 3 == 0
+    windows, y = [w for row in windows for w in (row, shortened(row))], np.repeat(y, 2)
+    held = np.arange(len(y)) // 2 % 3 == 0
     codes = encode_windows(windows)
-    blank = codes.copy()
-    blank[:, :CONTEXT] = 0
-    blank[:, CONTEXT + BODY:] = 0
-    codes[1::2] = blank[1::2]
+    bare = np.arange(len(y)) // 2 % 2 == 1
+    codes[bare, :CONTEXT] = 0
+    codes[bare, CONTEXT + BODY:] = 0
     if not (y[~held].any() and (1 - y[~held]).any()):
         return None
     net = CharNet()
