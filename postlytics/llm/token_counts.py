@@ -45,27 +45,57 @@ class PrefixCounter:
             raise ValueError("a piece spans two words: prefixes can't be counted word by word")
         self.longest = max(map(len, self.scores))
         self.stable: dict[tuple[str, str], bool] = {}
+        self.histories: dict[str, tuple[bool, list[float], list[str], list[str]]] = {}
         self.prefixes: dict[str, tuple[int, str]] = {}
-        self.words = WordCache(self._deltas)
-
-    def _encode(self, text: str) -> list[str]:
-        """Plain BPE: merge the best-scored adjacent pair, leftmost first, until none is left."""
-        parts, scores = list(text), self.scores
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        self.words = WordCache(self._deltas, 1_000_000)
+
+    def _history(self, piece: str) -> tuple[bool, list[float], list[str], list[str]]:
+        """Plain BPE on one piece: merge the best-scored adjacent pair, leftmost first, until none
+        is left. Returns whether one piece remains, each merge's score, and the first and the last part
+        before every merge and at the end."""
+        known = self.histories.get(piece)
+        if known is None:
+            parts, scores = list(piece), self.scores
+            merges, firsts, lasts = [], [parts[0]], [parts[-1]]
+            while len(parts) > 1:
+                best, at = None, -1
+                for i in range(len(parts) - 1):
+                    score = scores.get(parts[i] + parts[i + 1])
+                    if score is not None and (best is None or score > best):
+                        best, at = score, i
+                if best is None:
+                    break
+                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+                merges.append(best)
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
+            if len(self.histories) > 200_000:
+                self.histories.clear()
+            known = self.histories[piece] = len(parts) == 1, merges, firsts, lasts
+        return known
 
     def _fits(self, left: str, piece: str) -> bool:
+        """Whether encoding ``left + piece`` gives just these two: their own merges all come
+        before any merge across the border."""
         if len(self.stable) > 1_000_000:
             self.stable.clear()
-        fits = self._encode(left + piece) == ([left, piece] if left else [piece])
+        fits, right_merges, firsts, _ = self._history(piece)
+        if fits and left:
+            _, left_merges, _, lasts = self._history(left)
+            get, i, j, m, n = self.scores.get, 0, 0, len(left_merges), len(right_merges)
+            while True:
+                across = get(lasts[i] + firsts[j])
+                ours = left_merges[i] if i < m else None
+                theirs = right_merges[j] if j < n else None
+                if across is not None and (ours is None or across > ours) and (theirs is None or across >= theirs):
+                    fits = False
+                    break
+                if ours is not None and (theirs is None or ours >= theirs):
+                    i += 1
+                elif theirs is not None:
+                    j += 1
+                else:
+                    break
         self.stable[left, piece] = fits
         return fits
 
