@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,7 @@ class WordIds:
     """
 
     _plain = re.compile(r"[\x21-\x7EÀ-ÖØ-öø-ÿ]+")
+    # the tokenizer's own split pattern, for those characters
     _runs = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
     def __init__(self, tokenizer_file: str):
@@ -66,12 +68,23 @@ class WordIds:
             return self._ids(word)
         return b"".join(map(self.runs.__getitem__, self._runs.findall(word.lower())))
 
-    def encode(self, raw: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids of a text given as UTF-8 bytes."""
-        out = b"".join(map(self.words.__getitem__, raw.split()))
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, end of each text) of UTF-8 texts as a binary array.
+
+        Arrow splits the texts and numbers their distinct words, so a word is looked up once
+        a call however often it occurs; its ids are then copied to all its places.
+        """
+        lists = pc.ascii_split_whitespace(texts.view(pa.string()))
+        words = lists.flatten().dictionary_encode()
+        ids = [self.words[w] for w in words.dictionary.view(pa.binary()).to_pylist()]
+        known, length = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        start, word = np.cumsum(length) - length, words.indices.to_numpy()
+        length = length[word]
+        ends = np.cumsum(length)
+        flat = known[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[word] - (ends - length), length)]
         self.words.trim()
         self.runs.trim()
-        return out
+        return flat, np.r_[0, ends][lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
 
 
 _encoders: dict[str, WordIds] = {}
@@ -98,13 +111,16 @@ def document_pieces(docs: DataFrame, capacity: int = 4096, largest_piece: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, end = encoder(tokenizer_file), np.array([end_id], "<u4").tobytes()
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 16 << 20):
             out: list[tuple] = []
-            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                buffer = memoryview(ids.encode(raw) + end)
-                n = len(buffer) // 4
+            flat, ends = ids.encode(batch.column(1))
+            first = 0
+            for doc_id, last in zip(batch.column(0).to_pylist(), ends.tolist()):
+                part, n, first = memoryview(flat[first:last].tobytes()), last - first + 1, last
                 cuts = cut_points(n, capacity, largest_piece)
-                out.extend((doc_id, a, b - a, zlib.crc32(buffer[4 * a:4 * b]), n) for a, b in zip(cuts, cuts[1:]))
+                for a, b in zip(cuts, cuts[1:]):
+                    crc = zlib.crc32(part[4 * a:4 * b])
+                    out.append((doc_id, a, b - a, zlib.crc32(end, crc) if b == n else crc, n))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)],
                                              ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
