@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, doc_remainder, slices, text_bytes
+from .common import WordCache, doc_remainder, slices, staged, text_bytes
 
 # Groups of identity terms that may be swapped for each other.
 IDENTITY_GROUPS = (
@@ -90,7 +90,7 @@ class Model:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, modulus: int, held: int, most_positive: int,
-                    most_negative: int) -> tuple[list, float]:
+                    most_negative: int, most_features: int = 6000) -> tuple[list, float]:
     """Features of the training documents, and the share of ones among all training labels."""
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("y"))
@@ -102,29 +102,55 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, modulus: int, held: int,
     # bounded by the two limits
     chosen = F.broadcast(drawn[0].unionByName(drawn[1]))
 
+    source = docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
+    texts = staged(source.join(chosen, "doc_id").select("doc_id", "text", F.col("y").cast("bigint").alias("y")), "labelled")
+    features_kept = choose_features(texts, most_features)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = [{t.encode() for t in g} for g in IDENTITY_GROUPS]
         for batch in slices(batches, 1):
             rows = []
             for doc_id, raw, y in zip(*(c.to_pylist() for c in batch.columns)):
                 g, n = features(raw)
+                kept = np.isin(g, features_kept)
                 named = sorted(set(words_of(raw)) & set().union(*groups))
-                rows.append((doc_id, y, g.astype(np.int32).tobytes(), n.astype(np.int32).tobytes(),
+                rows.append((doc_id, y, g[kept].astype(np.int32).tobytes(), n[kept].astype(np.int32).tobytes(),
                              named[0].decode() if named else ""))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.string()))],
                 ["doc_id", "y", "g", "n", "named"])
 
-    source = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
-    rows = (source.join(chosen, "doc_id").select("doc_id", "text", F.col("y").cast("bigint").alias("y"))
-            .mapInArrow(run, "doc_id bigint, y bigint, g binary, n binary, named string").collect())
+    rows = texts.mapInArrow(run, "doc_id bigint, y bigint, g binary, n binary, named string").collect()
     total = sum(counts.values())
     return sorted(rows, key=lambda r: (r.doc_id, r.y, r.g)), counts.get(1, 0) / total if total else 0.0
 
 
-def fit(rows: list, share: float, swap_penalty: float = 2.0, l1: float = 2e-4, most_features: int = 6_000,
-        steps: int = 200, rate: float = 0.05) -> Model:
+def choose_features(texts: DataFrame, most: int) -> np.ndarray:
+    """The ``most`` n-grams whose shares of toxic and of clean documents differ most (z value),
+    of those in 5 or more of the labelled documents; counted in Spark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1, 2 << 20):
+            held = {0: [np.zeros(0, np.int64)], 1: [np.zeros(0, np.int64)]}
+            for raw, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                held[y].append(features(raw)[0])
+            for y, found in held.items():
+                g, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(np.full(len(g), y)), pa.array(n)], ["g", "y", "n"])
+
+    sizes = {r.y: r["count"] for r in texts.groupBy("y").count().collect()}
+    n1, n0 = max(1, sizes.get(1, 0)), max(1, sizes.get(0, 0))
+    counts = (texts.mapInArrow(run, "g bigint, y bigint, n bigint").groupBy("g")
+              .agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("d1"), F.sum("n").alias("d"))
+              .where("d >= 5"))
+    pooled = (F.col("d") + 1) / (n1 + n0 + 2)
+    z = F.abs(F.col("d1") / n1 - (F.col("d") - F.col("d1")) / n0) / F.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
+    return np.sort(np.array([r.g for r in counts.orderBy(z.desc(), "g").limit(most).select("g").collect()], np.int64))
+
+
+def fit(rows: list, share: float, swap_penalty: float = 2.0, l1: float = 2e-4, steps: int = 200,
+        rate: float = 0.05) -> Model:
     """Proximal Adam on logistic loss + swap penalty + L1, weights at or above 0."""
     y = np.array([r.y for r in rows], float)
     if not len(y) or y.min() == y.max():
@@ -133,20 +159,10 @@ def fit(rows: list, share: float, swap_penalty: float = 2.0, l1: float = 2e-4, m
     idx = np.concatenate([np.frombuffer(r.g, np.int32) for r in rows])
     val = np.concatenate([np.frombuffer(r.n, np.int32) for r in rows]).astype(float)
     row = np.repeat(np.arange(len(rows)), [len(r.g) // 4 for r in rows])
-    kept, column = np.unique(idx, return_inverse=True)
-    # n-grams that differ most between the classes (z of document shares), then all else is dropped
-    n1, n0 = y.sum(), (1 - y).sum()
-    d1, d0 = np.bincount(column, weights=y[row], minlength=len(kept)), np.bincount(column, weights=1 - y[row], minlength=len(kept))
-    pooled = (d1 + d0 + 1) / (n1 + n0 + 2)
-    z = np.abs(d1 / n1 - d0 / n0) / np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
-    z[d1 + d0 < 5] = 0
-    chosen = np.sort(np.argsort(-z, kind="stable")[:most_features])
-    place = np.full(len(kept), -1)
-    place[chosen] = np.arange(len(chosen))
-    keep = place[column] >= 0
-    row, col, val = row[keep], place[column][keep], np.minimum(val[keep], 50.0)
-    names = {int(g): i for i, g in enumerate(kept[chosen])}
-    m = len(chosen)
+    kept, col = np.unique(idx, return_inverse=True)
+    val = np.minimum(val, 50.0)
+    n1, n0, m = y.sum(), (1 - y).sum(), len(kept)
+    names = {int(g): i for i, g in enumerate(kept)}
 
     # one counterfactual a document: change of the feature vector
     swap = np.zeros((len(IDENTITY_GROUPS), max(map(len, IDENTITY_GROUPS)), m), np.float32)
