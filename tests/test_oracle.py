@@ -40,3 +40,17 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(got) == len(expect)
     assert digest(df.columns, got)[0] == digest(rel.columns, expect)[0]
+
+
+ORDERED = {"top_category_by_country": ["country"], "top_category_by_year": ["post_year"], "top_user_by_country": ["country"],
+           "top_category_by_age_group": ["age_group"], "median_followers_by_age_group": ["age_group"],
+           "users_joined_by_year": ["year_joined"], "median_followers_by_year_joined": ["year_joined"],
+           "median_followers_by_year_and_age": ["year_joined", "age_group"], "distinct_profile": ["value"],
+           "sql_sample_per_group": ["shape", "count_text"]}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_answers_come_in_order(spark, name):
+    """The digest above sorts rows, so their order is checked here."""
+    keys = [tuple(r[c] for c in ORDERED[name]) for r in QUERIES[name](spark, SMALL).collect()]
+    assert keys == sorted(keys, key=lambda k: tuple((v is None, v if v is not None else 0) for v in k))
