@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import weakref
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -58,7 +59,7 @@ def doc_remainder(modulus: int, column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 32 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one slice holds about ``most_bytes`` of the binary
     ``column`` (a longer single value stays whole): bounds a worker's memory."""
     for batch in batches:
@@ -73,6 +74,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 32
             yield batch.slice(start)
 
 
+_caches: list[weakref.ref] = []
+
+
+def only_caches(*mine: "WordCache") -> None:
+    """Called when a task starts: empty the tables that other operators have left in this worker."""
+    for cache in [c for c in (ref() for ref in _caches) if c is not None]:
+        if not any(cache is m for m in mine):
+            cache.clear()
+    _caches[:] = [ref for ref in _caches if ref() is not None]
+
+
 class WordCache(dict):
     """A per-worker table word -> value, filled by ``make`` when first asked for.
 
@@ -80,9 +92,10 @@ class WordCache(dict):
     are never kept, so memory stays bounded.
     """
 
-    def __init__(self, make, most: int = 800_000, longest: int = 64):
+    def __init__(self, make, most: int = 400_000, longest: int = 64):
         super().__init__()
         self.make, self.most, self.longest = make, most, longest
+        _caches.append(weakref.ref(self))
 
     def __missing__(self, word):
         value = self.make(word)

@@ -40,7 +40,7 @@ from .common import WordCache, doc_remainder, shared_folder, slices, staged, tex
 # No word holds white space, so these two can't be words.
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\nend"))
 BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b"\nbegin"))
-_hashes = WordCache(xxhash.xxh3_64_intdigest, 700_000)
+_hashes = WordCache(xxhash.xxh3_64_intdigest, 600_000)
 _FLUSH = 3_000_000  # tokens counted at once in a task
 
 

@@ -28,16 +28,56 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, slices, staged, text_bytes
+from .common import WordCache, only_caches, slices, staged, text_bytes
 
 TOKENIZER = "word_bpe_49k.json"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
 
 
+class IdTable:
+    """Ids of words in a few flat arrays, sorted by the words' 64-bit hash (mixed with their
+    length): about 25 bytes a word. It starts anew once it holds ``most`` words."""
+
+    def __init__(self, make, most: int = 2_000_000):
+        self.make, self.most = make, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.start = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.length, self.pool = np.zeros(0, np.int32), np.zeros(0, "<u4")
+
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(first place in ``pool``, number of ids) of each word; new words are encoded."""
+        if len(self.keys) > self.most:
+            self.clear()
+        keys = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        keys += np.fromiter(map(len, words), np.uint64, len(words)) * np.uint64(0x9E3779B97F4A7C15)
+        new = np.flatnonzero(~self._known(keys)[0])
+        if len(new):
+            new = new[np.argsort(keys[new])]
+            ids = [self.make(words[i]) for i in new]
+            length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            start = len(self.pool) + np.cumsum(length) - length
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), "<u4")])
+            both = np.concatenate([self.keys, keys[new]])
+            order = np.argsort(both, kind="stable")  # two sorted runs: a merge
+            self.keys, self.start = both[order], np.concatenate([self.start, start])[order]
+            self.length = np.concatenate([self.length, length.astype(np.int32)])[order]
+        at = self._known(keys)[1]
+        return self.start[at], self.length[at].astype(np.int64)
+
+    def _known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] == keys, at
+
+
 class WordIds:
     """Ids of whole texts, word by word, for a tokenizer that drops white space.
 
@@ -56,8 +96,8 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.runs = WordCache(self._ids, 1_200_000)
-        self.words = WordCache(self._word, 1_000_000)
+        self.runs = WordCache(self._ids, 600_000)
+        self.words = IdTable(self._word)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -76,13 +116,13 @@ class WordIds:
         """
         lists = pc.ascii_split_whitespace(texts.view(pa.string()))
         words = lists.flatten().dictionary_encode()
-        ids = [self.words[w] for w in words.dictionary.view(pa.binary()).to_pylist()]
-        known, length = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        start, word = np.cumsum(length) - length, words.indices.to_numpy()
+        start, length = self.words.look_up(words.dictionary.view(pa.binary()).to_pylist())
+        word = words.indices.to_numpy()
         length = length[word]
         ends = np.cumsum(length)
-        flat = known[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[word] - (ends - length), length)]
-        self.words.trim()
+        places = np.repeat(start[word] - (ends - length), length)
+        places += np.arange(len(places))
+        flat = self.words.pool[places]
         self.runs.trim()
         return flat, np.r_[0, ends][lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
 
@@ -111,7 +151,8 @@ def document_pieces(docs: DataFrame, capacity: int = 4096, largest_piece: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, end = encoder(tokenizer_file), np.array([end_id], "<u4").tobytes()
-        for batch in slices(batches, 1, 16 << 20):
+        only_caches(ids.runs)
+        for batch in slices(batches, 1):
             out: list[tuple] = []
             flat, ends = ids.encode(batch.column(1))
             first = 0

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, staged, text_bytes
+from .common import only_caches, slices, staged, text_bytes
 
 KINDS = ("assign", "access", "hex", "net")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -91,6 +91,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """One row per document: pattern counts and spans, and all candidates with their context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_caches()
         schema = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()),
                             ("n_hex", pa.int64()), ("base_sha256", pa.string()), ("base_spans", pa.string()),
                             ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())),
@@ -254,6 +255,7 @@ def score(scanned: DataFrame, net: CharNet | None) -> DataFrame:
     schema = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_caches()
         for batch in batches:
             rows = batch.to_pylist()
             at = [(i, j) for i, r in enumerate(rows) for j, y in enumerate(r["labels"]) if not y]
@@ -301,6 +303,7 @@ def redact(docs: DataFrame, net: CharNet | None, mark: str = "[REDACTED]") -> Da
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_caches()
         at = columns.index("text")
         for batch in slices(batches, at):
             texts = batch.column(at).to_pylist()

@@ -47,7 +47,7 @@ class PrefixCounter:
         self.stable: dict[tuple[str, str], bool] = {}
         self.histories: dict[str, tuple[bool, list[float], list[str], list[str]]] = {}
         self.prefixes: dict[str, tuple[int, str]] = {}
-        self.words = WordCache(self._deltas, 1_000_000)
+        self.words = WordCache(self._deltas, 800_000)
 
     def _history(self, piece: str) -> tuple[bool, list[float], list[str], list[str]]:
         """Plain BPE on one piece: merge the best-scored adjacent pair, leftmost first, until none

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, doc_remainder, slices, staged, text_bytes
+from .common import WordCache, doc_remainder, only_caches, slices, staged, text_bytes
 
 # Groups of identity terms that may be swapped for each other.
 IDENTITY_GROUPS = (
@@ -79,7 +79,7 @@ class Model:
 
     def score(self, raw: bytes) -> float:
         if self.known is None:
-            self.known = WordCache(self._word)
+            self.known = WordCache(self._word, 300_000)
         # fsum: the order of a set must not matter
         z = self.intercept + math.fsum(map(self.known.__getitem__, set(words_of(raw))))
         self.known.trim()
@@ -108,6 +108,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, modulus: int, held: int,
     features_kept = choose_features(texts, most_features)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_caches()
         groups = [{t.encode() for t in g} for g in IDENTITY_GROUPS]
         for batch in slices(batches, 1):
             rows = []
@@ -131,6 +132,7 @@ def choose_features(texts: DataFrame, most: int) -> np.ndarray:
     of those in 5 or more of the labelled documents; counted in Spark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_caches()
         for batch in slices(batches, 1, 2 << 20):
             held = {0: [np.zeros(0, np.int64)], 1: [np.zeros(0, np.int64)]}
             for raw, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -219,6 +221,7 @@ def score(docs: DataFrame, model: Model, modulus: int = 4, held: int = 2, cut: f
     """Per document: doc_id, held_out, score, predicted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_caches()
         for batch in slices(batches, 2):
             values = _scores(model, batch.column(2))
             yield pa.RecordBatch.from_arrays(
@@ -235,6 +238,7 @@ def keep_clean(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_caches()
         for batch in slices(batches, at):
             texts = pa.array([(t or "").encode("utf-8", "replace") for t in batch.column(at).to_pylist()], pa.binary())
             yield batch.filter(pa.array([v < cut for v in _scores(model, texts)], pa.bool_()))
