@@ -40,19 +40,20 @@ PACKED = PIECES + ", sequence_id bigint, offset bigint"
 
 
 class IdTable:
-    """Ids of words in a few flat arrays, sorted by the words' 64-bit hash (mixed with their
-    length): about 25 bytes a word. It starts anew once it holds ``most`` words."""
+    """Numbers that belong to words (their ids, say), as ``make`` gives them in bytes, in a few flat
+    arrays sorted by the words' 64-bit hash (mixed with their length): about 25 bytes a
+    word. It starts anew once it holds ``most`` words."""
 
-    def __init__(self, make, most: int = 2_000_000):
-        self.make, self.most = make, most
+    def __init__(self, make, kind="<u4", most: int = 2_000_000):
+        self.make, self.kind, self.most = make, np.dtype(kind), most
         self.clear()
 
     def clear(self) -> None:
         self.keys, self.start = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.length, self.pool = np.zeros(0, np.int32), np.zeros(0, "<u4")
+        self.length, self.pool = np.zeros(0, np.int32), np.zeros(0, self.kind)
 
     def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(first place in ``pool``, number of ids) of each word; new words are encoded."""
+        """(first place in ``pool``, how many there) of each word; new words are made."""
         if len(self.keys) > self.most:
             self.clear()
         keys = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
@@ -61,9 +62,9 @@ class IdTable:
         if len(new):
             new = new[np.argsort(keys[new])]
             ids = [self.make(words[i]) for i in new]
-            length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            length = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
             start = len(self.pool) + np.cumsum(length) - length
-            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), "<u4")])
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), self.kind)])
             both = np.concatenate([self.keys, keys[new]])
             order = np.argsort(both, kind="stable")  # two sorted runs: a merge
             self.keys, self.start = both[order], np.concatenate([self.start, start])[order]

@@ -21,10 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WordCache, slices, text_bytes
+from .packing import IdTable
 
 MARK = "▁"
 TOKENIZER = "piece_bpe_32k.model"
@@ -47,7 +49,8 @@ class PrefixCounter:
         self.stable: dict[tuple[str, str], bool] = {}
         self.histories: dict[str, tuple[bool, list[float], list[str], list[str]]] = {}
         self.prefixes: dict[str, tuple[int, str]] = {}
-        self.words = WordCache(self._deltas, 800_000)
+        self.words = WordCache(self._deltas, 100_000)  # of odd texts
+        self.table = IdTable(lambda word: self._deltas(MARK + word.decode("utf-8", "replace")), np.int8)
 
     def _history(self, piece: str) -> tuple[bool, list[float], list[str], list[str]]:
         """Plain BPE on one piece: merge the best-scored adjacent pair, leftmost first, until none
@@ -124,7 +127,7 @@ class PrefixCounter:
                     table[prefix] = state
             counts.append(state[0])
             lasts.append(state[1])
-        if len(self.prefixes) > 1_200_000:
+        if len(self.prefixes) > 700_000:
             self.prefixes.clear()
         return bytes([(b - a) & 255 for a, b in zip(counts, counts[1:])])
 
@@ -136,6 +139,43 @@ class PrefixCounter:
         found = map(self.words.__getitem__, _SEGMENTS.findall(marked))
         return np.frombuffer(b"".join(found), np.int8)
 
+    def count_all(self, texts: pa.Array):
+        """(tokens of each text, function giving the deltas of the i-th text).
+
+        Arrow splits the texts at spaces and numbers their distinct words, so a word's
+        table is looked up once a call. Texts with runs of spaces, or a space mark of their own,
+        whose pieces can span several words, take the path of single texts.
+        """
+        odd = pc.or_(pc.or_(pc.match_substring(texts, "  "), pc.starts_with(texts, " ")), pc.match_substring(texts, MARK))
+        lists = pc.split_pattern(texts, " ")
+        words = lists.flatten().dictionary_encode()
+        start, length = self.table.look_up(words.dictionary.view(pa.binary()).to_pylist())
+        word, cuts = words.indices.to_numpy(), lists.offsets.to_numpy()
+        cuts = cuts - cuts[0]
+        # a word's tokens: the sum of its deltas, for the distinct words of this call
+        held = np.repeat(start - (np.cumsum(length) - length), length)
+        held += np.arange(len(held))
+        sums = np.r_[0, np.cumsum(self.table.pool[held], dtype=np.int64)]
+        ends = np.cumsum(length)
+        tokens = (sums[ends] - sums[ends - length])[word]
+        totals = np.r_[0, np.cumsum(tokens)]
+        totals = totals[cuts[1:]] - totals[cuts[:-1]]
+        totals[pc.binary_length(texts).to_numpy() == 0] = 0
+        odd = odd.to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(odd):
+            totals[i] = self.deltas(texts[i].as_py()).sum(dtype=np.int64)
+
+        def deltas(i: int) -> np.ndarray:
+            text = texts[i].as_py() if odd[i] or not texts[i].as_py() else None
+            if text is not None:
+                return self.deltas(text)
+            mine = word[cuts[i]:cuts[i + 1]]
+            n = length[mine]
+            places = np.repeat(start[mine] - (np.cumsum(n) - n), n)
+            return self.table.pool[places + np.arange(len(places))]
+
+        return totals, deltas
+
     def counts(self, text: str) -> np.ndarray:
         """Token count of every prefix: entry i for the first i characters."""
         out = np.cumsum(self.deltas(text), dtype=np.int64)
@@ -172,27 +212,18 @@ def prefix_counts(docs: DataFrame, budget: int = 4096, model_file: str | None =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counter(model_file)
         for batch in slices(batches, 1):
-            n_bytes, n_tokens, cuts, kept = [], [], [], []
-            for raw in batch.column(1).to_pylist():
-                text = raw.decode("utf-8", "replace")
-                d = table.deltas(text)
-                total = int(d.sum(dtype=np.int64)) if text else 0
-                cut = len(text)
-                if total > budget or budget < 64 and text:
-                    c = np.cumsum(d, dtype=np.int64)
-                    c[0] = 0
-                    cut = int(np.flatnonzero(c <= budget)[-1])
-                n_bytes.append(len(raw))
-                n_tokens.append(total)
-                cuts.append(cut)
-                if keep_table:
-                    kept.append(d.tobytes())
-                table.words.trim()
-            columns = [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()),
-                       pa.array([n > budget for n in n_tokens], pa.bool_()), pa.array(cuts, pa.int64())]
+            texts = batch.column(1).view(pa.string())
+            totals, deltas = table.count_all(texts)
+            chars = pc.utf8_length(texts).to_numpy().astype(np.int64)
+            for i in np.flatnonzero(totals > budget):
+                c = np.cumsum(deltas(i), dtype=np.int64)
+                c[0] = 0
+                chars[i] = np.flatnonzero(c <= budget)[-1]
+            columns = [batch.column(0), pc.binary_length(batch.column(1)).cast(pa.int64()), pa.array(totals),
+                       pa.array(totals > budget), pa.array(chars)]
             names = ["doc_id", "n_bytes", "n_tokens", "over_limit", "cut_chars"]
             if keep_table:
-                columns.append(pa.array(kept, pa.binary()))
+                columns.append(pa.array([deltas(i).tobytes() for i in range(batch.num_rows)], pa.binary()))
                 names.append("prefix_deltas")
             yield pa.RecordBatch.from_arrays(columns, names)
 
