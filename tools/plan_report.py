@@ -15,10 +15,22 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def final_part(plan: str) -> str:
+    """The plan without the initial plans of adaptive nodes, which repeat their operators."""
+    kept, skipped = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :|"))
+        if skipped is not None and depth > skipped:
+            continue
+        skipped = depth if "== Initial Plan ==" in line else None
+        if skipped is None:
+            kept.append(line)
+    return "\n".join(kept)
+
+
 def summarise(plan: str) -> dict[str, object]:
-    # keep the final plan of every adaptive node: the initial one repeats its operators
-    plan = re.sub(r"(?s)== Initial Plan ==.*?(?=\n\S|\Z)", "", plan)
-    scans = sorted(set(re.findall(r"ReadSchema: (struct<[^\n]*?>)(?=,|\s|$)", plan)))
+    plan = final_part(plan)
+    scans = sorted(set(re.findall(r"ReadSchema: (struct<.*>)", plan)))
     return {
         "shuffles": len(re.findall(r"\bExchange (hash|range|SinglePartition|RoundRobin)", plan)),
         "single_task": len(re.findall(r"Exchange SinglePartition|TakeOrderedAndProject|CollectLimit", plan)),
@@ -37,7 +49,8 @@ def main() -> None:
     root = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from postlytics.catalog import QUERIES
     from postlytics.session import get_session
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=8, **{
+        "spark.sql.maxMetadataStringLength": "100000", "spark.sql.debug.maxToStringFields": "1000"})
     spark.sparkContext.setLogLevel("ERROR")
     print("# Physical plan summary\n")
     print(f"Generated by `python tools/plan_report.py {root}` (plans after execution, AQE final).\n")
@@ -47,7 +60,7 @@ def main() -> None:
     for name, build in QUERIES.items():
         df = build(spark, root)
         df.collect()  # runs through this DataFrame's own execution, so the AQE plan is final
-        plan = df._jdf.queryExecution().executedPlan().verboseString(10_000)
+        plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
         scans[name] = s["scans"]
         print(f"| {name} | {s['shuffles']} | {s['single_task']} | {s['reused']} | {s['partial_group_limit']} | "
