@@ -59,6 +59,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op8_embedding_dedup, op9_pack, op10_secrets)}
 
 ORACLE: dict[str, str] = {
+    "op1_suffix_dedup": r"""
+WITH raw AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (SELECT *, CAST(length(h) // 2 AS BIGINT) AS n_bytes FROM raw),
+starts AS (SELECT r, h, unnest(range(0, n_bytes - 199)) AS s FROM sized WHERE n_bytes >= 200),
+windows AS (SELECT r, s, md5_number(substr(h, 2 * s + 1, 400)) AS w FROM starts),
+repeated AS (SELECT r, s FROM windows QUALIFY count(*) OVER (PARTITION BY w) > 1),
+marked AS (SELECT r, s, CASE WHEN s > lag(s) OVER (PARTITION BY r ORDER BY s) + 200 THEN 1 ELSE 0 END AS opens FROM repeated),
+numbered AS (SELECT r, s, sum(opens) OVER (PARTITION BY r ORDER BY s) AS span FROM marked),
+spans AS (SELECT r, span, min(s) AS a, max(s) + 200 AS b FROM numbered GROUP BY 1, 2),
+gaps AS (
+  SELECT r, b AS a, lead(a) OVER (PARTITION BY r ORDER BY a) AS b FROM spans
+  UNION ALL SELECT r, 0, min(a) FROM spans GROUP BY r),
+rests AS (
+  SELECT r, string_agg(substr(h, 2 * gaps.a + 1, 2 * (coalesce(gaps.b, n_bytes) - gaps.a)), '' ORDER BY gaps.a) AS rest
+  FROM gaps JOIN sized USING (r) GROUP BY r),
+removed AS (SELECT r, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM sized LEFT JOIN removed USING (r) LEFT JOIN rests USING (r)""",
+    "op4_minhash": r"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingled AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                                    ELSE w END) AS s FROM tokens),
+sized AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n, s FROM shingled),
+items AS (SELECT doc_id, n, unnest(s) AS shingle FROM sized),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
+  FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs WHERE 100 * shared >= 80 * (na + nb - shared)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS v, doc_id AS u FROM documents UNION SELECT r.v, e.b FROM reach r JOIN edges e ON r.u = e.a),
+comps AS (SELECT v, min(u) AS component_id FROM reach GROUP BY v)
+SELECT sized.doc_id, n AS n_shingles, component_id, sized.doc_id = component_id AS kept
+FROM sized JOIN comps ON sized.doc_id = comps.v""",
     "op2_top_k": """
 WITH fine AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
