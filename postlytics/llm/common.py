@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import weakref
 from collections.abc import Iterator
@@ -78,11 +81,16 @@ _caches: list[weakref.ref] = []
 
 
 def only_caches(*mine: "WordCache") -> None:
-    """Called when a task starts: empty the tables that other operators have left in this worker."""
+    """Called when a task starts: empty the tables that other operators have left in this
+    worker, and give freed memory back to the system."""
     for cache in [c for c in (ref() for ref in _caches) if c is not None]:
         if not any(cache is m for m in mine):
             cache.clear()
     _caches[:] = [ref for ref in _caches if ref() is not None]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 class WordCache(dict):

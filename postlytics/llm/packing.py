@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordCache, only_caches, slices, staged, text_bytes
+from .common import only_caches, slices, staged, text_bytes
 
 TOKENIZER = "word_bpe_49k.json"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -40,9 +40,9 @@ PACKED = PIECES + ", sequence_id bigint, offset bigint"
 
 
 class IdTable:
-    """Numbers that belong to words (their ids, say), as ``make`` gives them in bytes, in a few flat
-    arrays sorted by the words' 64-bit hash (mixed with their length): about 25 bytes a
-    word. It starts anew once it holds ``most`` words."""
+    """Numbers that belong to words (their ids, say), as ``make`` gives them for a list of new words,
+    in bytes, in a few flat arrays sorted by the words' 64-bit hash (mixed with their
+    length): about 25 bytes a word. It starts anew once it holds ``most`` words."""
 
     def __init__(self, make, kind="<u4", most: int = 2_000_000):
         self.make, self.kind, self.most = make, np.dtype(kind), most
@@ -60,8 +60,8 @@ class IdTable:
         keys += np.fromiter(map(len, words), np.uint64, len(words)) * np.uint64(0x9E3779B97F4A7C15)
         new = np.flatnonzero(~self._known(keys)[0])
         if len(new):
-            new = new[np.argsort(keys[new])]
-            ids = [self.make(words[i]) for i in new]
+            new = new[np.unique(keys[new], return_index=True)[1]]  # each once, in ascending order
+            ids = self.make([words[i] for i in new])
             length = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
             start = len(self.pool) + np.cumsum(length) - length
             self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), self.kind)])
@@ -97,17 +97,33 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.runs = WordCache(self._ids, 600_000)
-        self.words = IdTable(self._word)
+        self.runs = IdTable(lambda runs: [self._ids(r.decode()) for r in runs])
+        self.words = IdTable(self._encode_words)
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _word(self, raw: bytes) -> bytes:
-        word = raw.decode("utf-8", "replace")
-        if "<|" in word or not self._plain.fullmatch(word):
-            return self._ids(word)
-        return b"".join(map(self.runs.__getitem__, self._runs.findall(word.lower())))
+    def _encode_words(self, raws: list[bytes]) -> list[bytes]:
+        parts = []
+        for raw in raws:
+            word = raw.decode("utf-8", "replace")
+            plain = "<|" not in word and self._plain.fullmatch(word)
+            parts.append(self._runs.findall(word.lower()) if plain else None)
+        start, length = self.runs.look_up([r.encode() for p in parts if p for r in p])
+        places = np.repeat(start - (np.cumsum(length) - length), length)
+        places += np.arange(len(places))
+        flat = self.runs.pool[places].tobytes()
+        ends, out, done, at = (4 * np.cumsum(length)).tolist(), [], 0, 0
+        for raw, part in zip(raws, parts):
+            if part is None:
+                out.append(self._ids(raw.decode("utf-8", "replace")))
+            elif part:
+                at += len(part)
+                out.append(flat[done:ends[at - 1]])
+                done = ends[at - 1]
+            else:
+                out.append(b"")
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, end of each text) of UTF-8 texts as a binary array.
@@ -124,7 +140,6 @@ class WordIds:
         places = np.repeat(start[word] - (ends - length), length)
         places += np.arange(len(places))
         flat = self.words.pool[places]
-        self.runs.trim()
         return flat, np.r_[0, ends][lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
 
 
@@ -152,8 +167,8 @@ def document_pieces(docs: DataFrame, capacity: int = 4096, largest_piece: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, end = encoder(tokenizer_file), np.array([end_id], "<u4").tobytes()
-        only_caches(ids.runs)
-        for batch in slices(batches, 1):
+        only_caches()
+        for batch in slices(batches, 1, 4 << 20):
             out: list[tuple] = []
             flat, ends = ids.encode(batch.column(1))
             first = 0

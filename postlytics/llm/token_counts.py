@@ -50,7 +50,7 @@ class PrefixCounter:
         self.histories: dict[str, tuple[bool, list[float], list[str], list[str]]] = {}
         self.prefixes: dict[str, tuple[int, str]] = {}
         self.words = WordCache(self._deltas, 100_000)  # of odd texts
-        self.table = IdTable(lambda word: self._deltas(MARK + word.decode("utf-8", "replace")), np.int8)
+        self.table = IdTable(lambda words: [self._deltas(MARK + w.decode("utf-8", "replace")) for w in words], np.int8)
 
     def _history(self, piece: str) -> tuple[bool, list[float], list[str], list[str]]:
         """Plain BPE on one piece: merge the best-scored adjacent pair, leftmost first, until none
