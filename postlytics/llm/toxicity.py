@@ -6,7 +6,8 @@ documents with an L1 penalty (few n-grams keep a weight, so very long clean
 texts don't add up noise) and a counterfactual penalty: in each training
 document one identity term is swapped for another of its group, or, when it names none, one is
 inserted; the squared change of the score is added to the loss. A neutral
-mention of a group therefore can't move a score by much.
+mention of a group therefore can't move a score by much. Words are runs without ASCII white
+space, ASCII punctuation or control characters; a word counts whole, however long it is.
 
 Only text is an input. Rows with crc32(doc_id as text) mod ``modulus`` equal to
 ``held`` give no labels. At most ``most_positive`` and ``most_negative`` labelled
@@ -47,6 +48,11 @@ _FOLD = bytes(c + 32 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c if 97 <= c
               for c in range(256))
 BUCKETS = 1 << 22
 CUT = 0.3
+_LONG = 64  # longer words are hashed as arrays
+_CHUNK = 1 << 18
+_CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC = np.where(_CRC & 1, _CRC >> 1 ^ 0xEDB88320, _CRC >> 1).astype(np.uint32)
 
 
 def words_of(raw: bytes) -> list[bytes]:
@@ -54,17 +60,38 @@ def words_of(raw: bytes) -> list[bytes]:
 
 
 def grams(word: bytes) -> set[int]:
-    """Hashed character n-grams (3 to 5 bytes) of one word, its ends marked."""
-    marked = b"<" + word[:64] + b">"
+    """Hashed character n-grams (3 to 5 bytes) of one whole word, its ends marked."""
+    marked = b"<" + word + b">"
     return {zlib.crc32(marked[i:i + n]) % BUCKETS for n in (3, 4, 5) for i in range(len(marked) - n + 1)}
 
 
+def long_grams(word: bytes) -> np.ndarray:
+    """What ``grams`` gives, ascending, for a word of any length: text without ASCII white space is
+    one word. Cut into chunks that overlap by four bytes, so that memory stays bounded."""
+    marked = np.frombuffer(b"<" + word + b">", np.uint8)
+    found = np.zeros(0, np.int64)
+    for start in range(0, len(marked), _CHUNK):
+        part, hashed = marked[start:start + _CHUNK + 4], []
+        for n in (3, 4, 5):
+            if len(part) >= n:
+                crc = np.full(len(part) - n + 1, 0xFFFFFFFF, np.uint32)
+                for j in range(n):
+                    crc = _CRC[(crc ^ part[j:j + len(crc)]) & np.uint32(255)] ^ (crc >> np.uint32(8))
+                hashed.append((~crc).astype(np.int64) % BUCKETS)
+        found = np.unique(np.concatenate([found, *hashed]))
+    return found
+
+
 def features(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(n-gram, number of distinct words holding it), ascending."""
     found: list[int] = []
+    long = []
     for word in set(words_of(raw)):
-        found.extend(grams(word))
-    return np.unique(np.array(found, np.int64), return_counts=True)
+        if len(word) <= _LONG:
+            found.extend(grams(word))
+        else:
+            long.append(long_grams(word))
+    return np.unique(np.concatenate([np.array(found, np.int64), *long]), return_counts=True)
 
 
 class Model:
@@ -72,9 +99,12 @@ class Model:
 
     def __init__(self, weights: dict[int, float], intercept: float):
         self.weights, self.intercept, self.known = weights, intercept, None
+        self.names = np.array(sorted(weights), np.int64)
 
     def _word(self, word: bytes) -> float:
         get = self.weights.get
+        if len(word) > _LONG:
+            return sum(get(g, 0.0) for g in np.intersect1d(long_grams(word), self.names, assume_unique=True).tolist())
         return sum(get(g, 0.0) for g in sorted(grams(word)))
 
     def score(self, raw: bytes) -> float:
@@ -86,7 +116,7 @@ class Model:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
     def __getstate__(self):
-        return {"weights": self.weights, "intercept": self.intercept, "known": None}
+        return {"weights": self.weights, "intercept": self.intercept, "known": None, "names": self.names}
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, modulus: int, held: int, most_positive: int,
