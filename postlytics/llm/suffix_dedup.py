@@ -19,6 +19,10 @@ equal anchors at equal offsets compares all equal windows.
    multikey quicksort on 8-byte words, which also gives the lengths of common prefixes. Two windows at
    offset d are equal if the suffixes agree in length - d bytes and the bytes before
    in d: classes of both orders are counted for every d, never pairs.
+   Leads of more than ``alike`` places don't go to a bucket, for a passage in very many texts has
+   at its edges one distinct segment a text, all with one lead. Their windows are counted by
+   hash: first in every task, where a window of several segments is settled and leaves one row,
+   then by hash range over all tasks.
 4. The repeated windows of each text are joined back to it and cut out.
 
 Copies of a whole text are one text with a count (all its bytes go if it has a
@@ -216,8 +220,9 @@ def _anchor_blocks(texts: DataFrame, length: int, lead: int, ranges: int) -> Dat
     return texts.mapInArrow(run, "part int, h binary, tid binary, pos binary, ahead binary, behind binary")
 
 
-def _repeated_anchors(blocks: DataFrame) -> DataFrame:
-    """(tid, n, anchors): per text and range the anchors whose hash has several places."""
+def _repeated_anchors(blocks: DataFrame, alike: int) -> DataFrame:
+    """(tid, n, hot, anchors): per text and range the anchors whose hash has several places; ``hot``
+    windows belong to anchors whose hash has more than ``alike``."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         h, tid, pos, ahead, behind = (np.frombuffer(b"".join(rows[c]), k) for c, k in (
@@ -229,31 +234,33 @@ def _repeated_anchors(blocks: DataFrame) -> DataFrame:
                      & (ahead[1:] == ahead[:-1]) & (behind[1:] == behind[:-1])]
         h, tid, pos, ahead, behind = (x[~same] for x in (h, tid, pos, ahead, behind))
         group = np.cumsum(np.r_[True, h[1:] != h[:-1]]) - 1
-        keep = np.bincount(group)[group] > 1
-        tid, pos, ahead, behind = (x[keep] for x in (tid, pos, ahead, behind))
+        places = np.bincount(group)[group]
+        keep, hot = places > 1, (places > alike).astype(np.uint8)
+        tid, pos, ahead, behind, hot = (x[keep] for x in (tid, pos, ahead, behind, hot))
         order = np.argsort(tid, kind="stable")
-        tid, pos, ahead, behind = (x[order] for x in (tid, pos, ahead, behind))
+        tid, pos, ahead, behind, hot = (x[order] for x in (tid, pos, ahead, behind, hot))
         starts = np.flatnonzero(np.r_[True, tid[1:] != tid[:-1]]) if len(tid) else np.zeros(0, np.int64)
-        packed = np.rec.fromarrays([pos, ahead, behind], dtype=_ANCHOR)
-        return pd.DataFrame([(int(tid[a]), int(b - a), packed[a:b].tobytes()) for a, b in zip(starts, np.r_[starts[1:], len(tid)])],
-                            columns=["tid", "n", "anchors"])
+        packed = np.rec.fromarrays([pos, ahead, behind, hot], dtype=_ANCHOR)
+        windows = np.where(hot, ahead.astype(np.int64) - behind + 1, 0)
+        return pd.DataFrame([(int(tid[a]), int(b - a), int(windows[a:b].sum()), packed[a:b].tobytes())
+                             for a, b in zip(starts, np.r_[starts[1:], len(tid)])], columns=["tid", "n", "hot", "anchors"])
 
-    return blocks.groupBy("part").applyInPandas(run, "tid bigint, n bigint, anchors binary")
+    return blocks.groupBy("part").applyInPandas(run, "tid bigint, n bigint, hot bigint, anchors binary")
 
 
-_ANCHOR = np.dtype([("pos", "<u4"), ("ahead", "u1"), ("behind", "u1")])
+_ANCHOR = np.dtype([("pos", "<u4"), ("ahead", "u1"), ("behind", "u1"), ("hot", "u1")])
 
 
-def _segments(raw: bytes, packed: list[bytes], length: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """(first window, offset of the anchor, windows, bytes of all its windows)."""
-    for pos, ahead, behind in np.frombuffer(b"".join(packed), _ANCHOR).tolist():
+def _segments(raw: bytes, packed: list[bytes], length: int, hot: tuple = (0, 1)) -> Iterator[tuple[int, int, int, bytes]]:
+    """(first window, offset of the anchor, windows, bytes of all its windows), of anchors hot or not."""
+    for pos, ahead, behind, kind in np.frombuffer(b"".join(packed), _ANCHOR).tolist():
         first, last = pos - ahead, pos - behind
-        if last + length <= len(raw):  # else it is another text's anchor under an equal id
+        if kind in hot and last + length <= len(raw):  # else it is another text's anchor under an equal id
             yield first, ahead, last - first + 1, raw[first:last + length]
 
 
 def _suffixes(repeats: DataFrame, length: int, lead: int) -> DataFrame:
-    """One row per task and distinct segment: lead, key, segment, offset, windows, count."""
+    """One row per task and distinct segment whose lead isn't hot: lead, key, segment, offset, windows, count."""
     names = ["lead", "key", "segment", "offset", "windows", "n"]
     types = [pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64()]
 
@@ -265,7 +272,7 @@ def _suffixes(repeats: DataFrame, length: int, lead: int) -> DataFrame:
         held: dict[bytes, tuple] = {}
         for batch in slices(batches, 1):
             for raw, packed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                for _, offset, windows, segment in _segments(raw, packed, length):
+                for _, offset, windows, segment in _segments(raw, packed, length, hot=(0,)):
                     key = _key(segment, offset)
                     held[key] = segment, offset, windows, held[key][3] + 1 if key in held else 1
                 if len(held) > 60_000:
@@ -316,7 +323,89 @@ def _sorted_buckets(suffixes: DataFrame, buckets: int, length: int, lead: int) -
     return suffixes.repartitionByRange(buckets, "lead").mapInArrow(run, "key binary, flags binary")
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, lead: int = 64, range_bytes: int = 16 << 20) -> DataFrame:
+def _window_blocks(repeats: DataFrame, length: int, reach: int, parts: int, most: int = 4000) -> DataFrame:
+    """Windows of hot segments, counted among ``most`` segments at a time. Rows with part >= 0 hold a
+    block of windows by hash range: hash, a segment's key and the window's place in it, count (1, or 2
+    for more). Rows with part -1 hold keys and the flags of the windows that are repeated among these segments."""
+    names, size = ["part", "h", "key", "win", "n", "flags"], -(-reach // 64) * 8
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(held: dict) -> pa.RecordBatch:
+            windows = np.array([w for _, _, w, _ in held.values()])
+            count = np.array([n for *_, n in held.values()])
+            digests = np.frombuffer(b"".join(
+                hashlib.blake2b(s[i:i + length] + (o - i).to_bytes(2, "little", signed=True), digest_size=16).digest()
+                for s, o, w, _ in held.values() for i in range(w)), "<u8").reshape(-1, 2)
+            row = np.repeat(np.arange(len(held)), windows)
+            win = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+            order = np.lexsort((digests[:, 1], digests[:, 0]))
+            digests, row, win = digests[order], row[order], win[order]
+            first = np.flatnonzero(np.r_[True, (digests[1:] != digests[:-1]).any(1)])
+            total = np.add.reduceat(count[row], first)
+            flags = np.zeros((len(held), 8 * size), bool)
+            again = np.repeat(total, np.diff(np.r_[first, len(row)])) > 1
+            flags[row[again], win[again]] = True
+            keys = np.frombuffer(b"".join(held), "V16")
+            # one row a distinct window, in the order of its hash
+            digests, key, win, n = digests[first], keys[row[first]], win[first].astype(np.uint8), np.minimum(total, 2).astype(np.uint8)
+            part = ((digests[:, 0] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            cuts = np.searchsorted(part, np.arange(parts + 1))
+            rows = [(p, *(x[a:b].tobytes() for x in (digests, key, win, n)), None) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            hit = flags.any(1)
+            rows.append((-1, None, keys[hit].tobytes(), None, None, np.packbits(flags[hit], axis=1).tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32()] + [pa.binary()] * 5)], names)
+
+        held: dict[bytes, tuple] = {}
+        for batch in slices(batches, 1):
+            for raw, packed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                for _, offset, windows, segment in _segments(raw, packed, length, hot=(1,)):
+                    key = _key(segment, offset)
+                    held[key] = segment, offset, windows, held[key][3] + 1 if key in held else 1
+                    if len(held) >= most:
+                        yield flush(held)
+                        held = {}
+        if held:
+            yield flush(held)
+
+    return repeats.select("tid", "text", "anchors").mapInArrow(
+        run, "part int, h binary, key binary, win binary, n binary, flags binary")
+
+
+def _hot_flags(blocks: DataFrame, reach: int) -> DataFrame:
+    """(key, flags) of the hot segments with repeated windows, from their window blocks."""
+    width = -(-reach // 64)
+    names = ["key"] + [f"f{i}" for i in range(width)]
+    schema = "key binary" + "".join(f", f{i} bigint" for i in range(width))
+
+    def settled(rows: pd.DataFrame) -> pd.DataFrame:
+        h = np.frombuffer(b"".join(rows["h"]), "<u8").reshape(-1, 2)
+        key, win, n = (np.frombuffer(b"".join(rows[c]), k) for c, k in (("key", "V16"), ("win", np.uint8), ("n", np.uint8)))
+        order = np.lexsort((h[:, 1], h[:, 0]))
+        h, key, win, n = h[order], key[order], win[order], n[order]
+        first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]).any(1)])
+        total = np.repeat(np.add.reduceat(n.astype(np.int64), first), np.diff(np.r_[first, len(h)]))
+        new = (total > 1) & (n == 1)  # a count of 2 is flagged in its own task
+        flags: dict[bytes, list[int]] = {}
+        for k, w in zip(key[new].tolist(), win[new].tolist()):
+            flags.setdefault(k, [0] * width)[w // 64] |= 1 << (63 - w % 64)
+        return pd.DataFrame([(k, *(f - (f >> 63 << 64) for f in v)) for k, v in flags.items()], columns=names)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, flags in zip(*(c.to_pylist() for c in batch.columns)):
+                bits = np.frombuffer(flags, ">i8").reshape(-1, width).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([keys[i:i + 16] for i in range(0, len(keys), 16)], pa.binary())]
+                    + [pa.array(bits[:, i].copy(), pa.int64()) for i in range(width)], names)
+
+    found = blocks.where("part >= 0").groupBy("part").applyInPandas(settled, schema).unionByName(
+        blocks.where("part < 0").select("key", "flags").mapInArrow(local, schema))
+    return (found.groupBy("key").agg(*[F.bit_or(c).alias(c) for c in names[1:]])
+            .select("key", F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in names[1:]])).alias("flags")))
+
+
+def remove_repeats(docs: DataFrame, length: int = 200, lead: int = 64, range_bytes: int = 16 << 20,
+                   alike: int = 10_000) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
     info = staged(rows.select("doc_id", _text_id(), F.octet_length("text").cast("bigint").alias("n_bytes"),
@@ -325,8 +414,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, lead: int = 64, range_byt
     size = info.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(1, math.ceil(size / range_bytes))
     blocks = _anchor_blocks(rows.select(_text_id(), "text"), length, lead, ranges)
-    kept = staged(_repeated_anchors(blocks), "anchors")
-    n_anchors = kept.agg(F.sum("n")).first()[0] or 0
+    kept = staged(_repeated_anchors(blocks, alike), "anchors")
+    n_anchors, hot_windows = (x or 0 for x in kept.agg(F.sum("n"), F.sum("hot")).first())
     by_text = kept.groupBy("tid").agg(F.collect_list("anchors").alias("anchors"))
     # the id in the join spreads copies of one text; only the text's own row finds a partner
     wanted = texts.join(by_text, "tid").select(F.col("tid").alias("t"), F.col("doc_id").alias("d"), "n_bytes", "anchors")
@@ -334,6 +423,11 @@ def remove_repeats(docs: DataFrame, length: int = 200, lead: int = 64, range_byt
         wanted, F.expr("tid = t AND doc_id <=> d AND octet_length(text) = n_bytes")).select("tid", "text", "anchors"), "repeats")
     buckets = max(1, math.ceil(n_anchors * (length + length // 3) / range_bytes))
     flagged = staged(_sorted_buckets(_suffixes(repeats, length, lead), buckets, length, lead), "flagged")
+    if hot_windows:
+        reach = length - lead + 1
+        parts = math.ceil(33 * hot_windows / range_bytes)
+        hot = staged(_hot_flags(staged(_window_blocks(repeats, length, reach, parts), "windows"), reach), "flagged")
+        flagged = flagged.unionByName(hot)
     covered = (_places(repeats, length).join(flagged, "key").groupBy("tid", "n_bytes")
                .agg(F.collect_set(F.struct("first", "flags")).alias("windows")))
 
