@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, kneser_ney, minhash, mixing, packing, secret_scan, suffix_dedup, token_counts, topk, toxicity
+from . import (embedding_dedup, exact_dedup, hard_negatives, kneser_ney, minhash, mixing, packing, secret_scan, suffix_dedup,
+               target_resampling, token_counts, topk, toxicity)
 from .common import read_table
 
 
@@ -54,9 +55,22 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_copies(read_table(spark, sf_dir, "documents"))
+
+
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_top_k, op3_mix_sources, op4_minhash, op5_language_model, op6_token_counts, op7_toxicity,
-                            op8_embedding_dedup, op9_pack, op10_secrets)}
+                            op8_embedding_dedup, op9_pack, op10_secrets, op11_exact_dedup, op12_target_resampling,
+                            op13_hard_negatives)}
 
 ORACLE: dict[str, str] = {
     "op1_suffix_dedup": r"""
@@ -147,4 +161,68 @@ rated AS (
 SELECT doc_id, size, source_size, target,
   CAST(least(floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END, 3) AS BIGINT) * size AS taken
 FROM rated""",
+    "op11_exact_dedup": r"""
+WITH plain AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST, r) = 1 AS kept, sha256(t) AS text_sha256
+FROM plain""",
+    "op12_target_resampling": r"""
+WITH crc_table AS (
+  SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+    CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) ORDER BY n) AS tab
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS n)),
+texts AS (
+  SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+worded AS (
+  SELECT row_number() OVER () AS r, side, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+features AS (SELECT r, side, unnest(w) AS word FROM worded),
+spelled AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM features)),
+hashed AS (
+  SELECT word, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(range(1, length(h), 2), lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+    lambda c, b: xor(tab[1 + (xor(c, b) & 255)], c >> 8))) % 10000 AS bucket
+  FROM spelled, crc_table),
+placed AS (SELECT r, side, bucket FROM features JOIN hashed USING (word)),
+counted AS (
+  SELECT bucket, CAST(count(*) FILTER (side = 0) AS DOUBLE) AS s, CAST(count(*) FILTER (side = 1) AS DOUBLE) AS t
+  FROM placed GROUP BY bucket),
+totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM counted),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM counted, totals),
+summed AS (
+  SELECT r, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM placed JOIN gains USING (bucket) WHERE side = 0 GROUP BY r),
+drawn AS (
+  SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM worded LEFT JOIN summed USING (r) WHERE side = 0),
+scored AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM drawn),
+chosen AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN chosen USING (r)""",
+    "op13_hard_negatives": """
+WITH fine AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM fine a JOIN fine c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+placed AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM placed WHERE rank <= 5""",
 }

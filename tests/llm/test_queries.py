@@ -21,7 +21,7 @@ def con():
 def test_entry_module_registers_all():
     names = set(entry_mod.queries())
     assert set(QUERIES) <= names and "pipeline" in names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
