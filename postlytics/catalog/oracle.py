@@ -349,6 +349,8 @@ SELECT age_group, category, category_count FROM ranked WHERE rn = 1""",
 ORACLE["landed_topics"] = _raw(" UNION ALL ".join(
     f"SELECT '{topic}' AS topic, \"{key}\" AS key, CAST({_md5_hash(chr(34) + key + chr(34), 0)} % 4 AS INTEGER) AS partition "
     f"FROM {source}" for topic, key, source in (("pin", "index", "raw_pin"), ("geo", "ind", "raw_geo"), ("user", "ind", "raw_usr"))))
+ORACLE["stream_landed_topics"] = ORACLE["landed_topics"]
+ORACLE["stream_landed_posts"] = ORACLE["clean_posts"]
 ORACLE["assigned_shards"] = _raw(
     f'SELECT "index", unique_id, CAST({_md5_hash(chr(34) + "index" + chr(34), 0)} % 4 AS INTEGER) AS shard FROM raw_pin')
 ORACLE["top_posts_by_category"] = f"""WITH {entities_sql('order')}

@@ -16,7 +16,9 @@ from ..sources.bindings import raw_entities, raw_posts, raw_users
 from ..sources.messages import encode_messages, land_topics
 from ..sources.topics import (compact_topic, read_delimited, read_landed, read_topic, select_topics, topic_path,
                               topic_rejects, write_delimited)
-from ..streaming.sinks import append_stream, clean_stream, read_messages_stream, run_entity_streams
+from ..streaming.landing import land_stream
+from ..streaming.sinks import append_stream, clean_stream, read_messages_stream
+from ..streaming.tables import read_entity_table, run_entity_tables
 
 KEYS = {"pin": "index", "geo": "ind", "user": "ind"}
 SHARDS = 4
@@ -53,10 +55,8 @@ def _stream_clean(entity):
         _land(raw_entities(spark, root, "order")[entity], base, entity)
         messages = read_messages_stream(spark, "text", topic_path(base, entity),
                                         options={"maxFilesPerTrigger": "16"})
-        queries = run_entity_streams(spark, {entity: messages}, f"{base}/tables",
-                                     trigger={"availableNow": True})
-        _finish(queries)
-        return spark.read.parquet(f"{base}/tables/{entity}")
+        _finish(run_entity_tables(spark, {entity: messages}, f"{base}/tables", trigger={"availableNow": True}))
+        return read_entity_table(spark, f"{base}/tables", entity)
     return run
 
 
@@ -69,8 +69,8 @@ def streamed_top_user_by_country(spark, root):
     for entity in raw:
         _land(raw[entity], base, entity)
     sources = {entity: read_messages_stream(spark, "text", topic_path(base, entity)) for entity in raw}
-    _finish(run_entity_streams(spark, sources, f"{base}/tables", trigger={"availableNow": True}))
-    tables = {entity: spark.read.parquet(f"{base}/tables/{entity}") for entity in raw}
+    _finish(run_entity_tables(spark, sources, f"{base}/tables", trigger={"availableNow": True}))
+    tables = {entity: read_entity_table(spark, f"{base}/tables", entity) for entity in raw}
     return _answer_rows({"top_user_by_country": plans.top_user_by_country(tables["pin"], tables["geo"]),
                          "median_followers_by_age_group": plans.median_followers_by_age_group(
                              tables["pin"], tables["geo"], tables["user"])})
@@ -119,8 +119,8 @@ def _faulty(streamed, rejects):
                 return topic_rejects(spark, base, "geo", LOCATION_RAW)
             return clean_locations(read_topic(spark, base, "geo", LOCATION_RAW))
         source = read_messages_stream(spark, "text", topic_path(base, "geo"))
-        _finish(run_entity_streams(spark, {"geo": source}, f"{base}/tables", trigger={"availableNow": True}))
-        return spark.read.parquet(f"{base}/tables/{'_rejects/' if rejects else ''}geo")
+        _finish(run_entity_tables(spark, {"geo": source}, f"{base}/tables", trigger={"availableNow": True}))
+        return read_entity_table(spark, f"{base}/tables", "geo", "rejects" if rejects else "clean")
     return run
 
 
@@ -134,19 +134,42 @@ def stream_binary_envelope(spark, root):
      .write.parquet(f"{base}/in"))
     envelopes = read_messages_stream(spark, "parquet", f"{base}/in",
                                      schema=spark.read.parquet(f"{base}/in").schema)
-    queries = run_entity_streams(spark, {"user": envelopes}, f"{base}/tables",
-                                 trigger={"availableNow": True}, payload="data")
-    _finish(queries)
-    return spark.read.parquet(f"{base}/tables/user")
+    _finish(run_entity_tables(spark, {"user": envelopes}, f"{base}/tables", trigger={"availableNow": True}, payload="data"))
+    return read_entity_table(spark, f"{base}/tables", "user")
+
+
+def _landed_keys(spark, base):
+    messages = select_topics(read_landed(spark, base), r"^(pin|geo|user)$")
+    key = F.coalesce(F.get_json_object("value", "$.ind"), F.get_json_object("value", "$.index"))
+    return messages.select("topic", key.alias("key"), F.col("partition").cast("int").alias("partition"))
 
 
 def landed_topics(spark, root):
     base = fresh_dir(spark, "landed")
     for entity, raw in raw_entities(spark, root, "order").items():
         _land(raw, base, entity)
-    messages = select_topics(read_landed(spark, base), r"^(pin|geo|user)$")
-    key = F.coalesce(F.get_json_object("value", "$.ind"), F.get_json_object("value", "$.index"))
-    return messages.select("topic", key.alias("key"), F.col("partition").cast("int").alias("partition"))
+    return _landed_keys(spark, base)
+
+
+def _land_as_stream(spark, root, base):
+    """The three entities as one message stream that lands them; the stream is restarted after each entity."""
+    for entity, raw in raw_entities(spark, root, "order").items():
+        messages = encode_messages(raw, topic=entity, key=KEYS[entity])
+        messages.write.mode("append").parquet(f"{base}/in")
+        stream = read_messages_stream(spark, "parquet", f"{base}/in", schema=messages.schema)
+        _finish({entity: land_stream(stream, f"{base}/landed", f"{base}/checkpoint", partitions=SHARDS, hash="md5",
+                                     trigger={"availableNow": True})})
+    return f"{base}/landed"
+
+
+def stream_landed_topics(spark, root):
+    """K3 on streams: every message's topic, key and shard folder, read through the stream's commit log."""
+    return _landed_keys(spark, _land_as_stream(spark, root, fresh_dir(spark, "stream-landed")))
+
+
+def stream_landed_posts(spark, root):
+    """The posts of a topic that a stream landed, read as a batch topic and cleaned."""
+    return clean_posts(read_topic(spark, _land_as_stream(spark, root, fresh_dir(spark, "stream-landed")), "pin", POST_RAW))
 
 
 def compacted_topic_posts(spark, root):
@@ -219,6 +242,8 @@ STREAM_QUERIES = {
     "stream_clean_locations": _stream_clean("geo"),
     "stream_clean_users": _stream_clean("user"),
     "landed_topics": landed_topics,
+    "stream_landed_topics": stream_landed_topics,
+    "stream_landed_posts": stream_landed_posts,
     "read_topic_posts": read_topic_posts,
     "compacted_topic_posts": compacted_topic_posts,
     "read_delimited_roundtrip": read_delimited_roundtrip,

@@ -104,43 +104,43 @@ def with_year(df: DataFrame, ts: str, out: str) -> DataFrame:
 def clean_posts(df: DataFrame, count_mode: str = "digits", placeholders: Iterable[str] = ("",),
                 suffixes: Mapping[str, int] = DEFAULT_SUFFIXES,
                 error_values: Iterable[str] = DEFAULT_ERROR_VALUES,
-                prefix: str = SAVE_LOCATION_PREFIX) -> DataFrame:
-    """Raw post records to the post contract.
+                prefix: str = SAVE_LOCATION_PREFIX, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw post records to the post contract (C13); ``keep`` lists input columns carried along as they are.
 
     Placeholders to NULL, follower counts parsed, ``index`` cast and renamed
     ``ind``, save-location prefix removed, fixed column order. ``downloaded``
     is not part of the contract and is never read.
     """
-    df = null_placeholders(df, placeholders)
+    df = null_placeholders(df, placeholders, cols=[c for c in df.columns if c not in keep])
     return df.select(
         F.col("index").try_cast("bigint").alias("ind"),
         "unique_id", "title", "description",
         parse_count("follower_count", suffixes, error_values, count_mode).alias("follower_count"),
         "poster_name", "tag_list", "is_image_or_video", "image_src",
         without_prefix("save_location", prefix).alias("save_location"),
-        "category",
+        "category", *keep,
     )
 
 
-def clean_locations(df: DataFrame, ts_format: str | None = MESSAGE_TS_FORMAT) -> DataFrame:
+def clean_locations(df: DataFrame, ts_format: str | None = MESSAGE_TS_FORMAT, keep: Sequence[str] = ()) -> DataFrame:
     """Raw location records to the location contract (C14); ``ts_format`` as in
-    :func:`postlytics.functions.to_ts` (default: the message format only)."""
+    :func:`postlytics.functions.to_ts` (default: the message format only), ``keep`` as in :func:`clean_posts`."""
     return df.select(
         F.col("ind").try_cast("bigint").alias("ind"),
         "country",
         F.array(F.col("latitude").cast("double"), F.col("longitude").cast("double")).alias("coordinates"),
-        _as_timestamp(df, "timestamp", ts_format).alias("timestamp"),
+        _as_timestamp(df, "timestamp", ts_format).alias("timestamp"), *keep,
     )
 
 
-def clean_users(df: DataFrame, ts_format: str | None = MESSAGE_TS_FORMAT) -> DataFrame:
+def clean_users(df: DataFrame, ts_format: str | None = MESSAGE_TS_FORMAT, keep: Sequence[str] = ()) -> DataFrame:
     """Raw user records to the user contract (C15); ``ts_format`` as in
-    :func:`postlytics.functions.to_ts` (default: the message format only)."""
+    :func:`postlytics.functions.to_ts` (default: the message format only), ``keep`` as in :func:`clean_posts`."""
     return df.select(
         F.col("ind").try_cast("bigint").alias("ind"),
         join_names("first_name", "last_name").alias("user_name"),
         F.col("age").try_cast("int").alias("age"),
-        _as_timestamp(df, "date_joined", ts_format).alias("date_joined"),
+        _as_timestamp(df, "date_joined", ts_format).alias("date_joined"), *keep,
     )
 
 

@@ -84,6 +84,17 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path object) of a path in any store the session reaches."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = hadoop_path(spark, path)
+    return fs.exists(hpath)
+
+
 _shipped: set[str] = set()
 
 
@@ -117,8 +128,7 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     root = shared_root(spark)
     if _scratch.get(app) is None or not _scratch[app].startswith(root):
         _scratch[app] = f"{root}/postlytics-{app}-{uuid.uuid4().hex[:8]}"
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch[app])
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs, path = hadoop_path(spark, _scratch[app])
         fs.mkdirs(path)
         fs.deleteOnExit(path)
     return f"{_scratch[app]}/{label}-{uuid.uuid4().hex[:12]}"

@@ -14,6 +14,7 @@ from pyspark.sql.types import StructField, StructType, StringType
 
 from ..functions import MESSAGE_TS_FORMAT
 
+from ..session import path_exists
 from .sampling import key_hash
 
 CORRUPT_COL = "_corrupt_record"
@@ -105,15 +106,28 @@ def shard_of(key: str | Column, n: int, hash: str = "xxhash64") -> Column:
     return F.pmod(key_hash(key, 0, hash), F.lit(n)).cast("int")
 
 
+def landing_rows(messages: DataFrame, partitions: int = 1, hash: str = "xxhash64") -> DataFrame:
+    """(value, topic, partition) rows of a landing, batch or streaming: ``partition`` is the message key's
+    :func:`shard_of` (K6), 0 for messages without a key."""
+    shard = F.when(F.col("key").isNull(), F.lit(0)).otherwise(shard_of("key", partitions, hash))
+    return messages.select("value", "topic", shard.alias("partition"))
+
+
+def stream_landed(spark, root: str) -> bool:
+    """Whether a stream lands topics under ``root``: its commit log then says which files count."""
+    return path_exists(spark, f"{root.rstrip('/')}/topics/_spark_metadata")
+
+
 def land_topics(messages: DataFrame, root: str, partitions: int = 1, mode: str = "append",
                 hash: str = "xxhash64") -> None:
     """Write messages as JSON-lines files under ``<root>/topics/topic=<t>/partition=<p>/`` (K3).
 
-    ``partition`` is the message key's :func:`shard_of` (K6), 0 for messages without a
-    key. One distributed write: every task writes its own rows into the
+    Folders as in :func:`landing_rows`. One distributed write: every task writes its own rows into the
     folders they belong to, so a topic holding most messages is still spread
-    over all tasks.
+    over all tasks. A root that a stream lands in (``streaming.land_stream``) is refused: its
+    readers would not see files beside the stream's commit log.
     """
-    shard = F.when(F.col("key").isNull(), F.lit(0)).otherwise(shard_of("key", partitions, hash))
-    (messages.select("value", "topic", shard.alias("partition"))
+    if stream_landed(messages.sparkSession, root):
+        raise ValueError(f"{root} is landed by a stream; land batches under another root")
+    (landing_rows(messages, partitions, hash)
      .write.mode(mode).partitionBy("topic", "partition").text(f"{root.rstrip('/')}/topics"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .messages import decode_messages, reject_messages
+from .messages import decode_messages, reject_messages, stream_landed
 
 
 def topic_path(root: str, topic: str, layout: str = "hive") -> str:
@@ -19,6 +21,17 @@ def topic_path(root: str, topic: str, layout: str = "hive") -> str:
     raise ValueError("layout must be 'hive' or 'connector'")
 
 
+def topic_lines(spark: SparkSession, root: str, topic: str, layout: str = "hive") -> DataFrame:
+    """Lines of one topic as ``value`` with the ``partition`` folder where there is one.
+
+    A root that a stream lands in is read through the stream's commit log, which leaves out files of
+    a batch that was killed; its folder filter prunes the other topics.
+    """
+    if layout == "hive" and stream_landed(spark, root):
+        return select_topics(read_landed(spark, root), "^" + re.escape(topic) + "$").drop("topic")
+    return spark.read.text(topic_path(root, topic, layout))
+
+
 def read_topic(spark: SparkSession, root: str, topic: str, schema: StructType | None = None,
                layout: str = "hive") -> DataFrame:
     """All JSON records of one topic, every partition folder included.
@@ -27,16 +40,17 @@ def read_topic(spark: SparkSession, root: str, topic: str, schema: StructType |
     fields of a wrong type are NULL, and unreadable lines give no row (both are in
     :func:`topic_rejects`). Without, Spark infers the schema from all lines.
     """
-    path = topic_path(root, topic, layout)
     if schema is not None:
-        return decode_messages(spark.read.text(path), schema, on_bad="readable")
-    df = spark.read.json(path)
+        return decode_messages(topic_lines(spark, root, topic, layout), schema, on_bad="readable")
+    if layout == "hive" and stream_landed(spark, root):
+        raise ValueError("a topic landed by a stream is read with a schema")
+    df = spark.read.json(topic_path(root, topic, layout))
     return df.select(*[c for c in df.columns if c != "partition"])
 
 
 def topic_rejects(spark: SparkSession, root: str, topic: str, schema: StructType, layout: str = "hive") -> DataFrame:
     """Lines of one topic with a fault, as ``(entity, reason, payload)``."""
-    return reject_messages(spark.read.text(topic_path(root, topic, layout)), schema, entity=topic)
+    return reject_messages(topic_lines(spark, root, topic, layout), schema, entity=topic)
 
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
@@ -89,7 +103,7 @@ def compact_topic(spark: SparkSession, root: str, topic: str, out_root: str,
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` whatever the topic's size.
     """
     out = topic_path(out_root, topic, "hive")
-    (spark.read.text(topic_path(root, topic, layout))
+    (topic_lines(spark, root, topic, layout)
      .hint("rebalance", "partition")
      .write.mode(mode).partitionBy("partition").text(out))
     return out

@@ -1,7 +1,9 @@
-"""Structured Streaming: message sources, cleaning on streams, append sinks."""
+"""Structured Streaming: message sources, landing, cleaning on streams, append sinks, entity tables."""
 
+from .landing import land_stream, read_landed_stream
 from .sinks import (append_stream, clean_stream, read_messages_stream, reject_stream,
                     run_entity_streams)
+from .tables import parsed_once, read_entity_table, run_entity_tables, write_batch
 
-__all__ = ["append_stream", "clean_stream", "read_messages_stream", "reject_stream",
-           "run_entity_streams"]
+__all__ = ["append_stream", "clean_stream", "land_stream", "parsed_once", "read_entity_table", "read_landed_stream",
+           "read_messages_stream", "reject_stream", "run_entity_streams", "run_entity_tables", "write_batch"]

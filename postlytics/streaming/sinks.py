@@ -7,7 +7,7 @@ stream source, the append sink and durable checkpoints.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.clean import CLEANERS
 from ..schemas import SCHEMAS
+from ..session import path_exists
 from ..sources.messages import decode_messages, reject_messages
 
 
@@ -37,40 +38,39 @@ def read_messages_stream(spark: SparkSession, source_format: str = "text", path:
     return reader.load(path) if path is not None else reader.load()
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
-def _has_commits(spark: SparkSession, checkpoint: str) -> bool:
-    return _path_exists(spark, f"{checkpoint.rstrip('/')}/commits")
+def has_started(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether a query has planned a batch with this checkpoint, finished or not."""
+    return path_exists(spark, f"{checkpoint.rstrip('/')}/offsets")
 
 
 def append_stream(df: DataFrame, path: str | None = None, checkpoint: str | None = None,
                   table: str | None = None, sink_format: str = "parquet",
                   trigger: Mapping[str, object] | None = None,
-                  query_name: str | None = None) -> StreamingQuery:
+                  query_name: str | None = None, partition_by: Sequence[str] = ()) -> StreamingQuery:
     """Append a stream to a folder or a catalog table with a durable checkpoint.
 
     ``checkpoint`` is required and must live on storage that outlives the
     job (D9). A fresh checkpoint on a folder that already holds a file-sink
     log is refused: the sink would skip batch ids it has committed before and
-    silently drop the new rows. ``trigger`` defaults to continuous
-    micro-batches; pass ``{'availableNow': True}`` for catch-up runs.
+    silently drop the new rows. So is one on a table that already has rows, to which the stream would
+    append its whole input again. ``trigger`` defaults to continuous
+    micro-batches; pass ``{'availableNow': True}`` for catch-up runs. ``partition_by`` names folder columns.
     """
     if not checkpoint:
         raise ValueError("a durable checkpoint location is required")
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
     spark = df.sparkSession
-    if path is not None and not _has_commits(spark, checkpoint) \
-            and _path_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
-        raise ValueError(f"{path} already holds a stream's output; reuse its checkpoint "
-                         f"instead of starting a new one")
+    if not has_started(spark, checkpoint):
+        if path is not None and path_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+            raise ValueError(f"{path} already holds a stream's output; reuse its checkpoint "
+                             f"instead of starting a new one")
+        if table is not None and spark.catalog.tableExists(table) and not spark.table(table).isEmpty():
+            raise ValueError(f"table {table} already has rows; reuse its stream's checkpoint or name a new table")
     writer = (df.writeStream.format(sink_format).outputMode("append")
               .option("checkpointLocation", checkpoint))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if trigger:
         writer = writer.trigger(**trigger)
     if query_name:
@@ -96,15 +96,15 @@ def reject_stream(messages: DataFrame, entity: str, payload: str = "value") -> D
 def run_entity_streams(spark: SparkSession, sources: Mapping[str, DataFrame], target_root: str,
                        sink_format: str = "parquet", trigger: Mapping[str, object] | None = None,
                        payload: str = "value", rejects: bool = True) -> dict[str, StreamingQuery]:
-    """One append query per entity (K2): ``sources`` maps entity -> message stream.
+    """Plain file sinks (K2): ``sources`` maps entity -> message stream. See
+    :func:`postlytics.streaming.run_entity_tables` for one query per entity and one parse.
 
     Tables go to ``<target_root>/<entity>``, checkpoints to
     ``<target_root>/_checkpoints/<entity>``. A second query per entity appends
     messages with a fault to ``<target_root>/_rejects/<entity>`` (switch it off with
     ``rejects=False``; the reference appends unreadable ones as empty rows instead). The reject query reads
-    and parses the source a second time; in exchange each output keeps the file
-    sink's exactly-once log (a single ``foreachBatch`` split would parse once but
-    lose it). Queries run concurrently; the caller waits with
+    and parses the source a second time; in exchange each output is a folder that any
+    reader takes with the file sink's own log. Queries run concurrently; the caller waits with
     ``awaitTermination`` or ``spark.streams.awaitAnyTermination``.
     """
     root = target_root.rstrip("/")
