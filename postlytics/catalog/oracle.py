@@ -385,4 +385,5 @@ SELECT country, category, count(*) AS category_count FROM g JOIN p ON g.ind = p.
 ORACLE["distinct_posts"] = _raw(
     'SELECT DISTINCT "index", category, poster_name FROM raw_pin', family="customer")
 ORACLE["batch_from_topics"] = _answer_rows(_REPORTED, _DAILY)
+ORACLE["incremental_from_topics"] = ORACLE["batch_from_topics"]
 ORACLE["stream_binary_envelope"] = ORACLE["clean_users"]

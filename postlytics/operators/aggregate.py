@@ -39,36 +39,43 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def exact_lower_median(df: DataFrame, by: Sequence[str], col: str, out: str = "median",
-                       accuracy: int = BRACKET_ACCURACY) -> DataFrame:
+                       accuracy: int = BRACKET_ACCURACY, bracket: DataFrame | None = None) -> DataFrame:
     """Smallest value whose cumulative share in its group reaches one half.
 
     A function of the data alone, whatever the partitioning:
 
     1. one sketch per group gives two values that enclose the median (they lie
        3 / accuracy of the group below and above its middle, three times the sketch's error);
-    2. a second pass counts the rows below the bracket and, per value, the rows inside,
-       with a map-side combine; rows above are dropped before the shuffle;
+       stored sketches give them without this pass (``bracket``: by, __lo, __hi, see
+       :func:`postlytics.operators.sketches.brackets_from`);
+    2. a pass counts the rows below the bracket, the rows above or NULL and, per value, the rows
+       inside, with a map-side combine: a task sends a few rows a group and the values inside;
     3. the few values inside are ranked per group.
 
-    No task sees more of a group than the sketch and about 6 / accuracy of its distinct values.
+    The sketch is used once and the groups come from the counts, so the input is read twice (once
+    with ``bracket``). No task sees more of a group than the sketch and about 6 / accuracy of its distinct values.
     """
     keys, value = list(by), F.col(col)
     rows = df.select(*keys, col)
-    sketch = rows.groupBy(*keys).agg(
-        F.count(col).alias("__n"),
-        F.percentile_approx(col, max(0.0, 0.5 - 3 / accuracy), accuracy).alias("__lo"),
-        F.percentile_approx(col, min(1.0, 0.5 + 3 / accuracy), accuracy).alias("__hi"))
-    placed = _null_safe_join(rows, sketch, keys, "inner").where(value <= F.col("__hi"))
-    inside = F.when(value >= F.col("__lo"), value).alias("__value")
-    counts = placed.groupBy(*keys, inside).agg(F.count(F.lit(1)).alias("__rows"), F.first("__n").alias("__n"))
-    so_far = F.sum("__rows").over(Window.partitionBy(*keys).orderBy(F.col("__value").asc_nulls_first())
-                                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    reached = counts.withColumn("__cum", so_far).where(F.col("__cum") * 2 >= F.col("__n"))
-    # a NULL here is the rows below the bracket reaching the middle: the sketch broke its bound
-    first = reached.groupBy(*keys).agg(F.min("__value").alias("__first"), F.count_if(F.col("__value").isNull()).alias("__missed"))
-    answer = _null_safe_join(sketch.select(*keys, "__n"), first, keys, "left")
-    broken = (F.col("__n") > 0) & (F.col("__first").isNull() | (F.col("__missed") > 0))
-    checked = F.when(broken, F.raise_error(F.lit("the median lies outside its bracket"))).otherwise(F.col("__first"))
+    if bracket is None:
+        bracket = rows.groupBy(*keys).agg(
+            F.percentile_approx(col, max(0.0, 0.5 - 3 / accuracy), accuracy).alias("__lo"),
+            F.percentile_approx(col, min(1.0, 0.5 + 3 / accuracy), accuracy).alias("__hi"))
+    lo, hi = F.col("__lo"), F.col("__hi")
+    zone = (F.when(value.isNull(), 3).when(value < lo, 0).when(value <= hi, 1).otherwise(2)).alias("__zone")
+    # a group that its bracket table lacks has no bounds: its values fall in zone 2 and raise below
+    placed = _null_safe_join(rows, bracket, keys, "left").select(
+        *keys, zone, F.when(value.between(lo, hi), value).alias("__value"))
+    counts = placed.groupBy(*keys, "__zone", "__value").agg(F.count(F.lit(1)).alias("__rows"))
+    group = Window.partitionBy(*keys)
+    so_far = F.sum("__rows").over(group.orderBy("__zone", "__value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    total = F.sum(F.when(F.col("__zone") < 3, F.col("__rows"))).over(group)
+    ranked = counts.select(*keys, "__zone", "__value", so_far.alias("__cum"), total.alias("__n"))
+    # the lower median is the first row that reaches the middle; outside zone 1 the sketch broke its bound
+    first = F.min(F.when((F.col("__zone") < 3) & (F.col("__cum") * 2 >= F.col("__n")), F.struct("__zone", "__value")))
+    answer = ranked.groupBy(*keys).agg(first.alias("__first"))
+    broken = F.col("__first.__zone") != 1
+    checked = F.when(broken, F.raise_error(F.lit("the median lies outside its bracket"))).otherwise(F.col("__first.__value"))
     return answer.select(*keys, checked.alias(out))
 
 

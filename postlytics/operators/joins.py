@@ -28,7 +28,8 @@ def merged_sketch(sketch: Column | str, tracked: int = TRACKED) -> Column:
 def hot_keys_of(sketches: DataFrame, sketch: str, rows: int, share: int = HOT_SHARE) -> list:
     """Keys that hold over 1 / ``share`` of ``rows`` rows by the merged sketches: fewer than ``share``
     keys, whatever the input. They steer plans and never decide results."""
-    found = (sketches.agg(merged_sketch(sketch).alias("s"))
+    # grouped by a constant: a task without sketches then has no state to hand over
+    found = (sketches.groupBy(F.lit(1).alias("__all")).agg(merged_sketch(sketch).alias("s"))
              .select(F.explode(F.call_function("approx_top_k_estimate", F.col("s"), F.lit(share))).alias("i")).select("i.*"))
     return sorted(r.item for r in found.where(F.col("item").isNotNull() & (F.col("count") * share > rows)).collect())
 

@@ -17,6 +17,8 @@ from per-key counts (``pair_counts``) or per-key best rows
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,15 +27,19 @@ from ..operators.aggregate import median_by_group
 from ..operators.joins import pair_counts
 from ..operators.rank import top_joined_per_key, top_n_per_group
 
+
 def _by_count():
     return [F.col("category_count").desc(), F.col("category").asc_nulls_last()]
 
 
-def top_category_by_country(pins: DataFrame, locations: DataFrame) -> DataFrame:
-    """Q1: most popular category in each country."""
-    counts = pair_counts(locations, pins, "ind", ["country"], ["category"], out="category_count")
-    return (top_n_per_group(counts, "country", _by_count())
-            .select("country", "category", "category_count").orderBy("country"))
+def top_category(counts: DataFrame, by: str) -> DataFrame:
+    """The category with the highest count in each group of ``by`` (W1, W2), from (by, category, category_count) rows."""
+    return top_n_per_group(counts, by, _by_count()).select(by, "category", "category_count").orderBy(by)
+
+
+def top_category_by_country(pins: DataFrame, locations: DataFrame, hot_keys: Sequence | None = None) -> DataFrame:
+    """Q1: most popular category in each country. ``hot_keys`` as in :func:`pair_counts`."""
+    return top_category(pair_counts(locations, pins, "ind", ["country"], ["category"], "category_count", hot_keys), "country")
 
 
 def category_counts(pins: DataFrame, locations: DataFrame) -> DataFrame:
@@ -42,13 +48,11 @@ def category_counts(pins: DataFrame, locations: DataFrame) -> DataFrame:
 
 
 def top_category_by_year(pins: DataFrame, locations: DataFrame,
-                         first_year: int = 2018, last_year: int = 2022) -> DataFrame:
+                         first_year: int = 2018, last_year: int = 2022, hot_keys: Sequence | None = None) -> DataFrame:
     """Q2: most popular category per post year, both bounds included."""
     years = (locations.select("ind", F.year("timestamp").alias("post_year"))
              .filter(F.col("post_year").between(first_year, last_year)))
-    counts = pair_counts(years, pins, "ind", ["post_year"], ["category"], out="category_count")
-    return (top_n_per_group(counts, "post_year", _by_count())
-            .select("post_year", "category", "category_count").orderBy("post_year"))
+    return top_category(pair_counts(years, pins, "ind", ["post_year"], ["category"], "category_count", hot_keys), "post_year")
 
 
 def latest_post_per_user(pins: DataFrame, locations: DataFrame) -> DataFrame:
@@ -86,12 +90,10 @@ def top_country_by_followers(pins: DataFrame, locations: DataFrame) -> DataFrame
 
 
 def top_category_by_age_group(pins: DataFrame, users: DataFrame,
-                              bands=DEFAULT_AGE_BANDS) -> DataFrame:
+                              bands=DEFAULT_AGE_BANDS, hot_keys: Sequence | None = None) -> DataFrame:
     """Q5: most popular category per age group, every post counted."""
     groups = users.select("ind", age_band("age", bands).alias("age_group"))
-    counts = pair_counts(groups, pins, "ind", ["age_group"], ["category"], out="category_count")
-    return (top_n_per_group(counts, "age_group", _by_count())
-            .select("age_group", "category", "category_count").orderBy("age_group"))
+    return top_category(pair_counts(groups, pins, "ind", ["age_group"], ["category"], "category_count", hot_keys), "age_group")
 
 
 def users_with_latest_post(pins: DataFrame, locations: DataFrame, users: DataFrame,

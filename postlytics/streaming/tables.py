@@ -9,9 +9,7 @@ A micro-batch is parsed once; its cleaned records and its rejects leave in one w
 The batch counts from the moment its commit file exists, which is created after the write.
 A batch that was killed leaves an attempt without a commit, which no reader sees; a batch that Spark
 repeats after its commit (the checkpoint lagged behind) finds the commit and writes nothing. So
-every row is there once, with any store that creates a file in one step.
-
-Readers name the committed attempts: one listing of the commit folder, one entry a batch.
+every row is there once, with any store that creates a file in one step (``sources.commits``).
 """
 
 from __future__ import annotations
@@ -26,7 +24,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.clean import CLEANERS
 from ..schemas import CLEAN_SCHEMAS, SCHEMAS
-from ..session import hadoop_path, path_exists
+from ..session import path_exists
+from ..sources.commits import attempt_path, commit, committed, is_committed
 from ..sources.messages import BAD_COL, UNREADABLE, decode_messages
 from .sinks import has_started
 
@@ -53,42 +52,15 @@ def parsed_once(messages: DataFrame, entity: str, payload: str = "value", **clea
                        F.when(reject, F.col("__payload")).alias("payload"), "kind")
 
 
-def _committed(spark: SparkSession, table: str) -> dict[int, str]:
-    """Attempt of every committed batch: one listing."""
-    fs, folder = hadoop_path(spark, f"{table}/commits")
-    if not fs.exists(folder):
-        return {}
-    out: dict[int, str] = {}
-    for status in fs.listStatus(folder):
-        batch, _, attempt = status.getPath().getName().partition("-")
-        if int(batch) in out:
-            raise ValueError(f"batch {batch} of {table} was committed twice; two queries write this table")
-        out[int(batch)] = attempt
-    return out
-
-
-def _commit(spark: SparkSession, table: str, batch: int, attempt: str) -> None:
-    fs, path = hadoop_path(spark, f"{table}/commits/{batch:012d}-{attempt}")
-    if not fs.createNewFile(path):
-        raise ValueError(f"{path} exists")
-
-
-def _attempt_path(table: str, batch: int, attempt: str) -> str:
-    return f"{table}/data/batch={batch}/attempt={attempt}"
-
-
 def write_batch(rows: DataFrame, batch: int, table: str) -> bool:
     """Write and commit one batch; False if it was committed before. Streams call it, and so may a
     batch job with ids of its own."""
     spark = rows.sparkSession
-    fs, folder = hadoop_path(spark, f"{table}/commits")
-    done = fs.globStatus(hadoop_path(spark, f"{table}/commits/{batch:012d}-*")[1])
-    if done is not None and len(done):
+    if is_committed(spark, table, batch):
         return False
     attempt = uuid.uuid4().hex
-    rows.write.partitionBy("kind").parquet(_attempt_path(table, batch, attempt))
-    fs.mkdirs(folder)
-    _commit(spark, table, batch, attempt)
+    rows.write.partitionBy("kind").parquet(attempt_path(table, batch, attempt))
+    commit(spark, table, batch, attempt)
     return True
 
 
@@ -114,14 +86,15 @@ def run_entity_tables(spark: SparkSession, sources: Mapping[str, DataFrame], tar
 
 
 def read_entity_table(spark: SparkSession, target_root: str, entity: str, kind: str = CLEAN,
-                      since: int = -1) -> DataFrame:
+                      since: int = -1, upto: int | None = None) -> DataFrame:
     """Committed rows of one entity: its cleaned records, or with ``kind='rejects'`` its faulty
-    messages as (entity, reason, payload). ``since`` leaves out batches up to that id."""
+    messages as (entity, reason, payload). Only batches after ``since`` and up to ``upto`` are read."""
     if kind not in (CLEAN, REJECTS):
         raise ValueError("kind must be 'clean' or 'rejects'")
     table = f"{target_root.rstrip('/')}/{entity}"
     fields = REJECT_FIELDS if kind == REJECTS else CLEAN_SCHEMAS[entity].fields
-    paths = [_attempt_path(table, batch, attempt) for batch, attempt in sorted(_committed(spark, table).items()) if batch > since]
+    paths = [attempt_path(table, batch, attempt) for batch, attempt in committed(spark, table).items()
+             if batch > since and (upto is None or batch <= upto)]
     names = [f.name for f in fields]
     if not paths:
         return spark.createDataFrame([], StructType(fields))

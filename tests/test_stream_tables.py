@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from postlytics.operators import clean_locations, clean_posts
 from postlytics.schemas import LOCATION_RAW, POST_RAW
-from postlytics.session import fresh_dir, path_exists
+from postlytics.session import fresh_dir, hadoop_path, path_exists
 from postlytics.sources import (encode_messages, land_topics, raw_entities, raw_posts, read_landed, read_topic, topic_path,
                                 topic_rejects)
 from postlytics.streaming import (append_stream, clean_stream, land_stream, read_entity_table, read_landed_stream,
@@ -121,15 +121,15 @@ def test_messages_are_parsed_once(spark):
 def test_a_killed_batch_and_a_repeated_batch_add_no_row_twice(spark, monkeypatch):
     base = fresh_dir(spark, "test-killed")
     put(spark, base, GEO[:2])
-    commit = tables._commit
+    commit = tables.commit
 
     def killed(*args):
         raise RuntimeError("killed between write and commit")
-    monkeypatch.setattr(tables, "_commit", killed)
+    monkeypatch.setattr(tables, "commit", killed)
     with pytest.raises(Exception, match="killed between"):
         run(spark, base)
     assert read_entity_table(spark, f"{base}/tables", "geo").count() == 0  # the attempt doesn't count
-    monkeypatch.setattr(tables, "_commit", commit)
+    monkeypatch.setattr(tables, "commit", commit)
     run(spark, base)  # Spark repeats the batch with its id
     assert [r.country for r in read_entity_table(spark, f"{base}/tables", "geo").collect()] == ["Peru"]
     put(spark, base, GEO[2:])
@@ -137,10 +137,10 @@ def test_a_killed_batch_and_a_repeated_batch_add_no_row_twice(spark, monkeypatch
     expect = [("Chile",), (None,), ("Peru",)]
     assert ordered(read_entity_table(spark, f"{base}/tables", "geo").select(F.expr("nullif(country, '')"))) == sorted(expect, key=str)
     # the checkpoint forgot a finished batch: it runs again and finds its commit
-    fs, path = tables.hadoop_path(spark, f"{base}/tables/_checkpoints/geo/commits")
+    fs, path = hadoop_path(spark, f"{base}/tables/_checkpoints/geo/commits")
     last = max(int(s.getPath().getName()) for s in fs.listStatus(path) if s.getPath().getName().isdigit())
     for name in (str(last), f".{last}.crc"):
-        fs.delete(tables.hadoop_path(spark, f"{base}/tables/_checkpoints/geo/commits/{name}")[1], False)
+        fs.delete(hadoop_path(spark, f"{base}/tables/_checkpoints/geo/commits/{name}")[1], False)
     run(spark, base)
     assert read_entity_table(spark, f"{base}/tables", "geo").count() == 3
     assert read_entity_table(spark, f"{base}/tables", "geo", "rejects").count() == 3
@@ -156,7 +156,7 @@ def test_write_batch_is_idempotent_and_guarded(spark):
     source = read_messages_stream(spark, "text", f"{base}/in")
     with pytest.raises(ValueError):  # commits without their checkpoint
         run_entity_tables(spark, {"geo": source}, base, trigger=NOW)
-    tables._commit(spark, f"{base}/geo", 7, "other")
+    tables.commit(spark, f"{base}/geo", 7, "other")
     with pytest.raises(ValueError):
         read_entity_table(spark, base, "geo")
 
