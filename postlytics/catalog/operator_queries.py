@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions import age_band, count_multiplier, digit_pattern, join_names, parse_count, to_ts
-from ..operators.aggregate import DEFAULT_ACCURACY, distinct_count_by_group, median_by_group
+from ..operators.aggregate import DEFAULT_ACCURACY, distinct_count_by_group, exact_lower_median, median_by_group
 from ..operators.clean import (cast_columns, clean_posts, clean_users, null_placeholders,
                                pack_coordinates, parse_timestamp, strip_prefix)
 from ..operators.profile import (crosstab_counts, distinct_profile, load_profile, pattern_profile,
                                  reject_counts, sample_per_group)
+from ..operators.offsets import build_offset_index
 from ..operators.rank import dedupe_records, latest_per_key, rows_at_offset, top_n_per_group
+from ..operators.sketches import (brackets_from, distinct_from, distinct_sketches, merge_distinct_sketches, merge_quantile_sketches,
+                                  quantile_sketches, quantiles_from)
 from ..schemas import USER_CLEAN
+from ..session import fresh_dir
 from ..sources.bindings import raw_entities, raw_locations, raw_posts, raw_users, read_table
 from ..sources.messages import assign_shard, decode_messages, encode_messages
-from ..sources.sampling import sample_aligned
+from ..sources.sampling import sample_aligned, sample_keys
 from ..sources.views import sql_over
 from .. import plans
-from .queries import entities
+from .queries import JOIN_YEARS, entities
 
 
 def parse_count_digits(spark, root):
@@ -139,6 +143,77 @@ def rows_at_offset_events(spark, root):
     return rows_at_offset(events, "event_id", offset=100, n=5)
 
 
+def rows_at_many_offsets_events(spark, root):
+    """A hundred offsets of one index, some beyond a small table's end, two rows each."""
+    events = read_table(spark, root, "events").select("event_id", "user_id", "event_type")
+    return build_offset_index(events, "event_id").rows([i * 97 for i in range(100)], n=2)
+
+
+def _halves(df, key):
+    """Two days' worth of rows, for sketches that are stored apart and merged."""
+    return [df.where(F.pmod(F.col(key), F.lit(2)) == day) for day in (0, 1)]
+
+
+def _stored_price_sketches(spark, root):
+    path = fresh_dir(spark, "price-sketches")
+    for items in _halves(read_table(spark, root, "lineitem").select("l_orderkey", "l_returnflag", "l_extendedprice"), "l_orderkey"):
+        quantile_sketches(items, ["l_returnflag"], "l_extendedprice").write.mode("append").parquet(path)
+    return merge_quantile_sketches(spark.read.parquet(path), ["l_returnflag"], DoubleType())
+
+
+def median_merged_sketch_by_flag(spark, root):
+    """Merged sketches of two halves: the rows they hold, and whether their median is within 0.5 % of the middle."""
+    items = read_table(spark, root, "lineitem").select("l_returnflag", "l_extendedprice")
+    rough = quantiles_from(_stored_price_sketches(spark, root), ["l_returnflag"], DoubleType())
+    value, n = F.col("l_extendedprice"), F.col("n")
+    ranks = items.join(rough, "l_returnflag").groupBy("l_returnflag", "n").agg(
+        F.count_if(value < F.col("median")).alias("below"), F.count_if(value <= F.col("median")).alias("up_to"))
+    near = (F.col("below") <= 0.505 * n) & (F.col("up_to") >= 0.495 * n)
+    return ranks.select("l_returnflag", "n", near.alias("within_error"))
+
+
+def median_exact_from_sketches(spark, root):
+    """Exact medians in one pass over the rows: stored sketches give the brackets."""
+    items = read_table(spark, root, "lineitem").select("l_returnflag", "l_extendedprice")
+    brackets = brackets_from(_stored_price_sketches(spark, root), ["l_returnflag"], DoubleType())
+    return exact_lower_median(items, ["l_returnflag"], "l_extendedprice", "median_price", bracket=brackets)
+
+
+def _within(exact, rough, by, name, share):
+    near = F.abs(F.col("estimate") - F.col(name)) <= share * F.col(name)
+    return exact.join(rough, by).select(by, name, near.alias("within_error"))
+
+
+def distinct_posters_merged_sketch(spark, root):
+    """Posters per category from merged sketches of two halves, beside the exact number."""
+    posts = raw_posts(spark, root, "customer").select(F.col("index").cast("bigint").alias("ind"), "category", "poster_name")
+    path = fresh_dir(spark, "poster-sketches")
+    for half in _halves(posts, "ind"):
+        distinct_sketches(half, ["category"], "poster_name").write.mode("append").parquet(path)
+    rough = distinct_from(merge_distinct_sketches(spark.read.parquet(path), ["category"]), ["category"])
+    return _within(distinct_count_by_group(posts, ["category"], "poster_name", out="posters"), rough, "category", "posters", 0.04)
+
+
+def users_joined_by_year_sketch(spark, root):
+    """Q7 from merged sketches of two halves of the users, beside the exact number."""
+    _, _, users = entities(spark, root, "customer")
+    years = users.select("ind", F.year("date_joined").alias("year_joined")).where(F.col("year_joined").between(*JOIN_YEARS))
+    path = fresh_dir(spark, "user-sketches")
+    for half in _halves(years, "ind"):
+        distinct_sketches(half, ["year_joined"], "ind").write.mode("append").parquet(path)
+    rough = distinct_from(merge_distinct_sketches(spark.read.parquet(path), ["year_joined"]), ["year_joined"])
+    return _within(plans.users_joined_by_year(users, *JOIN_YEARS), rough, "year_joined", "number_users_joined", 0.04)
+
+
+def aligned_keys(spark, root):
+    """Exactly 300 users, the same among posts and accounts, with their number of rows in both."""
+    raw = raw_entities(spark, root, "customer")
+    kept = sample_keys({"pin": raw["pin"], "user": raw["user"]}, {"pin": "index", "user": "ind"}, k=300, seed=7, hash="md5")
+    posts = kept["pin"].groupBy(F.col("index").alias("ind")).agg(F.count(F.lit(1)).alias("posts"))
+    users = kept["user"].groupBy("ind").agg(F.count(F.lit(1)).alias("users"))
+    return posts.join(users, "ind", "full")
+
+
 def decode_event_props(spark, root):
     events = read_table(spark, root, "events").select("event_id", "props")
     props = StructType([StructField("k", IntegerType(), True)])
@@ -272,6 +347,12 @@ OPERATOR_QUERIES = {
     "latest_event_per_user": latest_event_per_user,
     "top_events_per_user": top_events_per_user,
     "rows_at_offset": rows_at_offset_events,
+    "rows_at_many_offsets": rows_at_many_offsets_events,
+    "median_merged_sketch_by_flag": median_merged_sketch_by_flag,
+    "median_exact_from_sketches": median_exact_from_sketches,
+    "distinct_posters_merged_sketch": distinct_posters_merged_sketch,
+    "users_joined_by_year_sketch": users_joined_by_year_sketch,
+    "aligned_keys": aligned_keys,
     "decode_event_props": decode_event_props,
     "encode_decode_roundtrip": encode_decode_roundtrip,
     "shard_counts": shard_counts,

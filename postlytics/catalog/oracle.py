@@ -346,6 +346,18 @@ ranked AS (
 SELECT age_group, category, category_count FROM ranked WHERE rn = 1""",
 })
 
+ORACLE["aligned_keys"] = _raw(f"""
+, posted AS (SELECT "index" AS ind, count(*) AS posts FROM raw_pin GROUP BY 1),
+joined AS (SELECT ind, count(*) AS users FROM raw_usr GROUP BY 1)
+SELECT ind, posts, users FROM posted JOIN joined USING (ind) ORDER BY {_md5_hash('ind', 7)}, ind LIMIT 300""", family="customer")
+ORACLE["rows_at_many_offsets"] = """
+WITH placed AS (SELECT event_id, user_id, event_type, row_number() OVER (ORDER BY event_id) - 1 AS "offset" FROM events)
+SELECT * FROM placed WHERE "offset" % 97 < 2 AND "offset" < 9700"""
+ORACLE["median_merged_sketch_by_flag"] = "SELECT l_returnflag, count(*) AS n, true AS within_error FROM lineitem GROUP BY 1"
+ORACLE["median_exact_from_sketches"] = ORACLE["median_exact_by_flag"]
+ORACLE["distinct_posters_merged_sketch"] = _raw(
+    "SELECT category, count(DISTINCT poster_name) AS posters, true AS within_error FROM raw_pin GROUP BY 1", family="customer")
+ORACLE["users_joined_by_year_sketch"] = f"SELECT *, true AS within_error FROM ({ORACLE['users_joined_by_year']})"
 ORACLE["landed_topics"] = _raw(" UNION ALL ".join(
     f"SELECT '{topic}' AS topic, \"{key}\" AS key, CAST({_md5_hash(chr(34) + key + chr(34), 0)} % 4 AS INTEGER) AS partition "
     f"FROM {source}" for topic, key, source in (("pin", "index", "raw_pin"), ("geo", "ind", "raw_geo"), ("user", "ind", "raw_usr"))))
@@ -374,6 +386,8 @@ SELECT 'geo' AS entity, CASE WHEN unreadable THEN 'unreadable' ELSE 'wrong type'
     || '","latitude":"north","longitude":' || CAST(longitude AS VARCHAR) || ',"timestamp":"' || "timestamp" || '"}' END AS payload
 FROM faulty WHERE unreadable OR wrong_type"""
 ORACLE["streamed_top_user_by_country"] = _answer_rows(["top_user_by_country", "median_followers_by_age_group"], ORACLE)
+ORACLE["streamed_latest_posts"] = ORACLE["streamed_top_user_by_country"]
+ORACLE["stream_distinct_posts"] = ORACLE["clean_posts"]
 ORACLE["compacted_topic_posts"] = ORACLE["clean_posts"]
 
 ORACLE["category_counts_latest_only"] = f"""WITH {entities_sql('customer')},

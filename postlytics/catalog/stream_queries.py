@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.clean import clean_locations, clean_posts
+from ..operators.clean import clean_locations, clean_posts, clean_users
 from ..schemas import LOCATION_RAW, POST_RAW, USER_RAW
 from ..session import fresh_dir
 from ..sources.bindings import raw_entities, raw_posts, raw_users
@@ -18,6 +18,7 @@ from ..sources.topics import (compact_topic, read_delimited, read_landed, read_t
                               topic_rejects, write_delimited)
 from ..streaming.landing import land_stream
 from ..streaming.sinks import append_stream, clean_stream, read_messages_stream
+from ..streaming.state import BEST_POST, LATEST_LOCATION, distinct_messages, read_best_per_key, run_best_per_key
 from ..streaming.tables import read_entity_table, run_entity_tables
 
 KEYS = {"pin": "index", "geo": "ind", "user": "ind"}
@@ -246,6 +247,39 @@ def incremental_from_topics(spark, root):
     return _answer_rows({name: spark.read.parquet(path) for name, path in paths.items()})
 
 
+def streamed_latest_posts(spark, root):
+    """Q3 and Q6 over tables of each user's newest location and best post that two streams keep up
+    to date; late rows come in a second run, with every seventh row once more."""
+    from .. import plans
+    base = fresh_dir(spark, "stream-latest")
+    raw = raw_entities(spark, root, "customer")
+    cleaners, orders = {"pin": clean_posts, "geo": clean_locations}, {"pin": BEST_POST, "geo": LATEST_LOCATION}
+    best = {}
+    for late in (False, True):
+        for entity, clean in cleaners.items():
+            mark = F.crc32(F.col("unique_id" if entity == "pin" else "timestamp").cast("binary"))
+            _land(raw[entity].where((mark % 2 == 0) | (mark % 7 == 0) if late else mark % 2 == 1), base, entity)
+            stream = clean_stream(read_messages_stream(spark, "text", topic_path(base, entity)), entity)
+            _finish({entity: run_best_per_key(stream, "ind", orders[entity], f"{base}/best/{entity}",
+                                              f"{base}/checkpoints/{entity}", {"availableNow": True})})
+            best[entity] = read_best_per_key(spark, f"{base}/best/{entity}", "ind", orders[entity], clean(raw[entity]).schema)
+    users = clean_users(raw["user"])
+    return _answer_rows({"top_user_by_country": plans.top_user_by_country(best["pin"], best["geo"]),
+                         "median_followers_by_age_group": plans.median_followers_by_age_group(best["pin"], best["geo"], users)})
+
+
+def stream_distinct_posts(spark, root):
+    """D4 on a stream: the posts' messages land twice, and the stream restarts in between; each is
+    appended once."""
+    base = fresh_dir(spark, "stream-distinct")
+    for _ in range(2):
+        _land(raw_posts(spark, root), base, "pin")
+        messages = distinct_messages(read_messages_stream(spark, "text", topic_path(base, "pin")))
+        _finish({"pin": append_stream(clean_stream(messages, "pin"), path=f"{base}/posts", checkpoint=f"{base}/checkpoint",
+                                      trigger={"availableNow": True})})
+    return spark.read.parquet(f"{base}/posts")
+
+
 STREAM_QUERIES = {
     "stream_to_catalog_table": stream_to_catalog_table,
     "stream_processing_time": stream_processing_time,
@@ -255,6 +289,8 @@ STREAM_QUERIES = {
     "faulty_rejects_stream": _faulty(True, True),
     "stream_binary_envelope": stream_binary_envelope,
     "batch_from_topics": batch_from_topics,
+    "streamed_latest_posts": streamed_latest_posts,
+    "stream_distinct_posts": stream_distinct_posts,
     "incremental_from_topics": incremental_from_topics,
     "streamed_top_user_by_country": streamed_top_user_by_country,
     "batch_report": batch_report,

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import fresh_dir
+from .offsets import build_offset_index
 
 GROUP_LIMIT = 1000  # spark.sql.window.group.limit.threshold: no partial limit beyond it
 SALTS = 32
@@ -70,27 +70,13 @@ def rows_at_offset(df: DataFrame, order: Sequence[Column | str] | Column | str,
                    offset: int, n: int = 1) -> DataFrame:
     """``n`` rows after skipping ``offset`` rows of a total order.
 
-    The rows are range-partitioned on the order and written to the shared folder, slice by
-    slice (this runs when called); counts per slice then tell which slices hold the wanted rows, and only
-    those are read. No task holds ``offset`` rows, and offsets may exceed 32 bits.
+    Builds an index for this one question when called (:mod:`postlytics.operators.offsets`); to ask for
+    many offsets, build it once. No task holds ``offset`` rows, and offsets may exceed 32 bits.
     """
     if offset < 0 or n < 0:
         raise ValueError("offset and n must not be negative")
-    spark = df.sparkSession
-    path = fresh_dir(spark, "slices")
-    (df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *_cols(order))
-     .withColumn("__slice", F.spark_partition_id()).write.parquet(path))
-    sliced = spark.read.parquet(path)
-    counts = sliced.groupBy("__slice").count().orderBy("__slice").collect()  # one row per slice
-    before, skip, wanted = 0, 0, []
-    for row in counts:
-        if before < offset + n and before + row["count"] > offset:
-            if not wanted:
-                skip = offset - before
-            wanted.append(row["__slice"])
-        before += row["count"]
-    rows = sliced.where(F.col("__slice").isin(*wanted) if wanted else F.lit(False)).select(*df.columns)
-    return rows.orderBy(*_cols(order)).offset(max(0, skip)).limit(n)
+    rows = build_offset_index(df, order).rows([offset], n, "__offset")
+    return rows.orderBy("__offset").select(*df.columns)
 
 
 def dedupe_records(df: DataFrame, mode: str = "exact", key: str | None = None,
