@@ -10,7 +10,7 @@ from ..operators.aggregate import DEFAULT_ACCURACY, distinct_count_by_group, exa
 from ..operators.clean import (cast_columns, clean_posts, clean_users, null_placeholders,
                                pack_coordinates, parse_timestamp, strip_prefix)
 from ..operators.profile import (crosstab_counts, distinct_profile, load_profile, pattern_profile,
-                                 reject_counts, sample_per_group)
+                                 reject_counts, sample_per_group, schema_profile)
 from ..operators.offsets import build_offset_index
 from ..operators.rank import dedupe_records, latest_per_key, rows_at_offset, top_n_per_group
 from ..operators.sketches import (brackets_from, distinct_from, distinct_sketches, merge_distinct_sketches, merge_quantile_sketches,
@@ -105,6 +105,12 @@ def load_profile_raw(spark, root):
     return load_profile(raw_entities(spark, root, "order"))
 
 
+def schema_profile_clean(spark, root):
+    """Columns of the three cleaned entities, with the rows that hold a value."""
+    pins, geo, users = entities(spark, root, "customer")
+    return schema_profile({"pin": pins, "geo": geo, "user": users})
+
+
 def sketch_within_error(df, by, col):
     """Per group, whether the sketch's median has a rank within n / accuracy, and one row, of the middle."""
     sketch = median_by_group(df, by, col, method="approx", out="__m")
@@ -342,6 +348,7 @@ OPERATOR_QUERIES = {
     "distinct_profile": distinct_save_locations,
     "distinct_profile_brands": distinct_brands,
     "load_profile": load_profile_raw,
+    "schema_profile": schema_profile_clean,
     "median_sketch_by_flag": median_sketch_by_flag,
     "median_exact_by_flag": median_exact_by_flag,
     "latest_event_per_user": latest_event_per_user,

@@ -358,6 +358,14 @@ ORACLE["median_exact_from_sketches"] = ORACLE["median_exact_by_flag"]
 ORACLE["distinct_posters_merged_sketch"] = _raw(
     "SELECT category, count(DISTINCT poster_name) AS posters, true AS within_error FROM raw_pin GROUP BY 1", family="customer")
 ORACLE["users_joined_by_year_sketch"] = f"SELECT *, true AS within_error FROM ({ORACLE['users_joined_by_year']})"
+_TYPES = {"ind": "bigint", "follower_count": "bigint", "age": "int", "coordinates": "array<double>",
+          "timestamp": "timestamp", "date_joined": "timestamp"}
+_CLEAN = {"pin": ["ind", "unique_id", "title", "description", "follower_count", "poster_name", "tag_list", "is_image_or_video",
+                  "image_src", "save_location", "category"],
+          "geo": ["ind", "country", "coordinates", "timestamp"], "user": ["ind", "user_name", "age", "date_joined"]}
+ORACLE["schema_profile"] = f"WITH {entities_sql('customer')}\n" + " UNION ALL ".join(
+    f"SELECT '{e}' AS entity, {i + 1} AS position, '{c}' AS \"column\", '{_TYPES.get(c, 'string')}' AS type, "
+    f"count(\"{c}\") AS filled FROM {'usr' if e == 'user' else e}" for e, columns in _CLEAN.items() for i, c in enumerate(columns))
 ORACLE["landed_topics"] = _raw(" UNION ALL ".join(
     f"SELECT '{topic}' AS topic, \"{key}\" AS key, CAST({_md5_hash(chr(34) + key + chr(34), 0)} % 4 AS INTEGER) AS partition "
     f"FROM {source}" for topic, key, source in (("pin", "index", "raw_pin"), ("geo", "ind", "raw_geo"), ("user", "ind", "raw_usr"))))

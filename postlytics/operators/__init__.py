@@ -7,7 +7,7 @@ from .clean import (CLEANERS, SAVE_LOCATION_PREFIX, cast_columns, clean_location
 from .joins import hot_keys_of, key_sketch, merged_sketch, pair_counts
 from .offsets import OffsetIndex, build_offset_index, open_offset_index
 from .profile import (crosstab_counts, distinct_profile, load_profile, pattern_profile,
-                      random_order, reject_counts, sample_per_group)
+                      random_order, reject_counts, sample_per_group, schema_profile)
 from .sketches import (brackets_from, common_from, distinct_from, distinct_sketches, merge_distinct_sketches,
                        merge_quantile_sketches, quantile_sketches, quantiles_from)
 from .rank import dedupe_records, latest_per_key, rows_at_offset, top_joined_per_key, top_n_per_group
@@ -18,6 +18,6 @@ __all__ = [
     "clean_posts", "clean_users", "combine_names", "crosstab_counts", "dedupe_records", "distinct_count_by_group",
     "distinct_profile", "hot_keys_of", "key_sketch", "latest_per_key", "load_profile", "median_by_group", "merged_sketch", "null_placeholders",
     "pack_coordinates", "pair_counts", "parse_timestamp", "pattern_profile", "random_order", "reject_counts",
-    "rows_at_offset", "sample_per_group", "strip_prefix", "top_joined_per_key", "top_n_per_group",
+    "rows_at_offset", "sample_per_group", "schema_profile", "strip_prefix", "top_joined_per_key", "top_n_per_group",
     "with_age_group", "with_year",
 ]

@@ -81,6 +81,20 @@ def load_profile(frames: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def schema_profile(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """The schema of every entity with its load (S2): a row per column with its position, type, and
+    the rows that hold a value. One aggregate job per entity, all columns in one pass."""
+    parts = None
+    for name, df in frames.items():
+        counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
+        listed = F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column"),
+                                    F.lit(f.dataType.simpleString()).alias("type"), F.col(f"c{i}").alias("filled"))
+                           for i, f in enumerate(df.schema.fields)])
+        part = counts.select(F.lit(name).alias("entity"), F.explode(listed).alias("c")).select("entity", "c.*")
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
 def reject_counts(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     """Rows matching each named condition, in one pass (D3 reject counts).
 

@@ -3,7 +3,8 @@
 ``top_n_per_group`` uses ``row_number`` plus a filter, the form Catalyst turns
 into a partial ``WindowGroupLimit`` ahead of the shuffle: each map task sends at
 most ``n`` rows per group, so one huge group does not reach a single task whole.
-Spark plans that limit for up to 1000 rows; larger ``n`` are ranked in two stages.
+Spark plans that limit for up to 1000 rows; larger ``n`` are ranked in two stages, first in parts
+whose number follows the counted size of each group.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from .offsets import build_offset_index
 
 GROUP_LIMIT = 1000  # spark.sql.window.group.limit.threshold: no partial limit beyond it
-SALTS = 32
 
 
 def _cols(items: Sequence[Column | str] | str) -> list[Column]:
@@ -37,10 +37,17 @@ def top_n_per_group(df: DataFrame, by: Sequence[Column | str] | str,
         raise ValueError("n must be at least 1")
     rc = rank_col or "__rank"
     if n > GROUP_LIMIT:
-        # first the best n of each of SALTS parts of a group, then of what is left of it
-        parts = df.withColumn("__part", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-        w = Window.partitionBy(*_cols(by), "__part").orderBy(*_cols(order))
-        df = parts.withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n).drop("__part", rc)
+        # first the best n of each part of a group, then of what is left of it
+        keyed = df.withColumns({f"__by{i}": c for i, c in enumerate(_cols(by))})
+        keys = [f"__by{i}" for i in range(len(_cols(by)))]
+        sizes = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
+        sized = keyed.join(sizes.select(*[F.col(k).alias(f"{k}_of") for k in keys], "__size"),
+                           on=[F.col(k).eqNullSafe(F.col(f"{k}_of")) for k in keys])
+        # a group of g rows in sqrt(g / n) parts: a part holds as many rows as come from all parts together
+        parts = F.ceil(F.sqrt(F.col("__size") / n)).cast("int")
+        part = F.pmod(F.hash(F.monotonically_increasing_id()), parts)
+        w = Window.partitionBy(*keys, "__part").orderBy(*_cols(order))
+        df = sized.withColumn("__part", part).withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n).select(*df.columns)
     w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
     out = df.withColumn(rc, F.row_number().over(w)).filter(F.col(rc) <= n)
     return out if rank_col else out.drop(rc)

@@ -78,3 +78,26 @@ def test_no_python_in_question_plans(spark):
                  "users_joined_by_year", "clean_posts"]:
         plan = _plan(QUERIES[name](spark, MEDIUM))
         assert "EvalPython" not in plan and "MapInPandas" not in plan and "FlatMapGroupsInPandas" not in plan, name
+
+
+def test_large_top_n_follows_the_size_of_its_groups(spark):
+    """Groups of very different sizes, NULL groups, map columns: parts come from the counted size."""
+    from pyspark.sql import functions as F
+    from postlytics.operators import top_n_per_group
+    df = spark.range(60_000).selectExpr("case when id % 10 < 7 then 'hot' when id % 10 = 7 then 'cold' end AS g", "id AS v",
+                                        "map('k', id) AS m")
+    top = top_n_per_group(df, "g", [F.col("v").desc()], n=1500, rank_col="place")
+    assert top.columns == ["g", "v", "m", "place"]
+    rows = top.groupBy("g").agg(F.count("*").alias("n"), F.max("v").alias("hi"), F.max("place").alias("p"), F.sum("v").alias("s")).collect()
+    for r in rows:
+        best = sorted((i for i in range(60_000) if (("hot" if i % 10 < 7 else "cold" if i % 10 == 7 else None) == r.g)), reverse=True)[:1500]
+        assert (r.n, r.hi, r.p, r.s) == (1500, best[0], 1500, sum(best))
+    assert len(rows) == 3
+    by_column = top_n_per_group(df, F.upper("g"), [F.col("v").desc()], n=1500)
+    assert by_column.count() == 4500 and by_column.columns == ["g", "v", "m"]
+
+
+def test_distinct_profile_evaluates_its_input_once(spark):
+    df = QUERIES["distinct_profile"](spark, MEDIUM)
+    df.collect()
+    assert "ReusedExchange [value" in _plan(df)  # the total counts the distinct values that the rows come from
