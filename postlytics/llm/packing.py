@@ -245,7 +245,9 @@ def pack_group(lengths: np.ndarray, capacity: int) -> np.ndarray:
 def pack(docs: DataFrame, capacity: int = 4096, largest_piece: int = 1024, group_size: int = 4096,
          end_id: int = 2, tokenizer_file: str | None = None) -> DataFrame:
     """Pack every document: one row per piece with its sequence_id and offset there."""
-    pieces = staged(document_pieces(docs, capacity, largest_piece, end_id, tokenizer_file), "pieces")
+    # a number per piece, written with it, spreads rows that repeat as a whole over the groups too
+    pieces = staged(document_pieces(docs, capacity, largest_piece, end_id, tokenizer_file)
+                    .withColumn("piece", F.monotonically_increasing_id()), "pieces")
     groups = max(1, math.ceil(pieces.count() / group_size))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -257,5 +259,5 @@ def pack(docs: DataFrame, capacity: int = 4096, largest_piece: int = 1024, group
         return rows[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]].astype(
             {"doc_id": "Int64"})
 
-    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups))
-    return pieces.withColumn("g", group).groupBy("g").applyInPandas(run, PACKED)
+    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "piece"), F.lit(groups))
+    return pieces.withColumn("g", group).drop("piece").groupBy("g").applyInPandas(run, PACKED)
