@@ -10,6 +10,7 @@ import weakref
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,10 @@ from postlytics.session import fresh_dir
 # what bytes.split() yields, and what this pattern counts on the JVM side.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+# Scores beyond 64 bits count as these; -LEAST is a 64-bit integer too.
+MOST = (1 << 63) - 1
+LEAST = -MOST
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -114,3 +119,21 @@ class WordCache(dict):
     def trim(self) -> None:
         if len(self) > self.most:
             self.clear()
+
+
+def exact_products(q: np.ndarray, q_norm: np.ndarray, c: np.ndarray, c_norm: np.ndarray) -> np.ndarray:
+    """Exact inner products of integer rows (as float64) as int64, held between LEAST and MOST."""
+    longest = float(q_norm.max())
+    small = longest * c_norm < 2.0 ** 52
+    if small.all():
+        return (q @ c.T).astype(np.int64)
+    out = np.empty((len(q), len(c)), np.int64)
+    out[:, small] = (q @ c[small].T).astype(np.int64)
+    whole = ~small & (longest * c_norm < 2.0 ** 62) & (c_norm < 2.0 ** 62) & (longest < 2.0 ** 62)
+    if whole.any():  # 64-bit sums may wrap on the way, but not in the end
+        out[:, whole] = q.astype(np.int64) @ c[whole].astype(np.int64).T
+    for j in np.flatnonzero(~small & ~whole):
+        other = [int(x) for x in c[j]]
+        for i, row in enumerate(q):
+            out[i, j] = min(MOST, max(LEAST, sum(int(x) * y for x, y in zip(row, other))))
+    return out

@@ -39,11 +39,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import LEAST, MOST, exact_products, staged
 from .topk import best
 
-MOST = (1 << 63) - 1
-LEAST = -MOST
 KEY = struct.Struct(">QQBQ")  # anchor, descending score, kind, id
 POSITIVE, NEGATIVE = 0, 1
 
@@ -75,24 +73,6 @@ def _matrix(packed: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(packed), np.float64).reshape(len(packed), -1)
 
 
-def products(q: np.ndarray, q_norm: np.ndarray, c: np.ndarray, c_norm: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer rows as int64, held at the ends of its range."""
-    longest = float(q_norm.max())
-    small = longest * c_norm < 2.0 ** 52
-    if small.all():
-        return (q @ c.T).astype(np.int64)
-    out = np.empty((len(q), len(c)), np.int64)
-    out[:, small] = (q @ c[small].T).astype(np.int64)
-    whole = ~small & (longest * c_norm < 2.0 ** 62) & (c_norm < 2.0 ** 62) & (longest < 2.0 ** 62)
-    if whole.any():  # 64-bit sums may wrap on the way, but not in the end
-        out[:, whole] = q.astype(np.int64) @ c[whole].astype(np.int64).T
-    for j in np.flatnonzero(~small & ~whole):
-        other = [int(x) for x in c[j]]
-        for i, row in enumerate(q):
-            out[i, j] = min(MOST, max(LEAST, sum(int(x) * y for x, y in zip(row, other))))
-    return out
-
-
 def window(score: int, low: int, high: int) -> tuple[int, int]:
     """Least and largest score s with low * score <= 100 * s <= high * score."""
     return max(LEAST, -(-low * score // 100)), min(MOST, high * score // 100)
@@ -152,7 +132,7 @@ def hard_negatives(vectors: DataFrame, anchor_every: int = 100, positives: int =
         if len(left) and len(right):
             ids, c, c_norm = right["vec_id"].to_numpy(), _matrix(right["vec"]), right["norm"].to_numpy()
             for part in blocks_of(left):
-                scores = products(_matrix(part["vec"]), part["norm"].to_numpy(), c, c_norm)
+                scores = exact_products(_matrix(part["vec"]), part["norm"].to_numpy(), c, c_norm)
                 for a, row in zip(part["vec_id"], scores):
                     ok = np.flatnonzero(ids != a)
                     pick = ok[best(row[ok], ids[ok], positives)]
@@ -184,7 +164,7 @@ def hard_negatives(vectors: DataFrame, anchor_every: int = 100, positives: int =
             ids, own, c, c_norm = (right["vec_id"].to_numpy(), right["label"].to_numpy(), _matrix(right["vec"]),
                                    right["norm"].to_numpy())
             for part in blocks_of(left):
-                scores = products(_matrix(part["vec"]), part["norm"].to_numpy(), c, c_norm)
+                scores = exact_products(_matrix(part["vec"]), part["norm"].to_numpy(), c, c_norm)
                 for a, label, asked, row in zip(part["vec_id"], part["label"], part["scores"], scores):
                     other = np.flatnonzero((own != label) & (ids != a))
                     picked = set()

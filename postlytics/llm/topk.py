@@ -19,7 +19,9 @@ that are null or empty, or hold null or non-finite components, take no part, nor
 do rows without a vec_id; vectors of another length than the query's are no candidates; a
 query's own row is the row of its vec_id. Rows with one and the same vec_id are
 each a candidate; as a query, the one with the smallest vector stands for them. A query with fewer than k candidates returns all; without any, no row.
-Sums of over 2^53 are beyond the exact range and raise an error.
+Where lengths allow products of over 2^53, a bucket's products are taken in 64-bit or Python's
+integers, unpruned; scores beyond 64 bits count as the nearest 64-bit integer. Vectors whose scaled
+components aren't finite take no part.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import exact_products, staged
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
@@ -54,7 +56,7 @@ def integer_vectors(vectors: DataFrame, scale: int = 256) -> DataFrame:
                                              ["vec_id", "dim", "norm", "vec"])
 
     x = F.col("embedding")
-    finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
+    finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e.cast("double") * scale) < F.lit(float("inf"))))
     rows = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & (F.size(x) > 0)).where(finite)
     return rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), x.cast("array<double>").alias("x")).mapInArrow(
         run, "vec_id bigint, dim int, norm double, vec binary")
@@ -110,6 +112,16 @@ def search_block(q_ids, q, q_norm, theta, c_ids, c, c_norm, k: int, high: float
         yield row, ok[pick], scores[pick]
 
 
+def search_large(q_ids, q, q_norm, c_ids, c, c_norm, k: int):
+    """As :func:`search_block` for vectors whose products may exceed 2^53: exact integers, no pruning."""
+    for start in range(0, len(q_ids), 128):
+        part = slice(start, start + 128)
+        for row, scores in enumerate(exact_products(q[part], q_norm[part], c, c_norm), start):
+            ok = np.flatnonzero(c_ids != q_ids[row])
+            pick = ok[best(scores[ok], c_ids[ok], k)]
+            yield row, pick, scores[pick]
+
+
 def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, scale: int = 256, bucket_rows: int = 16384,
           query_rows: int = 2048, seed_rows: int = 1000) -> DataFrame:
     """query_id, rank, vec_id, score of each query's k best."""
@@ -132,7 +144,8 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, scale: int = 25
         if len(left) and len(right):
             right = right.sort_values(["norm", "vec_id"], ascending=[False, True])
             q, c, ids = _matrix(left["vec"]), _matrix(right["vec"]), right["vec_id"].to_numpy()
-            products = q @ c.T
+            # floats of exact integers: at most one step above them, and a threshold may only be too low
+            products = np.nextafter(exact_products(q, left["norm"].to_numpy(), c, right["norm"].to_numpy()).astype(np.float64), -np.inf)
             products[left["vec_id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
             if products.shape[1] >= k:
                 left["theta"] = np.partition(products, products.shape[1] - k, axis=1)[:, products.shape[1] - k]
@@ -154,8 +167,12 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, scale: int = 25
         if len(left) and len(right):
             right = right.sort_values(["norm", "vec_id"], ascending=[False, True])
             q_ids, c_ids = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
-            for row, pick, scores in search_block(q_ids, _matrix(left["vec"]), left["norm"].to_numpy(), left["theta"].to_numpy(),
-                                                  c_ids, _matrix(right["vec"]), right["norm"].to_numpy(), k):
+            q, c, q_norm, c_norm = _matrix(left["vec"]), _matrix(right["vec"]), left["norm"].to_numpy(), right["norm"].to_numpy()
+            if float(q_norm.max()) * float(c_norm.max()) < 2.0 ** 52:
+                found = search_block(q_ids, q, q_norm, left["theta"].to_numpy(), c_ids, c, c_norm, k)
+            else:
+                found = search_large(q_ids, q, q_norm, c_ids, c, c_norm, k)
+            for row, pick, scores in found:
                 out += [(q_ids[row], c_ids[j], int(s)) for j, s in zip(pick, scores)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype="int64")
 

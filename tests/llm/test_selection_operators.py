@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from postlytics.llm import exact_dedup, hard_negatives, target_resampling
+from postlytics.llm.common import LEAST, MOST, exact_products
 
 from .data import SCHEMA, documents, odd_texts
 from .test_vector_operators import SCHEMA as VECTOR_SCHEMA
@@ -183,11 +184,11 @@ def test_products_are_exact_at_every_size():
     for scale in (1e2, 1e9, 1e17, 1e25):
         q, c = (np.floor(rng.normal(size=(5, 6)) * scale) for _ in range(2))
         c[2] = np.floor(rng.normal(size=6) * 10)
-        got = hard_negatives.products(q, np.sqrt((q * q).sum(1)), c, np.sqrt((c * c).sum(1)))
+        got = exact_products(q, np.sqrt((q * q).sum(1)), c, np.sqrt((c * c).sum(1)))
         for i in range(5):
             for j in range(5):
                 exact = sum(int(x) * int(y) for x, y in zip(q[i], c[j]))
-                assert got[i, j] == max(hard_negatives.LEAST, min(hard_negatives.MOST, exact))
+                assert got[i, j] == max(LEAST, min(MOST, exact))
 
 
 def test_packed_keys_sort_like_their_parts():

@@ -50,6 +50,23 @@ def test_top_k_equals_brute_force(spark, vectors):
     assert topk.top_k(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_top_k_of_large_vectors_is_exact(spark):
+    """Components of up to 1e30 beside small ones: products beyond 2^53 are exact, beyond 64 bits held at its ends."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=2).tolist()) for i in range(101)]
+    rows += [(150, [1e10, -3.0]), (200, [7e7, 9e7]), (201, [7e7, 9.1e7]), (202, [-7e7, 9e7]), (250, [1e30, 1.0]), (251, [1e30, -1.0]),
+             (300, [2.5e12, 1.0]), (301, [2.5e12, 2.0])]
+    df = spark.createDataFrame([(i, e, 1, "x", 1, "y", 2) for i, e in rows], SCHEMA).repartition(3)
+    whole = {i: [int(math.floor(256 * x)) for x in single(e)] for i, e in rows}
+    expect, most = [], 2 ** 63 - 1
+    for q in (i for i in whole if i % 50 == 0):
+        scored = sorted((-max(-most, min(most, sum(a * b for a, b in zip(whole[q], whole[i])))), i) for i in whole if i != q)[:5]
+        expect += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scored)]
+    for options in ({}, {"bucket_rows": 16, "query_rows": 1, "seed_rows": 6}):
+        got = [tuple(r) for r in topk.top_k(df, **options).select("query_id", "rank", "vec_id", "score").collect()]
+        assert sorted(got) == sorted(expect)
+
+
 def test_pruning_by_length_and_by_coordinates_is_exact():
     rng = np.random.default_rng(4)
     c = np.floor(rng.normal(size=(600, 16)) * 200 * rng.gamma(1, size=(600, 1)))
