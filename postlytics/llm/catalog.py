@@ -138,7 +138,7 @@ SELECT e.vec_id, coalesce(counted.n, 0) AS n_links, comps.component_id, e.vec_id
 FROM embeddings e JOIN comps ON e.vec_id = comps.v LEFT JOIN counted ON counted.a = e.vec_id""",
     "op3_mix_sources": r"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  SELECT doc_id, text, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 weighed AS (
@@ -156,7 +156,7 @@ targets AS (
 rated AS (
   SELECT doc_id, size, source_size, target,
     CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-    CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+    CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size, source_size, target,
   CAST(least(floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END, 3) AS BIGINT) * size AS taken

@@ -4,7 +4,7 @@ Tokens are counted per document and summed per source; weights give each source
 a target, held at ``most_repeats`` times its size, the excess shared again by
 weight. A source's repetition rate is target / size, and each of its documents is
 taken floor(rate) times plus one copy more with probability equal to the
-fraction, drawn from a hash of (seed, doc_id), so reruns agree.
+fraction, drawn from a hash of (seed, doc_id), without an id of (seed, text), so reruns agree.
 
 The resharing has a closed form. With sources in ascending order of
 cap / weight, sources are held at their caps from the front until the level
@@ -12,9 +12,9 @@ cap / weight, sources are held at their caps from the front until the level
 each source gets min(cap, level * weight).
 
 Defined results: a null text has size 0 and is taken 0 words; a null source is a
-source of its own, after all others; a null doc_id draws like the text 'null'; an
+source of its own, after all others; documents without an id draw by their text; an
 empty table gives no rows; a table without words gives targets of 0. Rows with
-equal ids share one draw. Other columns pass through ``mixed_rows`` unread.
+equal ids share one draw, and so do equal texts without an id. Other columns pass through ``mixed_rows`` unread.
 """
 
 from __future__ import annotations
@@ -61,20 +61,28 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_re
     return per.select("source", "source_size", F.coalesce(target, F.col("cap").cast("double")).alias("target"))
 
 
-def uniform(seed: int, column: str = "doc_id") -> Column:
-    """A number in [0, 1) from the first 32 bits of md5('seed:doc_id')."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(column).cast("string"), F.lit("null")))
+def draw_key() -> Column:
+    """What a document draws by: its id, without one its text."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
+
+
+def uniform(seed: int, column: str) -> Column:
+    """A number in [0, 1) from the first 32 bits of md5('seed:key')."""
+    text = F.concat(F.lit(f"{seed}:"), F.col(column))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
 def with_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_repeats: int = 3,
                 seed: int = 17, broadcast_sources: int = 20_000) -> DataFrame:
-    """``docs`` (doc_id, source, size and anything else) with source_size, target, copies.
+    """``docs`` (doc_id, source, size and anything else) with source_size, target, copies. Documents draw
+    by ``_draw`` (see :func:`draw_key`), or by their id where that column isn't given.
 
     Up to ``broadcast_sources`` sources (counted, not assumed) are broadcast. Beyond
     that their rows are repeated ``SALTS`` times and documents join on (source, salt),
     so that a source with a third of all rows is spread over many tasks.
     """
+    if "_draw" not in docs.columns:
+        docs = docs.withColumn("_draw", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     targets = staged(source_targets(docs.select("source", "size"), weights, most_repeats), "targets")
     key = lambda c: F.struct(c.isNull().alias("none"), F.coalesce(c, F.lit("")).alias("name"))
     right = targets.select(key(F.col("source")).alias("_source"), "source_size", "target")
@@ -82,19 +90,19 @@ def with_copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_repeat
     if targets.count() <= broadcast_sources:
         joined = left.join(F.broadcast(right), "_source")
     else:
-        left = left.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "size"), F.lit(SALTS)).cast("int"))
+        left = left.withColumn("_salt", F.pmod(F.xxhash64("_draw", "size"), F.lit(SALTS)).cast("int"))
         right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = left.join(right, ["_source", "_salt"]).drop("_salt")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor("_rate") + (uniform(seed) < F.col("_rate") - F.floor("_rate")).cast("bigint")
+    copies = F.floor("_rate") + (uniform(seed, "_draw") < F.col("_rate") - F.floor("_rate")).cast("bigint")
     return (joined.withColumn("_rate", rate)
             .withColumn("copies", F.least(copies, F.lit(most_repeats).cast("bigint")))
-            .drop("_source", "_rate"))
+            .drop("_source", "_rate", "_draw"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_repeats: int = 3, seed: int = 17) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken."""
-    sizes = staged(docs.select("doc_id", "source", word_count().alias("size")), "sizes")
+    sizes = staged(docs.select("doc_id", "source", word_count().alias("size"), draw_key().alias("_draw")), "sizes")
     return with_copies(sizes, weights, most_repeats, seed).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
@@ -107,6 +115,6 @@ def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_repeats
     travel in the second one.
     """
     # the whole row in one column: no name of it can clash with those added here
-    packed = docs.select(F.struct("*").alias("_row"), "doc_id", "source", word_count().alias("size"))
+    packed = docs.select(F.struct("*").alias("_row"), "doc_id", "source", word_count().alias("size"), draw_key().alias("_draw"))
     taken = with_copies(packed, weights, most_repeats, seed).where("copies > 0")
     return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
