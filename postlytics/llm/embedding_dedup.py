@@ -152,8 +152,9 @@ def near_duplicates(vectors: DataFrame, t: float = 0.93, sample: int = 20_000, c
         out = pd.DataFrame({"v": v, "links": links, "root": v[root]})
         return out[out["links"] > 0]
 
-    met = staged(dealt.groupBy("label", "dim", "cell", "p", "q")
-                 .applyInPandas(run, "v bigint, links bigint, root bigint"), "met")
+    # dealt by all five: the join's partitioning by cell would leave a cell's pairs of blocks in one task
+    group = ["label", "dim", "cell", "p", "q"]
+    met = staged(dealt.repartition(*group).groupBy(*group).applyInPandas(run, "v bigint, links bigint, root bigint"), "met")
     comps = connected_components(met.select(F.col("v").alias("a"), F.col("root").alias("b")))
     counted = met.groupBy("v").agg(F.sum("links").alias("links"))
     named = (classes.select("v", "n", "vec_id").join(counted, "v", "left").join(comps, "v", "left")
