@@ -4,9 +4,9 @@ A document's score is a logistic function of the sum, over its distinct words,
 of the weights (0 or more) of each word's character n-grams. It is fitted on labelled
 documents with an L1 penalty (few n-grams keep a weight, so very long clean
 texts don't add up noise) and a counterfactual penalty: in each training
-document one identity term is swapped for another of its group, or, when it names none, one is
+document one identity term (of four languages) is swapped for another of its group, or, when it names none, one is
 inserted; the squared change of the score is added to the loss. A neutral
-mention of a group therefore can't move a score by much. Words are runs without ASCII white
+mention of a group therefore can't move a score by much (``group_gaps`` measures it). Words are runs without ASCII white
 space, ASCII punctuation or control characters; a word counts whole, however long it is.
 
 Only text is an input. Rows with crc32(doc_id as text) mod ``modulus`` equal to
@@ -33,15 +33,42 @@ from pyspark.sql import functions as F
 
 from .common import WordCache, doc_remainder, only_caches, slices, staged, text_bytes
 
-# Groups of identity terms that may be swapped for each other.
-IDENTITY_GROUPS = (
-    ("women", "men", "girls", "boys", "mothers", "fathers"),
-    ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
-    ("black", "white", "asian", "latino", "arab", "african", "european"),
-    ("gay", "lesbian", "straight", "bisexual", "transgender", "queer"),
-    ("immigrant", "refugee", "foreigner", "citizen", "tourist"),
-    ("disabled", "deaf", "blind", "elderly", "young"),
-)
+# Groups of identity terms that may be swapped for each other, by language.
+IDENTITY_TERMS = {
+    "en": (
+        ("women", "men", "girls", "boys", "mothers", "fathers"),
+        ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
+        ("black", "white", "asian", "latino", "arab", "african", "european"),
+        ("gay", "lesbian", "straight", "bisexual", "transgender", "queer"),
+        ("immigrant", "refugee", "foreigner", "citizen", "tourist"),
+        ("disabled", "deaf", "blind", "elderly", "young"),
+    ),
+    "de": (
+        ("frauen", "männer", "mädchen", "jungen", "mütter", "väter"),
+        ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+        ("schwarze", "weiße", "asiaten", "araber", "afrikaner", "europäer"),
+        ("schwule", "lesben", "heterosexuelle", "bisexuelle"),
+        ("einwanderer", "flüchtlinge", "ausländer", "bürger", "touristen"),
+        ("behinderte", "gehörlose", "blinde", "ältere", "junge"),
+    ),
+    "fr": (
+        ("femmes", "hommes", "filles", "garçons", "mères", "pères"),
+        ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+        ("noirs", "blancs", "asiatiques", "arabes", "africains", "européens"),
+        ("gays", "lesbiennes", "hétérosexuels", "bisexuels"),
+        ("immigrés", "réfugiés", "étrangers", "citoyens", "touristes"),
+        ("handicapés", "sourds", "aveugles", "âgés", "jeunes"),
+    ),
+    "es": (
+        ("mujeres", "hombres", "niñas", "niños", "madres", "padres"),
+        ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+        ("negros", "blancos", "asiáticos", "árabes", "africanos", "europeos"),
+        ("homosexuales", "lesbianas", "heterosexuales", "bisexuales"),
+        ("inmigrantes", "refugiados", "extranjeros", "ciudadanos", "turistas"),
+        ("discapacitados", "sordos", "ciegos", "ancianos", "jóvenes"),
+    ),
+}
+IDENTITY_GROUPS = tuple(group for groups in IDENTITY_TERMS.values() for group in groups)
 
 # Letters in lower case, digits as one sign, ASCII punctuation as space.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c if 97 <= c <= 122 or c >= 128 else 32
@@ -237,6 +264,23 @@ def fit(rows: list, share: float, swap_penalty: float = 2.0, l1: float = 2e-4, s
     return Model({g: float(w[i] / scale[i]) for g, i in names.items() if abs(w[i]) > 1e-9}, b + math.log(odds))
 
 
+def group_gaps(model: Model, texts: list[bytes]) -> dict[str, tuple[float, float]]:
+    """By language: the largest change of a text's score when one of its groups' terms is put in for
+    another, averaged over texts and groups, and the share of mentions that get a clean text rejected."""
+    out = {}
+    for lang, groups in IDENTITY_TERMS.items():
+        gaps, rejected = [], []
+        for text in texts:
+            if model.score(text) >= CUT:
+                continue
+            for group in groups:
+                scores = [model.score(text + b" " + term.encode()) for term in group]
+                gaps.append(max(scores) - min(scores))
+                rejected.append(sum(s >= CUT for s in scores) / len(scores))
+        out[lang] = (float(np.mean(gaps or [0.0])), float(np.mean(rejected or [0.0])))
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2, most_positive: int = 2500,
           most_negative: int = 4000) -> Model:
     rows, share = labelled_sample(docs, labels, modulus, held, most_positive, most_negative)
