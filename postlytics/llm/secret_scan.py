@@ -1,18 +1,22 @@
 """Secret scans: fixed patterns plus a character convolutional network.
 
 1. One scan of every whole text finds the fixed patterns' spans and all further
-   candidates: runs of 16 or more token characters that hold a digit. Each keeps
+   candidates: every run of 16 or more token characters, and of a run that a pattern span
+   touches the rests of 8 or more beside it. Each keeps
    its span, its characters and ``CONTEXT`` characters on both sides; the result
    (one narrow row per document) is written to the shared folder.
 2. The network is trained on the labelled findings: pattern spans are positive,
    other candidates are negative, drawn by hash from all documents up to
-   ``sample`` of each (a documented bound; scoring has none). Each is also shown cut to a
-   shorter length, and every second one without its context, so the network learns what
-   the characters look like and not only a length or the keyword before them.
-3. A held-back third of the sample calibrates the network's logit (Platt scaling)
-   and gives one threshold per character class (hex, digits, other): ``min_probability``, or more
-   where over one in a thousand held-back negatives would pass, but never so high that it
-   recalls less than ``min_recall`` of the held-back positives of that class.
+   ``sample`` of each (a documented bound; scoring has none). What it must find beyond the patterns
+   are secrets without keyword and prefix, so every finding is shown masked as well: cut shorter, without
+   context, and redrawn in each of ``ALPHABETS`` amid the text around a negative. Negatives are shown
+   cut shorter and as words of their context glued together (paths, identifiers), so the
+   network learns what the characters look like and not a length or the keyword before them.
+3. A held-back third of the findings and negatives, masked alike, calibrates the network's logit (Platt
+   scaling) and gives one threshold per character class (``CLASSES``): ``min_probability``, or more
+   where over one in a thousand negatives would pass, but never so high that it
+   recalls less than ``min_recall`` of the held-back positives of that class. ``measured`` keeps the
+   recall and the share of negatives that pass, by class.
 4. Every candidate is scored; those at or over their threshold that overlap no
    pattern span are added as spans of kind ``net``. Pattern spans always stay.
 
@@ -25,7 +29,9 @@ columns are not read.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -44,6 +50,13 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # maximal runs, so the same as [0-9a-f]+ of
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 CONTEXT = 24
 BODY = 64  # a longer candidate is read in pieces of this length
+REST = 8   # what is left of a run beside a pattern span
+
+# Alphabets that findings are redrawn in, with the shortest length: a bare number below 20 digits is no secret.
+ALPHABETS = (("0123456789abcdef", 16), ("0123456789ABCDEF", 16), (string.digits + string.ascii_letters, 16),
+             (string.digits + string.ascii_letters + "+/", 16), (string.ascii_lowercase + string.digits, 16),
+             (string.ascii_letters, 16), (string.digits, 20))
+CLASSES = ("hex", "digits", "upper hex", "no digit", "mixed")
 
 SCANNED = ("doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, base_spans string, "
            "starts array<int>, ends array<int>, labels array<boolean>, windows array<string>")
@@ -63,7 +76,7 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, bool]]:
     """(start, end, is a finding) of every candidate: pattern spans (without the
-    keyword, whose characters are context) and other runs outside of them."""
+    keyword, whose characters are context), other runs, and the rests of runs beside pattern spans."""
     out, covered = [], []
     for a, kind, b in base:
         covered.append((a, b))
@@ -75,10 +88,13 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     for m in CANDIDATE.finditer(text):
         while i < len(covered) and covered[i][1] <= m.start():
             i += 1
-        if i < len(covered) and covered[i][0] < m.end():
-            continue
-        if any("0" <= c <= "9" for c in m.group()):
-            out.append((m.start(), m.end(), False))
+        at, j = m.start(), i
+        while j < len(covered) and covered[j][0] < m.end():
+            if covered[j][0] - at >= REST:
+                out.append((at, covered[j][0], False))
+            at, j = max(at, covered[j][1]), j + 1
+        if m.end() - at >= (REST if j > i else 1):
+            out.append((at, m.end(), False))
     return out
 
 
@@ -113,10 +129,12 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def _classes(body: str) -> int:
-    """Character class that has a threshold of its own: hex, digits only, other."""
+    """Place in ``CLASSES``; each has a threshold of its own."""
     if not re.search(r"[^0-9.]", body):
         return 1
-    return 0 if not re.search(r"[^0-9a-f]", body) else 2
+    if not re.search(r"[0-9]", body):
+        return 3
+    return 0 if not re.search(r"[^0-9a-f]", body) else 2 if not re.search(r"[^0-9A-F]", body) else 4
 
 
 def encode_windows(windows: list[str]) -> np.ndarray:
@@ -135,14 +153,15 @@ def encode_windows(windows: list[str]) -> np.ndarray:
 class CharNet:
     """Embedding, one convolution, ReLU, mean and maximum over positions, one linear unit."""
 
-    def __init__(self, seed: int = 5, embed: int = 8, filters: int = 24, width: int = 5):
+    def __init__(self, seed: int = 5, embed: int = 8, filters: int = 32, width: int = 5):
         rng = np.random.default_rng(seed)
         self.width = width
         self.p = {"e": rng.normal(0, 0.5, (128, embed)), "w": rng.normal(0, (2 / (embed * width)) ** 0.5,
                                                                           (embed * width, filters)),
                   "b": np.zeros(filters), "v": rng.normal(0, 0.2, 6 * filters), "c": np.zeros(1)}
         self.scale, self.shift = 1.0, 0.0
-        self.thresholds = [1.1, 1.1, 1.1]
+        self.thresholds = [1.1] * len(CLASSES)
+        self.measured: dict[str, tuple[float, float]] = {}
 
     def _forward(self, codes: np.ndarray):
         e = self.p["e"][codes]
@@ -169,18 +188,19 @@ class CharNet:
         for i, zone in enumerate(zones):
             top, mean = dp[:, 2 * i * f:(2 * i + 1) * f], dp[:, (2 * i + 1) * f:(2 * i + 2) * f]
             dh[:, zone] += mean[:, None, :] / (zone.stop - zone.start)
-            np.add.at(dh, (rows, arg[i], np.arange(f)[None, :]), top)
+            dh[rows, arg[i], np.arange(f)[None, :]] += top  # one place a row and filter
         dh *= h > 0
         flat = dh.reshape(-1, f)
         dcols = (flat @ self.p["w"].T).reshape(cols.shape)
         de, size, length = np.zeros_like(self.p["e"]), self.p["e"].shape[1], h.shape[1]
         for j in range(self.width):
-            np.add.at(de, codes[:, j:j + length].ravel(), dcols[:, :, j * size:(j + 1) * size].reshape(-1, size))
+            at, part = codes[:, j:j + length].ravel(), dcols[:, :, j * size:(j + 1) * size].reshape(-1, size)
+            de += np.stack([np.bincount(at, weights=part[:, d], minlength=len(de)) for d in range(size)], axis=1)
         de[0] = 0
         return {"e": de, "w": cols.reshape(-1, cols.shape[2]).T @ flat, "b": flat.sum(0),
                 "v": pooled.T @ dz, "c": np.array([dz.sum()])}
 
-    def fit(self, codes: np.ndarray, y: np.ndarray, steps: int = 250, batch: int = 128, rate: float = 0.01) -> None:
+    def fit(self, codes: np.ndarray, y: np.ndarray, steps: int = 1000, batch: int = 128, rate: float = 0.01) -> None:
         """Adam over class-balanced batches; the seed fixes their order."""
         rng, m, s = np.random.default_rng(11), {}, {}
         pos, neg = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
@@ -191,9 +211,10 @@ class CharNet:
                 s[k] = 0.99 * s.get(k, 0) + 0.01 * g * g
                 self.p[k] -= rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(s[k] / (1 - 0.99 ** t)) + 1e-8)
 
-    def calibrate(self, codes: np.ndarray, y: np.ndarray, classes: np.ndarray, min_recall: float,
-                  min_probability: float) -> None:
-        """Platt scaling by Newton steps, then a threshold per class under the recall constraint."""
+    def calibrate(self, codes: np.ndarray, y: np.ndarray, classes: np.ndarray, negatives: np.ndarray,
+                  negative_classes: np.ndarray, min_recall: float, min_probability: float) -> None:
+        """Platt scaling by Newton steps on held-back rows, then a threshold per class: recall from the
+        held-back findings, false alarms from all ``negatives`` of the sample."""
         z = self.logits(codes)
         a, b = 1.0, 0.0
         for _ in range(30):
@@ -204,12 +225,14 @@ class CharNet:
             step = np.linalg.solve(hess + 1e-6 * np.eye(2), g)
             a, b = a - float(np.clip(step[0], -1, 1)), b - float(np.clip(step[1], -2, 2))
         self.scale, self.shift = max(a, 1e-3), b
-        p = self.probabilities(codes)
-        for k in range(3):
-            found, others = np.sort(p[(classes == k) & (y == 1)]), p[(classes == k) & (y == 0)]
+        p, q = self.probabilities(codes), self.probabilities(negatives)
+        for k, name in enumerate(CLASSES):
+            found, others = np.sort(p[(classes == k) & (y == 1)]), q[negative_classes == k]
             if len(found):  # a class without findings has no threshold: nothing of it is added
                 wanted = max(min_probability, float(np.quantile(others, 0.999)) + 1e-6 if len(others) else 0.0)
                 self.thresholds[k] = min(wanted, float(found[int((1 - min_recall) * len(found))]))
+                self.measured[name] = (float((found >= self.thresholds[k]).mean()),
+                                       float((others >= self.thresholds[k]).mean()) if len(others) else 0.0)
 
     def probabilities(self, codes: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(codes) + self.shift, -30, 30)))
@@ -223,7 +246,32 @@ def shortened(row: str, least: int = 16) -> str:
     return "\0".join((left, body, right))
 
 
-def train(scanned: DataFrame, sample: int = 3000, min_recall: float = 0.98, min_probability: float = 0.5) -> CharNet | None:
+def redrawn(row: str, around: list[str]) -> list[str]:
+    """A finding masked: random characters of every alphabet in its place, amid the text around negatives."""
+    rng, out = random.Random(zlib.crc32(row.encode())), []
+    for letters, least in ALPHABETS:
+        left, _, right = rng.choice(around).split("\0")
+        out.append("\0".join((left, "".join(rng.choices(letters, k=min(rng.randint(least, BODY), rng.randint(least, BODY)))), right)))
+    return out
+
+
+def glued(row: str) -> list[str]:
+    """Words around a negative as one run: a path, an identifier, a name with a number."""
+    left, body, right = row.split("\0")
+    words = re.findall(r"[A-Za-z]{2,}", f"{left} {right}")
+    if not words:
+        return []
+    rng, out = random.Random(zlib.crc32(row.encode())), []
+    for join in ("", rng.choice("_-./=")):
+        run = join.join(rng.choices(words, k=rng.randint(3, 8)))
+        if rng.random() < 0.4:
+            run += join + str(rng.choice((rng.randint(0, 99), rng.randint(1900, 2100), rng.randint(0, 99999))))
+        if len(run) >= 16:
+            out.append("\0".join((left, run[:BODY], right)))
+    return out
+
+
+def train(scanned: DataFrame, sample: int = 3000, min_recall: float = 0.9, min_probability: float = 0.5) -> CharNet | None:
     """The network, from at most ``sample`` findings and ``sample`` other candidates."""
     pairs = scanned.select(F.explode(F.arrays_zip("labels", "windows")).alias("x")).select("x.labels", "x.windows")
     order = F.md5(F.col("windows"))
@@ -233,12 +281,17 @@ def train(scanned: DataFrame, sample: int = 3000, min_recall: float = 0.98, min_
         data[label] = [r.windows for r in picked.collect()]
     if not data[True] or not data[False]:
         return None
-    windows = data[True] + data[False]
-    y = np.array([1.0] * len(data[True]) + [0.0] * len(data[False]))
-    windows, y = [w for row in windows for w in (row, shortened(row))], np.repeat(y, 2)
-    held = np.arange(len(y)) // 2 % 3 == 0
+    windows, y, held, bare = [], [], [], []
+    for label, shown in ((1.0, lambda row: redrawn(row, data[False])), (0.0, glued)):
+        for i, row in enumerate(data[label == 1.0]):
+            rows = [row, shortened(row), *shown(row)]
+            windows += rows
+            y += [label] * len(rows)
+            held += [i % 3 == 0] * len(rows)
+            bare += [i % 2 == 1] * len(rows)
+    y, held, bare = np.array(y), np.array(held), np.array(bare)
     codes = encode_windows(windows)
-    bare = np.arange(len(y)) // 2 % 2 == 1
+    negatives = codes[y == 0]
     codes[bare, :CONTEXT] = 0
     codes[bare, CONTEXT + BODY:] = 0
     if not (y[~held].any() and (1 - y[~held]).any()):
@@ -246,7 +299,7 @@ def train(scanned: DataFrame, sample: int = 3000, min_recall: float = 0.98, min_
     net = CharNet()
     net.fit(codes[~held], y[~held])
     classes = np.array([_classes(w.split("\0")[1]) for w in windows])
-    net.calibrate(codes[held], y[held], classes[held], min_recall, min_probability)
+    net.calibrate(codes[held], y[held], classes[held], negatives, classes[y == 0], min_recall, min_probability)
     return net
 
 
@@ -286,12 +339,11 @@ def _pieces(row: str) -> list[str]:
     left, body, right = row.split("\0")
     if len(body) <= BODY:
         return [row]
-    cuts = list(range(0, len(body), BODY))
-    return ["\0".join(((left + body[:a])[-CONTEXT:], body[a:a + BODY], (body[a + BODY:] + right)[:CONTEXT]))
-            for a in cuts if len(body) - a >= 8]
+    cuts = [*range(0, len(body) - BODY, BODY), len(body) - BODY]  # the last piece ends with the candidate
+    return ["\0".join(((left + body[:a])[-CONTEXT:], body[a:a + BODY], (body[a + BODY:] + right)[:CONTEXT])) for a in cuts]
 
 
-def find_secrets(docs: DataFrame, sample: int = 3000, min_recall: float = 0.98) -> DataFrame:
+def find_secrets(docs: DataFrame, sample: int = 3000, min_recall: float = 0.9) -> DataFrame:
     """All spans of every document: patterns, and what the network adds."""
     scanned = staged(scan(docs), "scanned")
     return score(scanned, train(scanned, sample, min_recall))
