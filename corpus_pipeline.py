@@ -2,6 +2,13 @@
 
 Each stage is one operator of ``postlytics.llm`` applied to all rows its
 predecessor kept; its output is written as Parquet and read again.
+
+Defined results: columns beside those of ``COLUMNS`` are left out before the first operator, so their names
+can't clash. A null text counts as the empty text in every stage and stays null until it is packed, as its end
+id alone; an empty or null text is near no other, and stays unless a row with its id repeats it. Of rows that repeat as
+a whole, and of a group of near copies, one row stays, that of the smallest doc_id; rows without an id come after all
+others and carry no label. Without labels of both kinds no text is rejected unless all labels say so, and without findings
+the fixed patterns alone are redacted. Texts of any length are read whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
