@@ -20,7 +20,8 @@
 
    Pair counts are linear in either side, so the new pairs are new L x (old + new R) plus
    old L x new R, joined on counts per key and never on rows. Best rows merge by taking the best again.
-   A table of the state is the union of its batches; nothing old is rewritten.
+   A table of the state is the union of its batches; nothing old is rewritten by a run.
+   ``compact_state`` merges the batches so far into one now and then: counts are summed, best rows taken again.
 3. *Commit.* The batch counts once its commit exists (``sources.commits``); it names the entity
    batches it has taken in, so a run that was killed is repeated and counts nothing twice.
 4. *Answers* come from the state, under ``answers/data/batch=<run>/...``, committed alike.
@@ -38,11 +39,12 @@ from pyspark.sql import functions as F
 from ..functions import age_band
 from ..operators.rank import top_n_per_group
 from ..schemas import SCHEMAS
-from ..sources.commits import attempt_path, commit, committed, is_committed
+from ..sources.commits import attempt_path, commit, committed, committed_paths, compaction_path, is_committed
 from ..sources.messages import stream_landed
 from ..sources.topics import topic_path
 from ..streaming.landing import read_landed_stream
 from ..streaming.sinks import read_messages_stream
+from ..streaming.state import BEST_POST, LATEST_LOCATION
 from ..streaming.tables import read_entity_table, run_entity_tables
 from . import questions as q
 
@@ -59,14 +61,16 @@ STATE = {
     "taken": "entity string, upto bigint",
 }
 
+# Orders of the best rows.
+BEST = {"pin_best": BEST_POST, "geo_best": LATEST_LOCATION}
 ANSWERS = ("top_category_by_country", "top_category_by_year", "top_user_by_country", "top_country_by_followers",
            "top_category_by_age_group", "median_followers_by_age_group", "users_joined_by_year",
            "median_followers_by_year_joined", "median_followers_by_year_and_age")
 
 
 def read_state(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One table of the state: the union of its committed batches."""
-    paths = [f"{attempt_path(root, run, attempt)}/{name}" for run, attempt in committed(spark, root).items()]
+    """One table of the state: the union of its committed batches, merged ones first."""
+    paths = [f"{path}/{name}" for path in committed_paths(spark, root)]
     return spark.read.schema(STATE[name]).parquet(*paths) if paths else spark.createDataFrame([], STATE[name])
 
 
@@ -76,6 +80,11 @@ def _pairs(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     return joined.groupBy(*by).agg(F.sum(F.col("__nl") * F.col("__nr")).alias("n"))
 
 
+def _best(rows: DataFrame, name: str) -> DataFrame:
+    order = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in BEST[name]]
+    return top_n_per_group(rows, "ind", order)
+
+
 def _counts(rows: DataFrame, *by) -> DataFrame:
     return rows.where(F.col("ind").isNotNull()).groupBy("ind", *by).agg(F.count(F.lit(1)).alias("n"))
 
@@ -107,16 +116,37 @@ def update_state(spark: SparkSession, tables_root: str, root: str) -> bool:
         added = _pairs(new, all_pins, by).unionByName(_pairs(old, new_pins, by))
         write(name, added.groupBy(*by).agg(F.sum("n").alias("n")))
     keyed = F.col("ind").isNotNull()
-    write("pin_best", top_n_per_group(pins.where(keyed).select("ind", "poster_name", "follower_count"), "ind",
-                                      [F.col("follower_count").desc_nulls_last(), F.col("poster_name").asc_nulls_last()]))
-    write("geo_best", top_n_per_group(geo.where(keyed).select("ind", "country", "timestamp"), "ind",
-                                      [F.col("timestamp").desc_nulls_last(), F.col("country").asc_nulls_last()]))
+    write("pin_best", _best(pins.where(keyed).select("ind", "poster_name", "follower_count"), "pin_best"))
+    write("geo_best", _best(geo.where(keyed).select("ind", "country", "timestamp"), "geo_best"))
     write("users", users.select("ind", "age", "date_joined"))
     write("taken", spark.createDataFrame(list(newest.items()), STATE["taken"]))
     commit(spark, root, run, attempt)
     return True
 
 
+def compact_state(spark: SparkSession, root: str) -> bool:
+    """Merge all batches of the state into one that stands for them; False if there is only one.
+
+    Readers take it from its commit on; the batches stay where they are, so a job that reads them
+    meanwhile isn't disturbed.
+    """
+    if len(committed_paths(spark, root)) < 2:
+        return False
+    upto, attempt = max(committed(spark, root)), uuid.uuid4().hex
+    path = compaction_path(root, upto, attempt)
+    for name, columns in STATE.items():
+        rows, names = read_state(spark, root, name), [c.split()[0] for c in columns.split(", ")]
+        if names[-1] == "n":
+            rows = rows.groupBy(*names[:-1]).agg(F.sum("n").alias("n"))
+        elif name in BEST:
+            rows = _best(rows, name)
+        elif name == "taken":
+            rows = rows.groupBy("entity").agg(F.max("upto").alias("upto"))
+        rows.select(*names).write.parquet(f"{path}/{name}")
+    commit(spark, root, upto, attempt, "compactions")
+    return True
+
+
 def answers_from_state(spark: SparkSession, root: str, post_years: tuple[int, int] = (2018, 2022),
                        join_years: tuple[int, int] = (2015, 2020), method: str = "exact") -> dict[str, DataFrame]:
     """Q1-Q9 over everything taken in so far."""

@@ -107,3 +107,26 @@ def test_reads_topics_that_a_stream_lands(spark):
         land_stream(stream, base, f"{base}/ckpt", trigger={"availableNow": True}).awaitTermination()
         _, got = run(spark, base)
     assert got == full(parts, "part < 2")
+
+
+def test_compacted_state_goes_on(spark):
+    """Three runs with compactions between them equal one full load; a compaction that was killed is not read."""
+    base, parts = fresh_dir(spark, "test-incremental-compacted"), raw_parts(spark)
+    state = f"{base}/daily/state"
+    for part in (0, 1, 2):
+        land(spark, base, {e: df.where(F.col("part") == part).drop("part") for e, df in parts.items()})
+        _, got = run(spark, base)
+        before = {name: sorted(rows(df), key=str) for name, df in plans.answers_from_state(spark, state, **YEARS).items()}
+        assert plans.compact_state(spark, state) == (part > 0)
+        after = {name: sorted(rows(df), key=str) for name, df in plans.answers_from_state(spark, state, **YEARS).items()}
+        assert got == before == after
+    assert got == full(parts, "true")
+    assert not plans.compact_state(spark, state)  # one batch stands for all
+    stored = incremental.read_state(spark, state, "pin_counts")
+    assert stored.count() == stored.select("ind", "category").distinct().count()
+    for name in ("pin_best", "geo_best"):
+        best = incremental.read_state(spark, state, name)
+        assert best.count() == best.select("ind").distinct().count()
+    left = incremental.compaction_path(state, 99, "killed")
+    spark.createDataFrame([("nobody", 1)], "entity string, upto bigint").write.parquet(f"{left}/taken")
+    assert incremental.read_state(spark, state, "taken").where("entity = 'nobody'").count() == 0
