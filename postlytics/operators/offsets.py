@@ -1,10 +1,10 @@
 """Rows at offsets of a total order (O8), from an index that is built once.
 
 ``build_offset_index`` range-partitions the rows on the order and stores each slice sorted, with
-every row's place in its slice, next to a table of slice sizes. ``OffsetIndex.rows`` then answers any
+every row's place in its slice, next to the slice sizes. ``OffsetIndex.rows`` then answers any
 number of offsets: prefix sums over the slice sizes (one number a slice) tell the slice and place
-of each, and only those slices' row groups around the places are read. The index is a pair of Parquet
-folders, so it outlives the job that built it (``open_offset_index``).
+of each, and only those slices' row groups around the places are read. An index with a path of its
+own outlives the job that built it (``open_offset_index``).
 """
 
 from __future__ import annotations
@@ -71,21 +71,28 @@ class OffsetIndex:
 
 def build_offset_index(df: DataFrame, order: Sequence[Column | str] | Column | str, path: str | None = None,
                        slices: int | None = None) -> OffsetIndex:
-    """Store ``df`` in the order of ``order`` (total: end it in a tie-break) under ``path`` (default: the
-    shared folder); one distributed sort, when this is called."""
+    """Store ``df`` in the order of ``order`` (total: end it in a tie-break); one distributed sort, when this
+    is called. Under a ``path`` it can be opened again; without one it lies in the session's shared folder."""
     spark = df.sparkSession
     keys = [order] if isinstance(order, (str, Column)) else list(order)
-    path = path or fresh_dir(spark, "offsets")
+    keep, path = path is not None, path or fresh_dir(spark, "offsets")
     parts = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     row = F.monotonically_increasing_id()
     (df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("__row", row)
      .withColumns({SLICE: F.shiftright("__row", PLACE_BITS).cast("int"),
                    PLACE: F.col("__row").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))}).drop("__row")
      .write.partitionBy(SLICE).parquet(f"{path}/data"))
-    spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.text(f"{path}/schema")
-    (_read_data(spark, path, df.schema).groupBy(SLICE).agg(F.count(F.lit(1)).alias("rows"))
-     .coalesce(1).write.parquet(f"{path}/sizes"))
-    return open_offset_index(spark, path)
+    counted = _read_data(spark, path, df.schema).groupBy(SLICE).agg(F.count(F.lit(1)).alias("rows"))
+    sizes = sorted((r[SLICE], r["rows"]) for r in counted.collect())  # one row a slice
+    if keep:
+        stored = json.dumps({"schema": json.loads(df.schema.json()), "sizes": sizes})
+        spark.createDataFrame([(stored,)], "value string").coalesce(1).write.text(f"{path}/index")
+    return _index(spark, path, df.schema, sizes)
+
+
+def _index(spark: SparkSession, path: str, schema: StructType, sizes: Sequence[Sequence[int]]) -> OffsetIndex:
+    counts = [n for _, n in sizes]
+    return OffsetIndex(spark, path, schema, tuple(s for s, _ in sizes), tuple(accumulate([0, *counts]))[:-1], sum(counts))
 
 
 def _read_data(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -95,8 +102,6 @@ def _read_data(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def open_offset_index(spark: SparkSession, path: str) -> OffsetIndex:
-    """An index that was built before."""
-    sizes = spark.read.parquet(f"{path}/sizes").orderBy(SLICE).collect()  # one row a slice
-    counts = [r["rows"] for r in sizes]
-    schema = StructType.fromJson(json.loads(spark.read.text(f"{path}/schema").first().value))
-    return OffsetIndex(spark, path, schema, tuple(r[SLICE] for r in sizes), tuple(accumulate([0, *counts]))[:-1], sum(counts))
+    """An index that was built before under a path of its own."""
+    stored = json.loads(spark.read.text(f"{path}/index").first().value)
+    return _index(spark, path, StructType.fromJson(stored["schema"]), stored["sizes"])
