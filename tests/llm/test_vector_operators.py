@@ -125,3 +125,91 @@ def test_embedding_links_equal_brute_force(spark, vectors):
         got = embedding_dedup.near_duplicates(vectors, **options).select("vec_id", "n_links", "component_id", "kept")
         assert sorted((tuple(r) for r in got.collect()), key=str) == links(odd_vectors())
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def shuffled_bytes(spark, run):
+    """Shuffle bytes that the stages of ``run`` write."""
+    sc = spark.sparkContext
+    jsc, none = sc._jsc.sc(), sc._gateway.new_array(sc._jvm.double, 0)
+
+    def stages():
+        jsc.listenerBus().waitUntilEmpty(60_000)
+        found = jsc.statusStore().stageList(None, False, False, none, sc._jvm.java.util.ArrayList())
+        return {found.apply(i).stageId(): found.apply(i).shuffleWriteBytes() for i in range(found.size())}
+
+    before = stages()
+    run()
+    return sum(n for stage, n in stages().items() if stage not in before)
+
+
+def test_embedding_dedup_moves_a_vector_once_however_many_blocks(spark):
+    rng = np.random.default_rng(11)
+    options = {"cell_rows": 200, "block": 50, "sample": 1000}
+    moved, raw = [], []
+    for n in (600, 4800):
+        rows = [(i, x, 1) for i, x in enumerate(rng.normal(size=(n, 64)).tolist())]
+        vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+        moved.append(shuffled_bytes(spark, lambda: embedding_dedup.near_duplicates(vectors, **options).collect()))
+        raw.append(n * 64 * 4)
+    assert moved[1] < 12 * moved[0]
+    assert moved[1] < 2 * raw[1]
+
+
+def test_embedding_links_across_blocks_and_cells(spark):
+    """Chains, crowds of near copies and exact copies that no block holds whole, and lengths beside each other."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(400):  # a chain on a circle: neighbours at 8 degrees link, up to 2 on each side
+        a = math.radians(8 * i / 10)
+        rows.append((10 * i, [math.cos(a), math.sin(a), 0.0, 0.0, 0.0, 0.0], 1))
+    crowd = rng.normal(size=6)
+    rows += [(5 + 10 * i, (crowd + rng.normal(size=6) * 0.02).tolist(), i % 2) for i in range(200)]
+    rows += [(7 + 10 * (i % 30), (-crowd).tolist(), 1) for i in range(90)]
+    rows += [(8000 + i, x, 1) for i, x in enumerate(rng.normal(size=(200, 6)).tolist())]
+    rows += [(9000 + i, x, 1) for i, x in enumerate(rng.normal(size=(90, 3)).tolist())]
+    rows += [(9500 + i, x, None) for i, x in enumerate(rng.normal(size=(20, 6)).tolist())]
+    vectors = spark.createDataFrame([(*r, "x", 1, "y", 2) for r in rows], SCHEMA).repartition(5)
+    for options in ({}, {"cell_rows": 40, "block": 16, "sample": 300}, {"cell_rows": 500, "block": 60}):
+        got = embedding_dedup.near_duplicates(vectors, **options).select("vec_id", "n_links", "component_id", "kept")
+        assert sorted((tuple(r) for r in got.collect()), key=str) == links(rows)
+
+
+def test_double_precision_decides_near_the_threshold():
+    """Cosines within 1e-8 of t, which single precision can't tell apart, and links counted with copies."""
+    t, n = 0.93, 200
+    angle = math.acos(t) + np.linspace(-1e-8, 1e-8, n) + 5e-12
+    x = np.r_[[[1.0, 0.0]], np.stack([np.cos(angle), np.sin(angle)], 1)]
+    x = np.pad(x, ((0, 0), (0, 3)))
+    count = np.r_[1, np.full(n, 3)]
+    rows = embedding_dedup.Rows(np.arange(n + 1), count, np.arange(n + 1), np.ones(n + 1, bool), x, x.astype(np.float32), np.empty((n + 1, 0)))
+    tile = embedding_dedup.Tile(rows, t)
+    tile.meet(rows, np.arange(n + 1), np.arange(n + 1), 0)
+    assert tile.links[0] == 3 * (angle <= math.acos(t)).sum() == 3 * n / 2
+    assert (tile.root == 0).all()
+
+
+def test_pieces_of_a_link_matrix():
+    rng = np.random.default_rng(13)
+    for a, b, share in ((1, 1, 1), (30, 40, 0.03), (60, 20, 0.05), (50, 50, 0.5), (40, 300, 0.005)):
+        near = rng.random((a, b)) < share
+        near[np.arange(a), rng.integers(0, b, a)] = True
+        near = near[:, near.any(0)]
+        row, col = embedding_dedup.pieces(near)
+        found = list(range(a))
+        for _ in range(a):
+            for j in range(near.shape[1]):
+                least = min(found[i] for i in range(a) if near[i, j])
+                found = [least if near[i, j] else found[i] for i in range(a)]
+            found = [min(found[i], found[found[i]]) for i in range(a)]
+        assert row.tolist() == found
+        assert all(col[j] == found[i] for i, j in zip(*np.nonzero(near)))
+
+
+def test_heads_bound_products():
+    rng = np.random.default_rng(14)
+    x = embedding_dedup.unit(rng.normal(size=(300, 24)) * np.linspace(1, 0.1, 24))
+    turn = embedding_dedup.leading(x, 0.93)
+    assert 0 < turn.shape[1] < 24 and np.allclose(turn.T @ turn, np.eye(turn.shape[1]))
+    head = embedding_dedup.heads(x, turn).astype(float)
+    assert (head @ head.T >= x @ x.T - 1e-6).all()
+    assert embedding_dedup.leading(x[:1].repeat(50, 0), 0.93).shape[1] <= 3
